@@ -10,14 +10,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.llm.chat_format import format_chats
 from quillspark.llm.common import table
 from quillspark.llm.exact_dedup import exact_groups
+from quillspark.llm.line_dedup import drop_boilerplate
+from quillspark.llm.packing import pack
+from quillspark.llm.piece_codec import encode_pieces
+from quillspark.llm.sharding import shard_groups
 from quillspark.llm.url_filter import filter_urls
 
 #: (verdict, host, path)
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the public vocabulary file `name` lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_groups(table(spark, sf_dir, "documents"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -42,6 +62,27 @@ FROM q LEFT JOIN hit ON hit.page_id = q.page_id AND hit.k = 1
 """
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_left"), F.sha2("text", 256).alias("text_sha256"))
+
+
+OP6_SQL = """
+WITH d AS (SELECT doc_id, source, text FROM documents),
+l AS (SELECT doc_id, source, i, string_split(text, chr(10))[i] AS line FROM (SELECT doc_id, source, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM d)),
+b AS (SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10),
+g AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) FILTER (b.line IS NULL) AS rest, count(*) AS n_lines, count(b.line) AS n_gone,
+    sum(length(l.line)) AS all_chars, coalesce(sum(length(l.line)) FILTER (b.line IS NULL), 0) AS own_chars
+  FROM l LEFT JOIN b ON l.line = b.line GROUP BY l.doc_id
+), k AS (
+  SELECT d.doc_id, g.n_lines, CASE WHEN own_chars < 0.5 * all_chars THEN 0 ELSE n_gone END AS n_removed,
+    CASE WHEN own_chars < 0.5 * all_chars THEN d.text ELSE coalesce(rest, '') END AS text
+  FROM d JOIN g USING (doc_id)
+)
+SELECT doc_id, n_lines, n_removed, length(text) AS n_left, sha256(text) AS text_sha256 FROM k
+"""
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -56,12 +97,44 @@ FROM d
 """
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encode_pieces(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
+OP10_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, lower(trim(coalesce(role, ''))) AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL GROUP BY ALL
+), t AS (
+  SELECT conv_id, count(*) AS n_turns, list({'role': role, 'text': text} ORDER BY turn, role, text) AS turns,
+    string_agg('<|' || CASE WHEN role = '' THEN 'unknown' ELSE role END || '|>' || chr(10) || replace(text, '<|', '< |') || '<|end|>' || chr(10), '' ORDER BY turn, role, text) AS chat
+  FROM c GROUP BY conv_id
+)
+SELECT conv_id, CAST(0 AS BIGINT) AS segment, n_turns, chat FROM t
+WHERE NOT EXISTS (
+  SELECT 1 FROM t AS o WHERE o.conv_id <> t.conv_id AND o.turns[1:t.n_turns] = t.turns AND (o.n_turns > t.n_turns OR (o.n_turns = t.n_turns AND o.conv_id < t.conv_id))
+)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_packing": op3_packing,
+    "op4_sharding": op4_sharding,
     "op5_url_filters": op5_url_filters,
+    "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
+    "op10_chat_format": op10_chat_format,
 }
 
 SQL: dict[str, str] = {
     "op5_url_filters": OP5_SQL,
+    "op6_line_dedup": OP6_SQL,
     "op7_exact_dedup": OP7_SQL,
+    "op10_chat_format": OP10_SQL,
 }
