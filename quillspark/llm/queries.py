@@ -7,15 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm.chat_format import format_chats
 from quillspark.llm.common import table
+from quillspark.llm.embedding_dedup import embedding_links
 from quillspark.llm.exact_dedup import exact_groups
 from quillspark.llm.line_dedup import drop_boilerplate
 from quillspark.llm.packing import pack
 from quillspark.llm.piece_codec import encode_pieces
+from quillspark.llm.quality import fit, score
 from quillspark.llm.sharding import shard_groups
 from quillspark.llm.url_filter import filter_urls
 
@@ -30,6 +32,38 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(table(spark, sf_dir, "embeddings"))
+
+
+OP1_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), u AS (
+  SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS norm FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(e, e) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u AS a JOIN u AS b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+), r AS (
+  SELECT vec_id AS node, vec_id AS far FROM v UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.far
+), c AS (SELECT node, min(far) AS component_id FROM r GROUP BY node)
+SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.a = v.vec_id) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN c ON c.node = v.vec_id
+"""
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Rows that never train: crc32 of the id as text is 1 modulo 3."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(3)) == 1
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels").filter(~held_out()))
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -123,6 +157,8 @@ WHERE NOT EXISTS (
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_quality": op2_quality,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
     "op5_url_filters": op5_url_filters,
@@ -133,6 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_embedding_dedup": OP1_SQL,
     "op5_url_filters": OP5_SQL,
     "op6_line_dedup": OP6_SQL,
     "op7_exact_dedup": OP7_SQL,
