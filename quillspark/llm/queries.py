@@ -14,6 +14,7 @@ from quillspark.llm.chat_format import format_chats
 from quillspark.llm.common import table
 from quillspark.llm.embedding_dedup import embedding_links
 from quillspark.llm.exact_dedup import exact_groups
+from quillspark.llm.jaccard_join import jaccard_components
 from quillspark.llm.line_dedup import drop_boilerplate
 from quillspark.llm.packing import pack
 from quillspark.llm.piece_codec import encode_pieces
@@ -137,6 +138,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations"))
 
@@ -165,6 +170,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_chat_format": op10_chat_format,
 }
 
