@@ -2,9 +2,37 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+MODULES = ["summaries", "trends", "services", "pages", "ordering"]
+
+
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Registers a function under its own name or `name`, with its equivalent in SQL."""
+
+    def add(fn: Query) -> Query:
+        key = name or fn.__name__
+        if key in QUERIES:
+            raise ValueError(f"{key} is registered twice")
+        QUERIES[key] = fn
+        if sql:
+            ORACLES[key] = sql
+        return fn
+
+    return add
+
+
+def load() -> None:
+    for m in MODULES:
+        importlib.import_module(f"quillspark.plans.{m}_plans")
+
+
+load()
