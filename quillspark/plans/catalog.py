@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ["summaries", "trends", "services", "pages", "ordering", "joins", "checks", "accuracy", "inference", "texts"]
+MODULES = ["summaries", "trends", "services", "pages", "ordering", "joins", "checks", "accuracy", "inference", "texts", "extraction"]
 
 
 def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
