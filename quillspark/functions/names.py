@@ -29,8 +29,6 @@ MOJIBAKE = {"â€™": "’", "â€˜": "‘", "â€œ": "“", "â€“": "
 
 
 def _repair(text: str) -> str:
-    for wrong, right in MOJIBAKE.items():
-        text = text.replace(wrong, right)
     for _ in range(2):
         if not any(c in text for c in "ÃÂâ"):
             break
@@ -38,6 +36,9 @@ def _repair(text: str) -> str:
             text = text.encode("cp1252").decode("utf-8")
         except (UnicodeEncodeError, UnicodeDecodeError):
             break
+    # What a mixed text still has of single marks.
+    for wrong, right in MOJIBAKE.items():
+        text = text.replace(wrong, right)
     return unicodedata.normalize("NFC", text)
 
 
