@@ -16,8 +16,9 @@ def squeeze(c: Column) -> Column:
 
 def typography(c: Column) -> Column:
     """Straight quotes, plain dashes and spaces; soft hyphens and zero-width marks go."""
-    plain = F.translate(c, "‘’‚‛“”„–—‒−   ", "''''\"\"\"----   ")
-    return F.regexp_replace(plain, "[­​‌‍﻿]", "")
+    quotes, dashes, spaces = "\u2018\u2019\u201a\u201b\u201c\u201d\u201e", "\u2010\u2011\u2012\u2013\u2014\u2212", "\u00a0\u2007\u202f"
+    plain = F.translate(c, quotes + dashes + spaces, "'" * 4 + '"' * 3 + "-" * len(dashes) + " " * len(spaces))
+    return F.regexp_replace(plain, "[\u00ad\u200b-\u200d\ufeff]", "")
 
 
 def flatten(c: Column) -> Column:
@@ -35,16 +36,24 @@ def ascii_word_count(c: Column) -> Column:
     return F.regexp_count(c, F.lit(ASCII_WORD)).cast("long")
 
 
-def operation_number(name: Column, text: Column) -> Column:
-    """A year and number, or a number of eight digits, in the name, else in the text; without hyphens."""
-    pattern = r"(?:^|[^0-9])((?:19|20)\d{2}-\d{4})(?:[^0-9]|$)"
-    found = [F.nullif(F.regexp_extract(c, p, 1), F.lit("")) for c in (name, text) for p in (pattern, r"(?:^|[^0-9])((?:19|20)\d{6})(?:[^0-9]|$)")]
+#: How operation numbers are written in each template, and the note types of file names.
+OPERATION = {"GNG": r"\b(?:\d{8}|\d{4}-\d{4})\b", "AFS": r"(?<![A-Za-z0-9])(?:\d{8}|\d{4}-\d{4})(?![A-Za-z0-9])", "OTHER": r"(?<![A-Za-z0-9])(?:20\d{6}|20\d{2}-\d{4,6})(?![A-Za-z0-9])"}
+NOTE_TYPES = r"(?i)(NOTEMCDEC|NOTEMCDISC|NOTEMCINFO)"
+#: How many characters of an OTHER note's text are searched for its number.
+OTHER_HEAD = 4000
+
+
+def operation_number(name: Column, text: Column, template: str) -> Column:
+    """The number in the name, else in the text, without hyphens; null if there is none."""
+    head = F.substring(text, 1, OTHER_HEAD) if template == "OTHER" else text
+    found = [F.nullif(F.regexp_extract(c, OPERATION[template], 0), F.lit("")) for c in (name, head)]
+    if template == "GNG":
+        found.insert(0, F.nullif(F.regexp_extract(name, r"(?i)MCGNG\s+(\d+)", 1), F.lit("")))
     return F.replace(F.coalesce(*found), F.lit("-"), F.lit(""))
 
 
 def note_type(name: Column) -> Column:
-    """What a file name has before its first digit or separator, upper-cased."""
-    return F.nullif(F.upper(F.regexp_extract(name, r"^\s*([A-Za-z]+)", 1)), F.lit(""))
+    return F.nullif(F.upper(F.regexp_extract(name, NOTE_TYPES, 1)), F.lit(""))
 
 
 def is_table_line(c: Column) -> Column:
@@ -88,7 +97,21 @@ def label(c: Column, names: dict[str, str]) -> Column:
     return F.coalesce(F.element_at(F.create_map(*pairs), c), c) if pairs else c
 
 
-def author_name(c: Column) -> Column:
-    """A trimmed author, null unless it looks like one: words that begin with capitals, two at least or one with initials."""
-    t = squeeze(F.regexp_replace(typography(c), r"(?i)^\s*(author|prepared by|by)\s*:?\s*", ""))
-    return F.when(t.rlike(r"(?U)^\p{Lu}[\p{L}'.-]*( \p{Lu}[\p{L}'.-]*| (de|van|von|der|di|da|la|le))+$"), t)
+#: The forms of a division in AFS and GNG notes and of a service code in OTHER notes.
+DIVISION = r"^[A-Z]{2}[A-Za-z0-9&.\- ]*(?:/[A-Za-z0-9&().,'\- ]+)+$"
+SERVICE_CODE = r"^[A-ZÀ-ÖØ-Þ]{2,}[A-Za-z0-9À-ÖØ-öø-ÿ&/.,()'\- ]{3,}$"
+
+
+def division_author(c: Column) -> Column:
+    """The author of an AFS or GNG note, null unless it is a division with a slash."""
+    t = F.trim(typography(c))
+    return F.when(t.rlike(DIVISION), t)
+
+
+def service_author(c: Column) -> Column:
+    """The author of an OTHER note: numbers taken out, null unless it is a service code with a slash or a hyphen."""
+    t = F.regexp_replace(squeeze(c), r"(?<![A-Za-z0-9])20\d{2}-\d{0,6}(?![A-Za-z0-9])", "")
+    t = F.regexp_replace(squeeze(F.regexp_replace(t, "/{2,}", "/")), r"(?<!-)/$", "")
+    t = F.trim(t)
+    number = t.rlike(r"^\s*(?:\d{8}|\d{4}-\d{4,6})\s*$")
+    return F.when(t.rlike("[/-]") & t.rlike(SERVICE_CODE) & ~number & ~F.lower(t).startswith("corporate use"), t)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import UNICODE_WORD, canonical_prefix, export_prefix, is_table_line, squeeze
+from quillspark.functions.text import UNICODE_WORD, canonical_prefix, division_author, export_prefix, is_table_line, service_author, squeeze
 from quillspark.schema import SERVICES
 
 #: Patterns of the GNG template. A line is compared after its dashes, quotes and spaces are made plain.
@@ -318,3 +318,26 @@ def header_dates(blocks: DataFrame, pages: list[int] | None = None, left: float
     place = F.struct("stage", "page_no", F.when(F.col("stage") == 2, F.col("y0")).alias("y"), F.when(F.col("stage") == 2, -F.col("x1")).alias("x"), "ord", "at")
     best = ranked.groupBy("doc_id").agg(F.min_by(F.struct("date", "stage"), place).alias("b"))
     return best.select("doc_id", F.regexp_replace("b.date", r"\.", "/").alias("date"), F.col("b.stage").alias("stage"))
+
+
+def author_after_date(lines: DataFrame, within: int = 10) -> DataFrame:
+    """doc_id, author: the first division in the lines after the first page's first date, ten lines on at most."""
+    first = lines.filter((F.col("page_no") == 1) & (F.col("t") != "")).withColumn("k", F.row_number().over(W.partitionBy("doc_id").orderBy("ord")))
+    date = F.min(F.when(F.col("t").rlike(r"\b\d{2}[/.]\d{2}[/.]\d{4}\b"), F.col("k"))).over(W.partitionBy("doc_id"))
+    near = first.withColumn("date_at", date).filter((F.col("k") > F.col("date_at")) & (F.col("k") <= F.col("date_at") + within))
+    found = near.withColumn("author", division_author(F.col("t"))).filter("author is not null")
+    return found.groupBy("doc_id").agg(F.min_by("author", "k").alias("author"))
+
+
+def corner_date_author(lines: DataFrame) -> DataFrame:
+    """doc_id, date (DD/MM/YYYY), author of OTHER notes from the lines (doc_id, ord, text) at the top right of page one.
+
+    A date with slashes counts before one in ISO form; the author is the first service code after the date's line.
+    """
+    slash, iso = F.regexp_extract("text", r"\b(\d{2}/\d{2}/\d{4})\b", 1), F.regexp_extract("text", r"\b(20\d{2}-\d{2}-\d{2})\b", 1)
+    doc = W.partitionBy("doc_id")
+    at = F.coalesce(F.min(F.when(slash != "", F.col("ord"))).over(doc), F.min(F.when(iso != "", F.col("ord"))).over(doc))
+    day = F.when(slash != "", slash).otherwise(F.date_format(F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")), "dd/MM/yyyy"))
+    marked = lines.withColumns({"at": at, "day": day, "code": service_author(F.col("text"))})
+    after = F.col("code").isNotNull() & (F.col("at").isNull() | (F.col("ord") > F.col("at")))
+    return marked.groupBy("doc_id").agg(F.max(F.when(F.col("ord") == F.col("at"), F.col("day"))).alias("date"), F.min_by("code", F.when(after, F.col("ord"))).alias("author"))

@@ -120,10 +120,10 @@ def fold_name_key(spark, d):
 
 
 @query(r"""
-WITH n AS (SELECT o_orderkey, 'note_' || strftime(o_orderdate, '%Y-%m-%d') || '_' || CAST(o_custkey AS VARCHAR) || '.pdf' AS name FROM orders)
-SELECT o_orderkey, CAST(regexp_extract(name, '(20\d{2}[-_]\d{2}[-_]\d{2})', 1) AS VARCHAR) AS raw, try_cast(nullif(regexp_extract(name, '(20\d{2}[-_]\d{2}[-_]\d{2})', 1), '') AS DATE) AS day, 'NOTE' AS kind FROM n""")
+WITH n AS (SELECT o_orderkey, 'NoteMCDec_' || strftime(o_orderdate, '%Y-%m-%d') || '_' || CAST(o_custkey AS VARCHAR) || '.pdf' AS name FROM orders)
+SELECT o_orderkey, CAST(regexp_extract(name, '(20\d{2}[-_]\d{2}[-_]\d{2})', 1) AS VARCHAR) AS raw, try_cast(nullif(regexp_extract(name, '(20\d{2}[-_]\d{2}[-_]\d{2})', 1), '') AS DATE) AS day, 'NOTEMCDEC' AS kind FROM n""")
 def file_name_facts(spark, d):
-    name = F.concat(F.lit("note_"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("_"), F.col("o_custkey").cast("string"), F.lit(".pdf"))
+    name = F.concat(F.lit("NoteMCDec_"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("_"), F.col("o_custkey").cast("string"), F.lit(".pdf"))
     n = table(spark, d, "orders").select("o_orderkey", name.alias("name"))
     return n.select("o_orderkey", F.regexp_extract("name", r"(20\d{2}[-_]\d{2}[-_]\d{2})", 1).alias("raw"), filename_date(F.col("name")).alias("day"), X.note_type(F.col("name")).alias("kind"))
 

@@ -103,3 +103,10 @@ def test_lines_from_words(spark):
     lines = spark.createDataFrame([(1, 1, 100.0, 100.0, 60.0, 1.0, 90.0, "A"), (1, 1, 100.0, 100.0, 60.0, 2.0, 90.0, "A"), (1, 1, 100.0, 100.0, 1.0, 3.0, 20.0, "left"), (1, 2, 100.0, 100.0, 60.0, 1.0, 90.0, "B")], "doc_id long, page_no int, page_w double, page_h double, x0 double, y0 double, x1 double, text string")
     assert [r.text for r in top_right(lines).collect()] == ["A"]
     assert drop_repeats(lines, "text", "doc_id", "page_no", "y0").count() == 3
+
+
+def test_authors(spark):
+    got = {r.doc_id: r.author for r in X.author_after_date(X.page_lines(pages(spark, ["OPS/EARLY\n01/02/2024\nsome line\nOPS/LATE", "x"], ["no date\nOPS/X"]))).collect()}
+    assert got == {1: "OPS/LATE"}
+    lines = spark.createDataFrame([(1, 1, "2024-03-01"), (1, 2, "SG/FIRST"), (1, 3, "on 05/04/2024"), (1, 4, "20241234"), (1, 5, "PJ/AFTER-1"), (2, 1, "2024-02-30"), (2, 2, "ECON-DIV"), (3, 1, "IG/ALONE")], "doc_id long, ord int, text string")
+    assert {r.doc_id: (r.date, r.author) for r in X.corner_date_author(lines).collect()} == {1: ("05/04/2024", "PJ/AFTER-1"), 2: (None, "ECON-DIV"), 3: (None, "IG/ALONE")}

@@ -165,11 +165,15 @@ def test_numbers(spark):
 
 def test_text_scalars(spark):
     f = F.col("t")
-    assert one(spark, X.operation_number(f, F.lit("see 20241234")), t="MC 2023-4567 x") == "20234567" and one(spark, X.operation_number(f, F.lit("see 20241234.")), t="none") == "20241234"
+    number = lambda name, text, t: one(spark, X.operation_number(f, F.lit(text), t), t=name)
+    assert number("MCGNG 123 2023-4567", "", "GNG") == "123" and number("MC 2023-4567 x", "", "GNG") == "20234567" and number("none", "see 20241234.", "AFS") == "20241234"
+    assert number("a12345678", "", "AFS") is None and number("x 2023-45678", "", "OTHER") == "202345678" and number("", " " * 4000 + "20231234", "OTHER") is None
+    assert one(spark, X.note_type(f), t="2024-01-01 noteMCdec x.pdf") == "NOTEMCDEC" and one(spark, X.note_type(f), t="x") is None
     assert one(spark, X.export_prefix(X.canonical_prefix(f)), t="gr & c / rm") == "RM"
     assert [one(spark, X.noise_reason(f), t=v) for v in ("", " 12 ", "Page 2 of 9", "Confidential", "1 2 3 x", "text here")] == ["blank", "page number", "page label", "footer", "table", None]
     assert one(spark, X.is_contents(F.split(f, "\n")), t="\n".join(["x"] * 10 + ["Contents"])) is False
-    assert one(spark, X.author_name(f), t="Author: Ann-Marie de Vries") == "Ann-Marie de Vries" and one(spark, X.author_name(f), t="lower case") is None
+    assert one(spark, X.division_author(f), t="OPS A/DIV‐1") == "OPS A/DIV-1" and one(spark, X.division_author(f), t="no slash") is None
+    assert one(spark, X.service_author(f), t="SG/ABC//2024-12 ") == "SG/ABC" and one(spark, X.service_author(f), t="plain words") is None and one(spark, X.service_author(f), t="Corporate use/x") is None
     assert one(spark, X.label(f, {"a": "Alpha"}), t="a") == "Alpha" and one(spark, X.label(f, {"a": "Alpha"}), t="b") == "b"
 
 
