@@ -18,8 +18,8 @@ from quillspark.llm.common import settle
 BUCKETS = 8192
 #: A group with more than 1 / OWN of all bytes or rows is an item of its own: fewer than 2 * OWN of them.
 OWN = 1024
-#: A group with more than 1 / SLICE of all bytes or rows is cut into slices of about that size.
-SLICE = 128
+#: A group with more than 1 / CUT of all bytes or rows is cut into slices of about 1 / SLICE of them.
+CUT, SLICE = 32, 256
 
 
 def place(weights: np.ndarray, shards: int) -> np.ndarray:
@@ -43,7 +43,7 @@ def shard_groups(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text
     """id, size, text_crc32, law, shard, slot, grown_shard for each row of `docs`.
 
     Size is the UTF-8 bytes of the text plus 1; a null text counts as the empty one. Equal texts go to one shard unless
-    they hold more than 1/128 of all bytes or rows; then they are cut by a hash of the id. Repeated rows and null
+    they hold more than 1/32 of all bytes or rows; then they are cut by a hash of the id. Repeated rows and null
     ids keep a slot each. An empty table gives an empty result; other columns are ignored. Slots follow item, then id.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -61,7 +61,7 @@ def shard_groups(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text
     most = F.greatest(F.col("b") / F.lit(max(total.b, 1)), F.col("r") / F.lit(max(total.r, 1)))
     heavy = rows.groupBy("h").agg(F.sum("size").alias("b"), F.count("*").alias("r")).withColumn("most", most).filter(F.col("most") > 1.0 / OWN)
     # Fewer than 2 * OWN rows, whatever the input.
-    listed = sorted((x.h, int(np.ceil(x.most * SLICE))) for x in heavy.collect())
+    listed = sorted((x.h, int(np.ceil(x.most * SLICE)) if x.most * CUT > 1 else 1) for x in heavy.collect())
     spark = docs.sparkSession
     slices = spark.createDataFrame([(h, k, n) for k, (h, n) in enumerate(listed)], "h long, k long, n long")
     item = F.when(F.col("k").isNull(), F.pmod("h", F.lit(BUCKETS))).otherwise(BUCKETS + F.col("k") * 2 * SLICE + F.pmod(F.xxhash64("id"), F.col("n")))
