@@ -95,6 +95,7 @@ def test_jaccard(spark, monkeypatch, seed):
     if seed == 2:  # tiny buckets, common shingles dealt apart
         monkeypatch.setattr(jaccard_join, "BUCKET_ENTRIES", 200)
         monkeypatch.setattr(jaccard_join, "BLOCK", 5)
+        monkeypatch.setattr(jaccard_join, "LARGE", 3)
         monkeypatch.setattr(jaccard_join, "CROWD", (3, 6, 12))
         monkeypatch.setattr(jaccard_join, "CHUNKS", (1, 1, 3, 5))
     rows = near_copies(random.Random(seed), 60)
