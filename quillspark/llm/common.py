@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,22 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: later steps restart from files, not from its lineage."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PLACES[id(out)] = (weakref.ref(out, lambda _, key=id(out): _PLACES.pop(key, None)), path)
+    return out
+
+
+#: Where the tables lie that settle has written, as long as they are in use.
+_PLACES: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of tables from settle that nothing still to run reads."""
+    for df in tables:
+        found = _PLACES.pop(id(df), None)
+        if found:
+            place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(found[1])
+            place.getFileSystem(df.sparkSession._jsc.sc().hadoopConfiguration()).delete(place, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,7 +92,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             step.join(jump, "next", "left").select("node", F.least("next", F.coalesce("far", "next")).alias("component"), "old"),
             "labels",
         )
-        labels = new.select("node", "component")
+        release(labels)
+        labels = new
         if not new.filter("component <> old").limit(1).count():
-            return labels
+            release(both)
+            return new.select("node", "component")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import lookup, settle
+from quillspark.llm.common import lookup, release, settle
 
 MIN_SITES = 10
 #: Buckets of a sketch, as a power of two, and three standard errors of its estimate.
@@ -51,7 +51,8 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, max_share: flo
     shared = settle(lookup(lines, counts, "line", "n_rows", lines.count(), F.struct("doc_id", "pos")).filter("n_rows is not null"), "shared")
     found = line_spread(shared.select("line", "site"), min_sites).join(counts, "line")
     hits = lookup(shared.drop("n_rows"), found, "line", "n_rows", shared.count(), F.struct("doc_id", "pos")).filter("sites is not null")
-    gone = hits.groupBy("doc_id", "_text").agg(F.collect_set("pos").alias("_gone"))
+    gone = settle(hits.groupBy("doc_id", "_text").agg(F.collect_set("pos").alias("_gone")), "gone")
+    release(lines, shared)
     joined = base.join(gone.withColumnsRenamed({"doc_id": "_id", "_text": "_t"}), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t")), "left")
     rest = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(split, lambda x, i: ~F.array_contains("_gone", i)), "\n"))
     size = F.length(F.replace("text", F.lit("\n"), F.lit("")))
