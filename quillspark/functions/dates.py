@@ -34,10 +34,14 @@ def meta_date(value: Column) -> Column:
     return _built(*[F.regexp_extract(value, pattern, k) for k in (1, 2, 3)])
 
 
+#: The date of a letterhead, and any date, as notes write them.
+LETTERHEAD = r"(?i)Luxembourg,?\s+([0-3]?\d[./-][01]?\d[./-]20\d{2})"
+ANY_DATE = r"\b([0-3]?\d[./][01]?\d[./]20\d{2})\b"
+
+
 def visible_raw(text: Column) -> Column:
     """The date as written after the city of the letterhead, else the first date in the text."""
-    head = F.regexp_extract(text, r"(?i)Luxembourg,?\s+([0-3]?\d[./-][01]?\d[./-]20\d{2})", 1)
-    any_ = F.regexp_extract(text, r"\b([0-3]?\d[./][01]?\d[./]20\d{2})\b", 1)
+    head, any_ = F.regexp_extract(text, LETTERHEAD, 1), F.regexp_extract(text, ANY_DATE, 1)
     return F.coalesce(F.nullif(head, F.lit("")), F.nullif(any_, F.lit("")))
 
 
