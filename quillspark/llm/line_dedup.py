@@ -53,7 +53,8 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, max_share: flo
     hits = lookup(shared.drop("n_rows"), found, "line", "n_rows", shared.count(), F.struct("doc_id", "pos")).filter("sites is not null")
     gone = settle(hits.groupBy("doc_id", "_text").agg(F.collect_set("pos").alias("_gone")), "gone")
     release(lines, shared)
-    joined = base.join(gone.withColumnsRenamed({"doc_id": "_id", "_text": "_t"}), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t")), "left")
+    # Merged at every size: the table grows with the corpus, so whether it could be broadcast says nothing about the next run.
+    joined = base.join(gone.withColumnsRenamed({"doc_id": "_id", "_text": "_t"}).hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t")), "left")
     rest = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(split, lambda x, i: ~F.array_contains("_gone", i)), "\n"))
     size = F.length(F.replace("text", F.lit("\n"), F.lit("")))
     mine = F.length(F.replace("_rest", F.lit("\n"), F.lit(""))) < size * F.lit(1 - max_share)
