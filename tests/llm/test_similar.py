@@ -104,6 +104,26 @@ def test_jaccard(spark, monkeypatch, seed):
     assert got == jaccard_brute(rows)
 
 
+def test_jaccard_dealt_shingle_with_few_sets(spark, monkeypatch):
+    """Copies make a shingle crowded whose sets are two; they meet though each is in a bucket of its own."""
+    monkeypatch.setattr(jaccard_join, "CHUNKS", (1, 64, 64, 64))
+    rng, rows = random.Random(4), []
+    while len(rows) < 4 * 21:
+        words = [f"w{rng.randrange(10_000)}" for _ in range(9)]
+        if max(Words([" ".join(words).encode()]).shingles(5)[0].tolist()) < jaccard_join.COUNTED:
+            rows += [" ".join(words[:8])] * 20 + [" ".join(words)]
+    rows = list(enumerate(rows))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == jaccard_brute(rows)
+
+
+def test_jaccard_dealt_shingles(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CHUNKS", (1, 3, 3, 5))
+    rows = near_copies(random.Random(5), 60)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == jaccard_brute(rows)
+
+
 def test_jaccard_odd_tables(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     got = jaccard_components(spark.createDataFrame([(3, "a b"), (3, "a b"), (5, "A b"), (None, "a b")], "doc_id long, text string")).collect()
