@@ -31,7 +31,7 @@ def master_columns(df: DataFrame) -> DataFrame:
     return out.drop("bo_afs_date", "bo_pin_gng_date", "bo_author", "bo_product", "bo_flag", "bo_pj", "bo_rm", "bo_ju", "bo_sg", "bo_process")
 
 
-#: Characters that a shorter name's start is looked up by inside longer ones.
+#: Characters that a shorter name's start is looked up by inside longer ones; names with fewer are looked up whole.
 GRAM = 6
 
 
@@ -42,7 +42,7 @@ def match_cascade(notes: DataFrame, files: DataFrame) -> DataFrame:
     such file), the only file of the template with the clean name, the only file at all with it, the only file of the
     template whose clean name contains the note's or lies in it. Whether a candidate is the only one is decided over all
     files, before earlier tiers take any. The last tier meets by template and the first GRAM characters of the shorter
-    name, wherever they stand in the longer; clean names shorter than that can't be found in others, only equal ones.
+    name, wherever they stand in the longer; a clean name shorter than that meets the pieces of its length of the others.
     """
     exact = files.groupBy("name").agg(F.max_by("file", "ordinal").alias("file1"))
     in_template = files.groupBy("template", "clean").agg(F.max("file").alias("file2"), F.count("*").alias("n2"))
@@ -53,12 +53,22 @@ def match_cascade(notes: DataFrame, files: DataFrame) -> DataFrame:
     first = found.select("id", "template", "clean", early.alias("early"), method.alias("method"))
     left = first.filter("early is null and clean <> ''").select("id", "template", "clean")
     grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - GRAM + 1)), lambda i: F.substring(c, i, GRAM)))
+    cut = lambda c, n: F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.substring(c, i, n))
+    pieces = lambda c: F.array_distinct(F.flatten(F.array(*[cut(c, n) for n in range(1, GRAM)])))
     a = left.select("id", "template", F.col("clean").alias("mine"))
-    b = files.filter("clean <> ''").select("template", F.col("clean").alias("theirs"), "file")
-    inside = a.select("*", F.explode(grams(F.col("mine"))).alias("g")).join(b.withColumn("g", F.substring("theirs", 1, GRAM)), ["template", "g"]).filter(F.contains("mine", "theirs"))
-    around = b.select("*", F.explode(grams(F.col("theirs"))).alias("g")).join(a.withColumn("g", F.substring("mine", 1, GRAM)), ["template", "g"]).filter(F.contains("theirs", "mine"))
-    hits = inside.select("id", "file").union(around.select("id", "file")).distinct()
-    only = hits.groupBy("id").agg(F.max("file").alias("late"), F.count("*").alias("n")).filter("n = 1")
+    # A note's file is the only one if the least and the largest of those that fit are the same, however often one is met.
+    b = files.filter("clean <> ''").groupBy("template", F.col("clean").alias("theirs")).agg(F.min("file").alias("low"), F.max("file").alias("high"))
+    long_a, long_b = a.filter(F.length("mine") >= GRAM), b.filter(F.length("theirs") >= GRAM)
+    inside = long_a.select("*", F.explode(grams(F.col("mine"))).alias("g")).join(long_b.withColumn("g", F.substring("theirs", 1, GRAM)), ["template", "g"]).filter(F.contains("mine", "theirs"))
+    around = long_b.select("*", F.explode(grams(F.col("theirs"))).alias("g")).join(long_a.withColumn("g", F.substring("mine", 1, GRAM)), ["template", "g"]).filter(F.contains("theirs", "mine"))
+    short_b = b.filter(F.length("theirs") < GRAM).withColumnRenamed("theirs", "g")
+    short_inside = a.select("id", "template", F.explode(pieces(F.col("mine"))).alias("g")).join(short_b, ["template", "g"])
+    # The files around a short name are counted once for the name, not for each note that has it.
+    short_a = a.filter(F.length("mine") < GRAM).withColumnRenamed("mine", "g")
+    met = b.select("template", F.explode(pieces(F.col("theirs"))).alias("g"), "low", "high").join(short_a.select("template", "g").distinct(), ["template", "g"])
+    short_around = short_a.join(met.groupBy("template", "g").agg(F.min("low").alias("low"), F.max("high").alias("high")), ["template", "g"])
+    hits = reduce(DataFrame.union, [x.select("id", "low", "high") for x in (inside, around, short_inside, short_around)])
+    only = hits.groupBy("id").agg(F.min("low").alias("low"), F.max("high").alias("late")).filter("low = late")
     out = first.join(only, "id", "left")
     return out.select("id", F.coalesce("early", "late").alias("file"), F.coalesce("method", F.when(F.col("late").isNotNull(), "template_clean_contains"), F.lit("unmatched")).alias("match_method"))
 

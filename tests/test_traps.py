@@ -184,6 +184,18 @@ def test_match_cascade_tiers(spark):
     assert got == {1: (2, "exact_file_name"), 2: (3, "template_clean_name"), 3: (4, "global_clean_name"), 4: (5, "template_clean_contains"), 5: (None, "unmatched"), 6: (None, "unmatched"), 7: (8, "template_clean_contains")}
 
 
+def test_match_cascade_short_names(spark):
+    names = ["PIN", "XPINX", "MEMOONE", "NOTETWO", "AB", "ZZ", "NO", "É1", "SHORTY", ""]
+    theirs = ["12PINNOTE", "MEM", "NOTETWOB", "TET", "ABC", "QABQ", "É", "HORT", "1É1", "SHO"]
+    notes = [(i, "T", f"n{i}", c) for i, c in enumerate(names)] + [(100, "U", "n", "PIN")]
+    files = [(i, "T", f"f{i}", c, i) for i, c in enumerate(theirs)] + [(50, "U", "f", "LONGPINNAME", 50)]
+    fits = {i: [f for f, u, _, d, _ in files if u == t and c and d and (c in d or d in c)] for i, t, _, c in notes}
+    got = joins.match_cascade(spark.createDataFrame(notes, "id int, template string, name string, clean string"), spark.createDataFrame(files, "file int, template string, name string, clean string, ordinal int"))
+    got = {r.id: (r.file, r.match_method) for r in got.collect()}
+    assert got == {i: (f[0], "template_clean_contains") if len(f) == 1 else (None, "unmatched") for i, f in fits.items()}
+    assert got[0] == (0, "template_clean_contains") and got[3] == (None, "unmatched") and len(fits[3]) == 2
+
+
 def test_header_promotion(spark):
     df = spark.createDataFrame([(0, ["t", None]), (1, ["Name", " Date "]), (2, ["n", "d"]), (3, ["Name", "Date"])], "o int, c array<string>")
     body, names = joins.promote_header(df, "c", "o", ["Name", "Date"])
