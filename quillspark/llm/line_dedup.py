@@ -34,7 +34,7 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, max_share: flo
 
     Lines are compared whole, as they stand; empty lines are never boilerplate. A null site counts for no site; a null
     text stays null with no lines; a document whose lines are all boilerplate, or more than `max_share` of its
-    characters, stays as it is with n_removed 0. Repeated rows are all treated alike; an empty table stays empty.
+    characters, stays as it is with n_removed 0 (with a `max_share` of 1 only the former do). Repeated rows are all treated alike; an empty table stays empty.
     Columns named n_lines or n_removed are replaced; all other columns pass through.
     """
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
@@ -57,7 +57,8 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, max_share: flo
     joined = base.join(gone.withColumnsRenamed({"doc_id": "_id", "_text": "_t"}).hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t")), "left")
     rest = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(split, lambda x, i: ~F.array_contains("_gone", i)), "\n"))
     size = F.length(F.replace("text", F.lit("\n"), F.lit("")))
-    mine = F.length(F.replace("_rest", F.lit("\n"), F.lit(""))) < size * F.lit(1 - max_share)
+    own = F.length(F.replace("_rest", F.lit("\n"), F.lit("")))
+    mine = (own == 0) | (own < size * F.lit(1 - max_share))
     return (
         joined.withColumn("_rest", rest)
         .withColumn("_mine", F.coalesce(mine, F.lit(False)))

@@ -61,6 +61,14 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
     assert sorted(map(tuple, packed.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_pipeline_cleans_every_page_with_a_line_of_its_own(spark):
+    notice = "a notice that is much longer than what thin pages say themselves"
+    rows = [(i, f"{notice}\nown {i}", "en", f"s{i}", 0) for i in range(12)] + [(20 + i, notice, "en", f"s{i}", 0) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, df, "").collect()}
+    assert got == {i: f"own {i}" for i in range(12)} | {20 + i: notice for i in range(12)}
+
+
 def test_registry():
     assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
     assert set(SQL) <= set(QUERIES)
