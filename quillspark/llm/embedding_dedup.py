@@ -172,7 +172,8 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE, tables: int = TA
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     peak = F.array_max(F.transform("v", lambda x: F.abs(x)))
-    good = rows.filter("id is not null and label is not null and v is not null").filter((F.size("v") > 0) & finite).filter(peak > 0)
+    sound = F.coalesce(F.expr("id is not null and label is not null and v is not null") & (F.size("v") > 0) & finite & (peak > 0), F.lit(False))
+    good = rows.filter(sound)
     # Very large or small components are scaled first, so that no square overflows or vanishes.
     scaled = good.withColumn("v", F.when((norm > 1e-200) & (norm < 1e200), F.col("v")).otherwise(F.transform("v", lambda x: x / peak)))
     keyed = settle(scaled.withColumns({"hash": F.xxhash64("v", "label")}).select("id", "v", "label", "hash"), "good")
@@ -199,5 +200,5 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE, tables: int = TA
     )
     members = lookup(keyed.select("id", F.struct("hash", "label").alias("k"), F.col("v").alias("own_v")), named.select(F.struct("hash", "label").alias("k"), "n", "n_links", "component", F.col("v").alias("rep_v")), "k", "n", keyed.count(), F.col("id"))
     members = members.filter("own_v = rep_v").select("id", "n_links", "component")
-    rest = rows.join(members.select("id").distinct(), "id", "left_anti").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
+    rest = rows.filter(~sound).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     return members.unionByName(rest).select(F.col("id").alias(id_col), "n_links", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))

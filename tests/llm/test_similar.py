@@ -58,6 +58,12 @@ def test_embeddings(spark, monkeypatch, block):
         assert {i: (r.n_links, r.component_id, r.kept) for i, r in got.items()} == {i: (links[i], names[i], names[i] == i) for i in names}
 
 
+def test_embeddings_bad_row_beside_a_good_one_of_its_id(spark):
+    rows = [(1, [1.0, 0.0], 0), (1, None, 0), (1, [0.0, 0.0], 0), (1, [1.0, 0.0], None), (2, [1.0, 0.0], 0), (None, [1.0, 0.0], 0), (3, [float("nan"), 1.0], 0)]
+    got = embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == sorted([(1, 1, 1), (2, 1, 1), (1, 0, 1), (1, 0, 1), (1, 0, 1), (None, 0, None), (3, 0, 3)], key=str)
+
+
 def test_embeddings_empty(spark):
     assert embedding_links(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
