@@ -12,6 +12,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,6 +86,8 @@ def _shared(label: bytes, key: bytes, at: int) -> int:
 
 #: A chunk's trie is given up as tables of owners once it holds so many bytes.
 CHUNK_BYTES = 24_000_000
+#: What a null identifier is in a minimum and in a maximum.
+NO_LOW, NO_HIGH = (1 << 63) - 1, -(1 << 63)
 #: Members listed in one row at most; a longer list continues in more rows.
 LIST_ROWS = 4096
 
@@ -100,9 +103,11 @@ def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, term in trie.subtrees():
             digest = hashlib.sha256(key)
             ids, h = members.pop(id(term)), int.from_bytes(digest.digest()[:8], "little", signed=True)
+            # Where no member has an identifier the partition's number stands for the owner's.
+            owner = next((i for i in ids if i is not None), ~TaskContext.get().partitionId())
             for k in range(0, len(ids), LIST_ROWS):
                 first = k == 0
-                rows.append((ids[0], k, ids[k : k + LIST_ROWS], term[0], term[1], term[2] if first else 0, len(key), h, digest.hexdigest(), key if first else None))
+                rows.append((owner, k, ids[k : k + LIST_ROWS], term[0], term[1], term[2] if first else 0, len(key), h, digest.hexdigest(), key if first else None))
                 size += len(key) if first else 0
             if size > 4_000_000 or len(rows) > 2000:
                 yield _batch(rows)
@@ -112,7 +117,7 @@ def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            term = trie.insert((text or "").encode().lower(), i, i, 1)
+            term = trie.insert((text or "").encode().lower(), NO_LOW if i is None else i, NO_HIGH if i is None else i, 1)
             members.setdefault(id(term), []).append(i)
             if trie.held + 40 * len(members) > CHUNK_BYTES:
                 yield from given(trie, members)
@@ -150,21 +155,22 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=OWNERS)
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "last") -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "last", null_ids: bool = False) -> DataFrame:
     """One row for each row of `docs`: id, keep_id, group_size, kept, text_sha256 (of the text with A-Z lower-cased).
 
     Equal means the same bytes after lower-casing A-Z; a null text is the empty one. Of each group the row with the
-    largest identifier stays (`keep="first"`: the smallest). Rows with a null identifier are left out: no group could
-    name them. Repeated rows with one identifier count each and are all marked kept when theirs is. An empty table
+    largest identifier stays (`keep="first"`: the smallest). Rows with a null identifier are left out, or with
+    `null_ids` are members that count and are never the one that stays: their kept is null. Repeated rows with one identifier count each and are all marked kept when theirs is. An empty table
     gives an empty result; other columns of `docs` are ignored, whatever their names.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = rows if null_ids else rows.filter("id is not null")
     members = settle(rows.mapInArrow(_collapse, "owner long, part long, ids array<long>, low long, high long, rows long, n_bytes long, hash long, sha string, body binary"), "texts")
     dealt = members.filter("body is not null").select("owner", "low", "high", "rows", "n_bytes", "hash", "body").repartition("n_bytes", "hash").sortWithinPartitions("n_bytes", "hash")
     # A chunk lists a text once and an identifier's text has one hash, so (owner, hash) names the row of a chunk;
     # where one row is repeated over chunks its owner rows agree, and are merged.
     owners = dealt.mapInArrow(_own, "owner long, hash long, first long, last long, size long").groupBy("owner", "hash").agg(F.max("first").alias("first"), F.max("last").alias("last"), F.max("size").alias("size"))
-    stays = F.col("last") if keep == "last" else F.col("first")
+    stays = F.when(F.col("first") <= F.col("last"), F.col("last") if keep == "last" else F.col("first"))
     return (
         members.select("owner", "hash", "sha", "ids")
         .join(owners, ["owner", "hash"])

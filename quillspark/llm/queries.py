@@ -119,7 +119,7 @@ SELECT doc_id, n_lines, n_removed, length(text) AS n_left, sha256(text) AS text_
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_groups(table(spark, sf_dir, "documents"))
+    return exact_groups(table(spark, sf_dir, "documents"), null_ids=True)
 
 
 OP7_SQL = """

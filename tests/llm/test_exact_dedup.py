@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 
 from quillspark.llm import exact_dedup
 from quillspark.llm.exact_dedup import Trie, exact_groups
+from quillspark.llm.queries import op7_exact_dedup
 
 
 @settings(max_examples=200, deadline=None)
@@ -40,3 +41,10 @@ def test_empty_and_null_ids(spark):
     assert exact_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     got = exact_groups(spark.createDataFrame([(None, "a"), (1, "A")], "doc_id long, text string")).collect()
     assert [tuple(r)[:4] for r in got] == [(1, 1, 1, True)]
+
+
+def test_query_keeps_and_counts_null_ids(spark, tmp_path):
+    rows = [(None, "a"), (1, "A"), (7, "a"), (None, "b"), (None, "B"), (2, "c")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r)[:4] for r in op7_exact_dedup(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([(None, 7, 3, None), (1, 7, 3, False), (7, 7, 3, True), (None, None, 2, None), (None, None, 2, None), (2, 2, 1, True)], key=str)
