@@ -75,9 +75,14 @@ def filter_urls(df: DataFrame, rules: Sequence[tuple[str, str, str]], url: str =
         return out.withColumns({"rule": name, "verdict": verdict}).drop("_best")
     spark = df.sparkSession
     filed = [(t, i) for t, found in index.items() for i in found]
-    listed = spark.createDataFrame([(t, rank[i], rules[i][1] + rules[i][2], rules[i][0], rule_regex(*rules[i][1:])) for t, i in filed], "_token string, _rank int, _rule string, _verdict string, _regex string")
+    listing = lambda filed: spark.createDataFrame([(t, rank[i], rules[i][1] + rules[i][2], rules[i][0], rule_regex(*rules[i][1:])) for t, i in filed], "_token string, _rank int, _rule string, _verdict string, _regex string")
+    listed = listing(filed)
     numbered = base.withColumn("_id", F.struct("host", "path"))
     urls = numbered.select("_id", "host", "path").distinct()
     hits = urls.withColumn("_token", F.explode(tokens)).join(listed, "_token").filter(F.expr("rlike(concat(host, '\u0001', path), _regex)"))
+    if always:
+        # Rules without a token meet every URL, so they aren't dealt by one.
+        every = urls.crossJoin(F.broadcast(listing([("", i) for i in always]))).filter(F.expr("rlike(concat(host, '\u0001', path), _regex)"))
+        hits = hits.select("_id", "_rank", "_rule", "_verdict").unionByName(every.select("_id", "_rank", "_rule", "_verdict"))
     won = hits.groupBy("_id").agg(F.min(F.struct("_rank", "_rule", "_verdict")).alias("_won"))
     return numbered.join(won, "_id", "left").select(*base.columns, F.col("_won._rule").alias("rule"), F.coalesce("_won._verdict", F.lit(default)).alias("verdict"))

@@ -38,3 +38,11 @@ def test_empty_table_and_no_rules(spark):
 
 def test_open_path_segment_is_no_token():
     assert rule_tokens("a.com", "/en/fr") == ["h:a", "h:com", "p:en"]
+
+
+@pytest.mark.parametrize("mapped", [512, 1])
+def test_rules_without_a_token(spark, monkeypatch, mapped):
+    monkeypatch.setattr(url_filter, "MAX_MAPPED_RULES", mapped)
+    df = spark.createDataFrame([("file:///etc",), ("http://a.com/etc",)], "url string")
+    got = {r.url: (r.rule, r.verdict) for r in filter_urls(df, [("block", "", "/etc"), ("allow", "com", "/"), ("block", "b.com", "/")]).collect()}
+    assert got == {"file:///etc": ("/etc", "block"), "http://a.com/etc": ("com/", "allow")}
