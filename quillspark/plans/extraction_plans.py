@@ -40,6 +40,6 @@ def header_date_stages(spark, d):
     p = table(spark, d, "pages")
     blocks = p.select(
         F.col("page_id").alias("doc_id"), F.lit(1).alias("page_no"), F.lit(600.0).alias("page_w"), F.lit(800.0).alias("page_h"), F.when(F.col("page_id") < 100, 300.0).otherwise(10.0).alias("x0"),
-        F.lit(20.0).alias("y0"), F.lit(500.0).alias("x1"), F.lit(60.0).alias("y1"), F.concat(F.lit("Corporate Use\nLuxembourg, 0"), F.substring(F.col("page_id").cast("string"), 1, 1), F.lit(".05.2024\n"), F.substring("html", 1, 200)).alias("text"), F.lit(1).alias("ord"),
+        F.lit(20.0).alias("y0"), F.lit(500.0).alias("x1"), F.lit(60.0).alias("y1"), F.concat(F.lit("Corporate Use\nLuxembourg, 0"), F.substring(F.col("page_id").cast("string"), 1, 1), F.lit(".05.2024\n"), "html").alias("text"), F.lit(1).alias("ord"),
     )
     return X.header_dates(blocks)

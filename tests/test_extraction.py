@@ -110,3 +110,12 @@ def test_authors(spark):
     assert got == {1: "OPS/LATE"}
     lines = spark.createDataFrame([(1, 1, "2024-03-01"), (1, 2, "SG/FIRST"), (1, 3, "on 05/04/2024"), (1, 4, "20241234"), (1, 5, "PJ/AFTER-1"), (2, 1, "2024-02-30"), (2, 2, "ECON-DIV"), (3, 1, "IG/ALONE")], "doc_id long, ord int, text string")
     assert {r.doc_id: (r.date, r.author) for r in X.corner_date_author(lines).collect()} == {1: ("05/04/2024", "PJ/AFTER-1"), 2: (None, "ECON-DIV"), 3: (None, "IG/ALONE")}
+
+
+def test_header_dates_read_whole_pages(spark, sf_dir, monkeypatch):
+    from quillspark.plans import extraction_plans
+
+    monkeypatch.setattr(extraction_plans.X, "header_dates", lambda blocks: blocks)
+    texts = {r.doc_id: r.text for r in extraction_plans.header_date_stages(spark, sf_dir).collect()}
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    assert len(texts) == len(pages) and all(texts[k].endswith(v) for k, v in pages.items())
