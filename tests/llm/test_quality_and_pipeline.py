@@ -69,6 +69,14 @@ def test_pipeline_cleans_every_page_with_a_line_of_its_own(spark):
     assert got == {i: f"own {i}" for i in range(12)} | {20 + i: notice for i in range(12)}
 
 
+def test_pipeline_judges_rows_that_share_an_id_by_their_text(spark):
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    rows = [(1, a), (1, a), (2, a + " more"), (3, b), (4, b + " tail"), (4, "a clean text of its own"), (5, None), (5, None), (None, b), (6, ""), (7, "x y z"), (7, "x y z")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.ngram_jaccard_join(spark, df, "").collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (3, b), (4, "a clean text of its own"), (5, None), (5, None), (6, ""), (7, "x y z")], key=str)
+
+
 def test_registry():
     assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
     assert set(SQL) <= set(QUERIES)
