@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
 import tempfile
 import uuid
 import weakref
@@ -11,15 +14,40 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session.
+    """This process's own folder inside the one that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only where the session names none (tests in local mode) a temporary folder is set.
+    Only a session in local mode (tests) may name none; it gets a temporary folder. Elsewhere each executor would write
+    such a folder to its own disk, so a missing setting is an error.
     """
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    known = _RUNS.get(context.applicationId)
+    if known:
+        return known
+    found = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="quillspark-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+    _RUNS[context.applicationId] = f"{found.rstrip('/')}/quillspark-{uuid.uuid4().hex}"
+    atexit.register(finish, spark)
+    return _RUNS[context.applicationId]
+
+
+#: The folder of each application of this process.
+_RUNS: dict[str, str] = {}
+
+
+def finish(spark: SparkSession) -> None:
+    """Delete all tables that settle has written in this session. Results that haven't been read yet are lost."""
+    with contextlib.suppress(Exception):  # at the end of a process the session may be gone
+        found = _RUNS.pop(spark.sparkContext.applicationId, None)
+        if found:
+            _delete(spark, found)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.sc().hadoopConfiguration()).delete(place, True)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
@@ -36,12 +64,19 @@ _PLACES: dict[int, tuple[weakref.ref, str]] = {}
 
 
 def release(*tables: DataFrame) -> None:
-    """Delete the files of tables from settle that nothing still to run reads."""
+    """Delete the files of tables from settle that nothing still to run reads; the others go with finish."""
     for df in tables:
         found = _PLACES.pop(id(df), None)
         if found:
-            place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(found[1])
-            place.getFileSystem(df.sparkSession._jsc.sc().hadoopConfiguration()).delete(place, True)
+            _delete(df.sparkSession, found[1])
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """`name`, lengthened until no column of a table is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,21 +88,23 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-#: A key with more than this share of all rows is hot, so there are at most 1 / HOT_SHARE hot keys to broadcast.
-HOT_SHARE = 0.002
-SALTS = 32
+#: A key with more than this share of all rows is hot, so fewer than 1 / HOT_SHARE hot keys exist, whatever the input.
+HOT_SHARE = 0.001
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, weight: str, total: int, by: Column) -> DataFrame:
     """Left join to `right`, which has one row for each `key` and in `weight` how many rows of `left` have it.
 
-    Hot keys are salted on the left by `by` and repeated on the right, so no task gets all rows of one key.
-    The broadcast side holds hot keys only: fewer than 1 / HOT_SHARE rows, whatever the input.
+    Hot keys are dealt on the left, by `by`, to as many parts as they hold shares, and repeated on the right for each,
+    so no task gets all rows of one key. The broadcast side holds hot keys only: fewer than 1 / HOT_SHARE rows.
     """
-    hot = right.filter(F.col(weight) > F.lit(max(1.0, total * HOT_SHARE))).select(F.col(key).alias("_hot"))
+    share = F.lit(max(1.0, total * HOT_SHARE))
+    parts = F.ceil(F.col(weight) / share).cast("int")
+    hot = right.filter(F.col(weight) > share).select(F.col(key).alias("_hot"), parts.alias("_parts"))
     marked = left.join(F.broadcast(hot), left[key].eqNullSafe(F.col("_hot")), "left")
-    marked = marked.withColumn("_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")).drop("_hot")
-    salts = F.when(F.col(weight) > F.lit(max(1.0, total * HOT_SHARE)), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(by, F.lit("salt")), F.col("_parts"))).otherwise(F.lit(0)).cast("int")
+    marked = marked.withColumn("_salt", salt).drop("_hot", "_parts")
+    salts = F.when(F.col(weight) > share, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0)))
     spread = right.withColumn("_salt", F.explode(salts)).withColumnRenamed(key, "_key")
     joined = marked.join(spread, marked[key].eqNullSafe(spread["_key"]) & (marked["_salt"] == spread["_salt"]), "left")
     return joined.drop(marked["_salt"]).drop(spread["_salt"]).drop("_key")
@@ -76,23 +113,23 @@ def lookup(left: DataFrame, right: DataFrame, key: str, weight: str, total: int,
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for each node of the links (a, b); component is the smallest node that can be reached.
 
-    Minimum labels travel along links, then each label jumps to its own label; every round is written out.
+    Minimum labels travel along links, then each label jumps to its own label; every round is written out. A hub of
+    many links, or a label of many nodes, is dealt to several tasks.
     """
-    both = settle(
-        edges.select("a", "b").filter("a <> b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")).filter("a <> b")).distinct(),
-        "links",
-    )
-    labels = settle(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")), "labels")
+    mirrored = edges.select("a", "b").filter("a <> b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")).filter("a <> b"))
+    both = settle(mirrored.distinct(), "links")
+    count = both.count()
+    start = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"), F.count("*").alias("links"))
+    labels = settle(start.select("node", F.least("node", "m").alias("component"), "links"), "labels")
+    nodes = labels.count()
     for _ in range(max_rounds):
-        named = both.join(labels.select(F.col("node").alias("b"), F.col("component").alias("c")), "b")
+        named = lookup(both, labels.select(F.col("node").alias("b"), F.col("component").alias("c"), "links"), "b", "links", count, F.col("a"))
         best = named.groupBy(F.col("a").alias("node")).agg(F.min("c").alias("c"))
-        step = labels.join(best, "node").select("node", F.least("component", "c").alias("next"), F.col("component").alias("old"))
-        jump = labels.select(F.col("node").alias("next"), F.col("component").alias("far"))
-        new = settle(
-            step.join(jump, "next", "left").select("node", F.least("next", F.coalesce("far", "next")).alias("component"), "old"),
-            "labels",
-        )
-        release(labels)
+        step = settle(labels.join(best, "node").select("node", "links", F.least("component", "c").alias("next"), F.col("component").alias("old")), "step")
+        jump = step.groupBy("next").agg(F.count("*").alias("times")).join(labels.select(F.col("node").alias("next"), F.col("component").alias("far")), "next")
+        moved = lookup(step, jump, "next", "times", nodes, F.col("node"))
+        new = settle(moved.select("node", F.least("next", F.coalesce("far", "next")).alias("component"), "links", "old"), "labels")
+        release(labels, step)
         labels = new
         if not new.filter("component <> old").limit(1).count():
             release(both)

@@ -1,13 +1,16 @@
 import collections
 import random
 import zlib
+from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from quillspark.llm import embedding_dedup, jaccard_join
+from quillspark.llm import embedding_dedup
 from quillspark.llm.embedding_dedup import embedding_links, hadamard
-from quillspark.llm.jaccard_join import Order, jaccard_components
+from quillspark.llm.jaccard_join import Order, Tuning, _cells, jaccard_components
 from quillspark.llm.wordhash import Words
 
 
@@ -96,38 +99,107 @@ def near_copies(rng, n):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_jaccard(spark, monkeypatch, seed):
-    if seed == 2:  # tiny buckets, common shingles dealt apart
-        monkeypatch.setattr(jaccard_join, "BUCKET_ENTRIES", 200)
-        monkeypatch.setattr(jaccard_join, "BLOCK", 5)
-        monkeypatch.setattr(jaccard_join, "LARGE", 3)
-        monkeypatch.setattr(jaccard_join, "CROWD", (3, 6, 12))
-        monkeypatch.setattr(jaccard_join, "CHUNKS", (1, 1, 3, 5))
-    rows = near_copies(random.Random(seed), 60)
+#: Tiny buckets, blocks and regions, common shingles dealt apart.
+TINY = Tuning(crowd=(3, 6, 12), chunks=(1, 1, 3, 5), bucket_entries=200, pivots=3, leaf=4, block=5, part=3)
+
+
+def jaccard_found(spark, rows, tuning):
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, n string, a int").repartition(3)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df).collect()}
-    assert got == jaccard_brute(rows)
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df, tuning=tuning).collect()}
+
+
+@pytest.mark.parametrize(("seed", "tuning"), [(1, None), (2, TINY), (3, replace(TINY, depth=0)), (4, replace(TINY, radius=0.7)), (5, Tuning(chunks=(1, 3, 3, 5)))])
+def test_jaccard(spark, seed, tuning):
+    rows = near_copies(random.Random(seed), 60)
+    assert jaccard_found(spark, rows, tuning) == jaccard_brute(rows)
 
 
-def test_jaccard_dealt_shingle_with_few_sets(spark, monkeypatch):
+def test_jaccard_dealt_shingle_with_few_sets(spark):
     """Copies make a shingle crowded whose sets are two; they meet though each is in a bucket of its own."""
-    monkeypatch.setattr(jaccard_join, "CHUNKS", (1, 64, 64, 64))
     rng, rows = random.Random(4), []
-    while len(rows) < 4 * 21:
+    for _ in range(6):
         words = [f"w{rng.randrange(10_000)}" for _ in range(9)]
-        if max(Words([" ".join(words).encode()]).shingles(5)[0].tolist()) < jaccard_join.COUNTED:
-            rows += [" ".join(words[:8])] * 20 + [" ".join(words)]
+        rows += [" ".join(words[:8])] * 20 + [" ".join(words)]
     rows = list(enumerate(rows))
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
-    assert got == jaccard_brute(rows)
-
-
-def test_jaccard_dealt_shingles(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "CHUNKS", (1, 3, 3, 5))
-    rows = near_copies(random.Random(5), 60)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
-    assert got == jaccard_brute(rows)
+    assert jaccard_found(spark, rows, Tuning(chunks=(1, 64, 64, 64))) == jaccard_brute(rows)
+
+
+def test_jaccard_shingle_of_more_copies_than_the_second_level(spark):
+    """70,000 copies of one text, over several tasks, link with its start and its end: Jaccard is exactly 3/4."""
+    rng = random.Random(9)
+    words = [[f"w{rng.randrange(10_000)}" for _ in range(8)] for _ in range(3)]
+    variants = [x for w in words for x in (w[:7], w[1:])]
+    docs = spark.range(0, 70_000 * 3, 1, 6).select("id", F.element_at(F.array(*[F.lit(" ".join(w)) for w in words]), (F.col("id") % 3 + 1).cast("int")).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(300_000 + k, " ".join(v)) for k, v in enumerate(variants)], "id long, text string"))
+    found = jaccard_components(docs.withColumnRenamed("id", "doc_id"), tuning=Tuning(crowd=(16, 64, 4_194_304), chunks=(1, 1, 64, 64)))
+    assert sorted((r.component_id, r["count"]) for r in found.groupBy("component_id").count().collect()) == [(0, 70_002), (1, 70_002), (2, 70_002)]
+
+
+def cluster(rng, n, words, edits):
+    """Texts that differ from one text in some words each: distances between them are all alike."""
+    base = [f"b{k}" for k in range(words)]
+    out = []
+    for k in range(n):
+        own = list(base)
+        for j in range(rng.choice(edits)):
+            own[rng.randrange(words)] = f"e{k}_{j}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_jaccard_dense_region_is_met_whole(spark):
+    """A region that pivots don't part, with many components in it."""
+    rows = list(enumerate(cluster(random.Random(3), 90, 60, [0, 1, 2, 3, 5, 6])))
+    for tuning in (replace(TINY, depth=2), Tuning(leaf=20, block=16, part=32, pivots=4, depth=1)):
+        assert jaccard_found(spark, rows, tuning) == jaccard_brute(rows)
+
+
+def test_jaccard_cells_part_families(spark):
+    """Families around a common passage: pivots part them, and windows carry the sets between two cells."""
+    rng = random.Random(6)
+    passage = " ".join(f"p{k}" for k in range(30))
+    rows = []
+    for f in range(12):
+        base = [f"f{f}_{k}" for k in range(60)]
+        for k in range(10):
+            own = list(base)
+            for j in range(rng.choice([0, 1, 2, 4])):
+                own[rng.randrange(60)] = f"x{f}_{k}_{j}"
+            rows.append(passage + " " + " ".join(own))
+    rows = list(enumerate(rows))
+    # With no shingle known as crowded, windows hold the passage and all families are in one region.
+    assert jaccard_found(spark, rows, Tuning(crowd=(10**9,), chunks=(1, 1), leaf=8, part=16, pivots=5)) == jaccard_brute(rows)
+
+
+def test_cells_keep_every_link():
+    """Any two sets that link meet: as pivot and set, or in a cell or the remainder, one of them at home there."""
+    rng = np.random.default_rng(1)
+    for _ in range(30):
+        centres = [rng.integers(0, 2**63, 40, dtype="u8") for _ in range(3)]
+        sets = []
+        for k in range(60):
+            own = centres[k % 3].copy()
+            own[: rng.integers(0, 20)] = rng.integers(0, 2**63, 1, dtype="u8")
+            sets.append(np.unique(own))
+        home = rng.random(60) < 0.8
+        pivots = np.flatnonzero(home)[:4].tolist()
+        rows = [(1, 0, True, k, True, 60, sets[k].tobytes()) for k in pivots] + [(1, 0, False, k, bool(home[k]), 60, sets[k].tobytes()) for k in range(60)]
+        names = ["region", "part", "pivot", "a", "home", "members", "shingles"]
+        out = [r for b in _cells(75, 0.4, 4)(iter([pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows])])) for r in b.to_pylist()]
+        linked = {frozenset((r["p"], r["a"])) for r in out if r["p"] is not None}
+        cells = {}
+        for r in out:
+            if r["p"] is None:
+                cells.setdefault(r["cell"], {}).setdefault(r["a"], False)
+                cells[r["cell"]][r["a"]] |= r["home"]
+        for a in range(60):
+            for b in range(a):
+                same = len(np.intersect1d(sets[a], sets[b]))
+                near = same >= 0.75 * (len(sets[a]) + len(sets[b]) - same)
+                if not near:
+                    assert frozenset((a, b)) not in linked
+                elif (home[a] or home[b]) and frozenset((a, b)) not in linked:
+                    assert any(a in c and b in c and (c[a] or c[b]) for c in cells.values()), (a, b)
 
 
 def test_jaccard_odd_tables(spark):
@@ -150,7 +222,8 @@ def test_window_meets_every_partner():
                 break
             y = z
         y = np.array(sorted(y), "u8")
-        assert set(order.window(x)[0].tolist()) & set(order.window(y)[0].tolist())
+        chosen, _, owner = order.windows([x, y])
+        assert set(chosen[owner == 0].tolist()) & set(chosen[owner == 1].tolist())
 
 
 def test_words_match_the_definition():
