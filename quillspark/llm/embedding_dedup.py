@@ -4,7 +4,11 @@ A table turns each vector by three sign flips and fast Hadamard transforms and t
 cross-polytope; two such turns make a bucket. Each vector also enters the buckets next to its own (multiprobe). Inside a
 bucket all pairs are verified by cosine in double precision; large buckets are cut into blocks, and every pair of blocks
 is a task's work of fixed size, so no bucket is sampled or capped. A pair that meets in several buckets counts in the
-smallest key that both have. Exact copies of a vector are one row throughout.
+smallest key that both have. Exact copies of a vector with one label are one row throughout, known by a number of its own
+and not by an identifier, which may be repeated.
+
+The share of pairs at a cosine of exactly 0.93, the least that links, that meet in a bucket (measured on 20,000 pairs of
+random directions; pairs closer than that meet more often): 0.998 at 64 dimensions, 0.992 at 256, 0.982 at 768.
 """
 
 from __future__ import annotations
@@ -16,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import connected_components, lookup, settle
+from quillspark.llm.common import connected_components, lookup, release, settle
 from quillspark.llm.wordhash import mix
 
 TABLES, COSINE = 5, 0.93
 #: Rows of a block; a bucket of n rows is verified as pairs of ceil(n / BLOCK) blocks.
-BLOCK = 1024
+BLOCK = 512
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -62,32 +66,37 @@ def bucket_keys(x: np.ndarray, labels: np.ndarray, tables: int = TABLES) -> np.n
     return np.column_stack(out).view("i8")
 
 
-def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        vectors, labels = batch.column(1), batch.column(2).to_numpy()
-        if not len(batch):
-            continue
-        offsets = vectors.offsets.to_numpy()
-        flat = vectors.values.to_numpy(zero_copy_only=False).astype("f8")
-        widths = np.diff(offsets)
-        for width in np.unique(widths).tolist():
-            rows = np.flatnonzero(widths == width)
-            x = flat[(offsets[rows][:, None] + np.arange(width)).ravel()].reshape(len(rows), width)
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
-            keys = bucket_keys(x, labels[rows] * 1000003 + width)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keys.shape[1], dtype="i4")), pa.array(keys.ravel()))
-            ids, counts = batch.column(0).take(pa.array(rows)), batch.column(3).take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([ids, counts, pa.array([r.tobytes() for r in x], pa.binary()), lists], ["rep", "n", "unit", "keys"])
+def _probe(tables: int):
+    """(node, v, label, n) to (node, n, unit vector, keys of its buckets)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors, labels = batch.column(1), batch.column(2).to_numpy()
+            if not len(batch):
+                continue
+            offsets = vectors.offsets.to_numpy()
+            flat = vectors.values.to_numpy(zero_copy_only=False).astype("f8")
+            widths = np.diff(offsets)
+            for width in np.unique(widths).tolist():
+                rows = np.flatnonzero(widths == width)
+                x = flat[(offsets[rows][:, None] + np.arange(width)).ravel()].reshape(len(rows), width)
+                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                keys = bucket_keys(x, labels[rows] * 1000003 + width, tables)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keys.shape[1], dtype="i4")), pa.array(keys.ravel()))
+                ids, counts = batch.column(0).take(pa.array(rows)), batch.column(3).take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([ids, counts, pa.array([r.tobytes() for r in x], pa.binary()), lists], ["node", "n", "unit", "keys"])
+
+    return run
 
 
-LINKS = pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("hub", pa.int64())])
+LINKS = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("hub", pa.int64())])
 
 
 def _verify(cosine: float):
     """Rows in order of (key, block, other): blocks of one bucket, `side` telling which. Out come counts and a forest of links."""
 
     def block(rows: pa.Table, key: int, same: bool) -> pa.RecordBatch | None:
-        ids, n = rows["rep"].to_numpy(), rows["n"].to_numpy()
+        ids, n = rows["node"].to_numpy(), rows["n"].to_numpy()
         side = rows["side"].to_numpy()
         units = rows["unit"].to_pylist()
         lists = rows["keys"].combine_chunks()
@@ -160,13 +169,14 @@ def _verify(cosine: float):
     return run
 
 
-def embedding_links(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def embedding_links(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", block: int = BLOCK) -> DataFrame:
     """id, n_links, component_id, kept for each row of `vectors`.
 
     Rows link when their labels are equal and not null and their cosine is `cosine` or more. A vector that is null,
-    empty, zero, or holds null or non-finite components links with nothing, and so does a row with a null label; such
-    rows, and rows with a null id, are components of their own. Vectors of different widths don't link. Repeated rows
-    link with each other like any copies. An empty table gives an empty result; other columns are ignored.
+    empty, zero, or holds null or non-finite components links with nothing, and so does a row with a null label or a null
+    id; their component is their own id, so it is null with a null id, and so is kept. Vectors of different widths don't
+    link. Rows that repeat an id are judged each by its own vector, and rows that repeat a vector link with each other
+    like any copies. An empty table gives an empty result; other columns are ignored, whatever their names.
     """
     rows = settle(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.col(label_col).cast("long").alias("label")), "vectors")
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
@@ -177,28 +187,30 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE, tables: int = TA
     # Very large or small components are scaled first, so that no square overflows or vanishes.
     scaled = good.withColumn("v", F.when((norm > 1e-200) & (norm < 1e200), F.col("v")).otherwise(F.transform("v", lambda x: x / peak)))
     keyed = settle(scaled.withColumns({"hash": F.xxhash64("v", "label")}).select("id", "v", "label", "hash"), "good")
-    reps = keyed.groupBy("hash", "v", "label").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
-    reps = settle(reps, "reps")
-    probed = settle(reps.select("rep", "v", F.col("label").cast("long").alias("label"), "n").mapInArrow(_probe, "rep long, n long, unit binary, keys array<long>"), "probed")
-    entries = probed.select("rep", F.explode("keys").alias("key"))
-    full = entries.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    full = full.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    total = probed.count() * 3 * tables
-    # A bucket with one row has no pair. The others meet block by block; the block of a row is a hash of its id.
-    met = lookup(probed.withColumn("key", F.explode("keys")), full, "key", "size", total, F.col("rep")).filter("blocks is not null")
-    own = F.pmod(F.xxhash64("rep", F.lit("block")), F.col("blocks")).cast("int")
+    # The number is fixed once the table is written.
+    reps = keyed.groupBy("hash", "v", "label").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    reps = settle(reps.withColumn("node", F.monotonically_increasing_id()), "reps")
+    probed = settle(reps.select("node", "v", "label", "n").mapInArrow(_probe(tables), "node long, n long, unit binary, keys array<long>"), "probed")
+    nodes = max(1, probed.count())
+    full = probed.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    full = full.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    # A bucket with one row has no pair. The others meet block by block; the block of a row is a hash of its number.
+    met = lookup(probed.withColumn("key", F.explode("keys")), full, "key", "size", nodes * 3 * tables, F.col("node")).filter("blocks is not null")
+    own = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")
     spread = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = spread.select("key", F.least("own", "other").alias("block"), F.greatest("own", "other").alias("with"), (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "n", "unit", "keys")
-    found = dealt.repartition("key", "block", "with").sortWithinPartitions("key", "block", "with").mapInArrow(_verify(cosine), "rep long, links long, hub long")
+    dealt = spread.select("key", F.least("own", "other").alias("block"), F.greatest("own", "other").alias("with"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "n", "unit", "keys")
+    found = dealt.repartition("key", "block", "with").sortWithinPartitions("key", "block", "with").mapInArrow(_verify(cosine), "node long, links long, hub long")
     found = settle(found, "found")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    components = connected_components(found.select(F.col("rep").alias("a"), F.col("hub").alias("b")))
-    named = (
-        reps.join(links, "rep", "left")
-        .join(components.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("hash", "v", "label", "n", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
-    )
-    members = lookup(keyed.select("id", F.struct("hash", "label").alias("k"), F.col("v").alias("own_v")), named.select(F.struct("hash", "label").alias("k"), "n", "n_links", "component", F.col("v").alias("rep_v")), "k", "n", keyed.count(), F.col("id"))
-    members = members.filter("own_v = rep_v").select("id", "n_links", "component")
-    rest = rows.filter(~sound).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
-    return members.unionByName(rest).select(F.col("id").alias(id_col), "n_links", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    components = connected_components(found.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    joined = reps.drop("v").join(links, "node", "left").join(components, "node", "left")
+    joined = joined.select("node", "first", "hash", "label", "n", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
+    joined = settle(joined, "joined")
+    smallest = joined.groupBy("component").agg(F.min("first").alias("component_id"), F.count("*").alias("times"))
+    named = lookup(joined, smallest, "component", "times", nodes, F.col("node")).select("node", "n_links", "component_id").join(reps, "node")
+    named = settle(named.select(F.struct("hash", "label").alias("k"), F.col("v").alias("rep_v"), "n", "n_links", "component_id"), "named")
+    release(reps, probed, found, joined)
+    members = lookup(keyed.select("id", F.struct("hash", "label").alias("k"), F.col("v").alias("own_v")), named, "k", "n", max(1, keyed.count()), F.col("id"))
+    members = members.filter("own_v = rep_v").select("id", "n_links", "component_id")
+    rest = rows.filter(~sound).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    return members.unionByName(rest).select(F.col("id").alias(id_col), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))

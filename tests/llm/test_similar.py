@@ -8,8 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quillspark.llm import embedding_dedup
-from quillspark.llm.embedding_dedup import embedding_links, hadamard
+from quillspark.llm.embedding_dedup import bucket_keys, embedding_links, hadamard
 from quillspark.llm.jaccard_join import Order, Tuning, _cells, jaccard_components
 from quillspark.llm.wordhash import Words
 
@@ -35,8 +34,7 @@ def test_hadamard_keeps_lengths():
 
 
 @pytest.mark.parametrize("block", [1024, 16])
-def test_embeddings(spark, monkeypatch, block):
-    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+def test_embeddings(spark, block):
     rng = np.random.default_rng(8)
     base = rng.normal(size=(60, 48))
     rows = []
@@ -53,7 +51,7 @@ def test_embeddings(spark, monkeypatch, block):
     pairs = [(a, b) for a in unit for b in unit if a < b and lab[a] == lab[b] and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.93]
     links = collections.Counter(x for p in pairs for x in p)
     names = closed([r[0] for r in rows], pairs)
-    got = {r.vec_id: r for r in embedding_links(df).collect()}
+    got = {r.vec_id: r for r in embedding_links(df, block=block).collect()}
     assert len(got) == len(rows)
     found = sum(r.n_links for r in got.values())
     assert found <= 2 * len(pairs) and found >= 0.97 * 2 * len(pairs)
@@ -67,6 +65,24 @@ def test_embeddings_bad_row_beside_a_good_one_of_its_id(spark):
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == sorted([(1, 1, 1), (2, 1, 1), (1, 0, 1), (1, 0, 1), (1, 0, 1), (None, 0, None), (3, 0, 3)], key=str)
 
 
+def test_embeddings_repeated_ids(spark):
+    """Two vectors under one id keep their own links, and each row of the table is a row of the result."""
+    rows = [(5, [1.0, 0.0, 0.0], 0), (5, [0.0, 1.0, 0.0], 0), (6, [0.0, 1.0, 0.01], 0), (6, None, 0), (None, [1.0, 0.0, 0.0], 0), (7, [0.0, 1.0, 0.0], 0), (8, [1.0, 0.0, 0.0], 1)]
+    got = embedding_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got), key=str) == sorted([(5, 0, 5, True), (5, 2, 5, True), (6, 2, 5, False), (6, 0, 6, True), (None, 0, None, None), (7, 2, 5, False), (8, 0, 8, True)], key=str)
+
+
+@pytest.mark.parametrize(("width", "least"), [(64, 0.99), (256, 0.98), (768, 0.96)])
+def test_pairs_at_the_threshold_share_a_bucket(width, least):
+    rng = np.random.default_rng(width)
+    x, y = rng.normal(size=(2, 1500, width))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = 0.93 * x + np.sqrt(1 - 0.93**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    a, b = (bucket_keys(v, np.zeros(1500, "i8")) for v in (x, y))
+    assert (a[:, :, None] == b[:, None, :]).any(axis=(1, 2)).mean() >= least
+
+
 def test_embeddings_empty(spark):
     assert embedding_links(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
