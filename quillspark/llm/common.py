@@ -98,16 +98,17 @@ def lookup(left: DataFrame, right: DataFrame, key: str, weight: str, total: int,
     Hot keys are dealt on the left, by `by`, to as many parts as they hold shares, and repeated on the right for each,
     so no task gets all rows of one key. The broadcast side holds hot keys only: fewer than 1 / HOT_SHARE rows.
     """
+    taken = [*left.columns, *right.columns]
+    hot_key, parts, salt, own = (unused(n, taken) for n in ("hot_key", "parts", "salt", "own_key"))
     share = F.lit(max(1.0, total * HOT_SHARE))
-    parts = F.ceil(F.col(weight) / share).cast("int")
-    hot = right.filter(F.col(weight) > share).select(F.col(key).alias("_hot"), parts.alias("_parts"))
-    marked = left.join(F.broadcast(hot), left[key].eqNullSafe(F.col("_hot")), "left")
-    salt = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(by, F.lit("salt")), F.col("_parts"))).otherwise(F.lit(0)).cast("int")
-    marked = marked.withColumn("_salt", salt).drop("_hot", "_parts")
-    salts = F.when(F.col(weight) > share, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0)))
-    spread = right.withColumn("_salt", F.explode(salts)).withColumnRenamed(key, "_key")
-    joined = marked.join(spread, marked[key].eqNullSafe(spread["_key"]) & (marked["_salt"] == spread["_salt"]), "left")
-    return joined.drop(marked["_salt"]).drop(spread["_salt"]).drop("_key")
+    many = F.ceil(F.col(weight) / share).cast("int")
+    hot = right.filter(F.col(weight) > share).select(F.col(key).alias(hot_key), many.alias(parts))
+    marked = left.join(F.broadcast(hot), left[key].eqNullSafe(F.col(hot_key)), "left")
+    marked = marked.withColumn(salt, F.when(F.col(parts).isNotNull(), F.pmod(F.xxhash64(by, F.lit("salt")), F.col(parts))).otherwise(F.lit(0)).cast("int")).drop(hot_key, parts)
+    salts = F.when(F.col(weight) > share, F.sequence(F.lit(0), many - 1)).otherwise(F.array(F.lit(0)))
+    spread = right.withColumn(salt, F.explode(salts)).withColumnRenamed(key, own)
+    joined = marked.join(spread, marked[key].eqNullSafe(spread[own]) & (marked[salt] == spread[salt]), "left")
+    return joined.drop(marked[salt]).drop(spread[salt]).drop(own)
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

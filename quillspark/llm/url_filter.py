@@ -8,13 +8,19 @@ candidate rules from that index, and only those expressions run. Built-in functi
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Up to so many rules the index is a literal map in the plan; beyond it is a table that is joined.
+from quillspark.llm.common import lookup, unused
+
+#: Up to so many rules the index is a literal in the plan; beyond it is a table that is joined. Results are the same.
 MAX_MAPPED_RULES = 512
+#: Rules of one part of that table.
+LISTED = 50_000
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -36,53 +42,79 @@ def rule_regex(host: str, path: str) -> str:
     return rf"(?s)^(?:[^\x01]*\.)?{quote(host)}\x01{quote(path)}"
 
 
-def filter_urls(df: DataFrame, rules: Sequence[tuple[str, str, str]], url: str = "url", default: str = "allow") -> DataFrame:
+def url_tokens(host: Column, path: Column) -> Column:
+    """Every token that a rule which fits the URL may be filed under; the empty one is carried by all."""
+    labels = F.transform(F.split(host, r"\."), lambda x: F.concat(F.lit("h:"), x))
+    segments = F.transform(F.split(path, "/"), lambda x: F.concat(F.lit("p:"), x))
+    return F.array_distinct(F.concat(F.array(F.lit("")), labels, segments))
+
+
+def rarest_tokens(urls: DataFrame, rules: Sequence[tuple[str, str, str]]) -> list[str]:
+    """For each rule the one of its literal tokens that the fewest rows of `urls` (tokens) carry, "" if it has none."""
+    own = [rule_tokens(h, p) for _, h, p in rules]
+    wanted = sorted({t for tokens in own for t in tokens})
+    if not wanted:
+        return ["" for _ in rules]
+    listed = urls.sparkSession.createDataFrame([(t,) for t in wanted], "token string")
+    # One pass; what comes back is a row for each token of a rule.
+    counted = urls.select(F.explode("tokens").alias("token")).join(F.broadcast(listed), "token").groupBy("token").agg(F.count("*").alias("n"))
+    seen = {r.token: r.n for r in counted.collect()}
+    return [min(tokens, key=lambda t: (seen.get(t, 0), t)) if tokens else "" for tokens in own]
+
+
+def _mapped(tokens: Column, filed: dict[str, list[int]]) -> Column:
+    """The numbers that are filed under any of `tokens`: each token is looked up in the one bucket that it hashes to."""
+    size = 1 << (len(filed) - 1).bit_length()
+    buckets: list[list[Column]] = [[] for _ in range(size)]
+    for t, numbers in sorted(filed.items()):
+        buckets[zlib.crc32(t.encode()) % size] += [F.lit(t), F.array(*[F.lit(k) for k in numbers])]
+    none = F.expr("cast(map() as map<string, array<int>>)")
+    index = F.array(*[F.create_map(*b) if b else none for b in buckets])
+    found = F.transform(tokens, lambda t: F.try_element_at(F.get(index, F.pmod(F.crc32(t.cast("binary")), F.lit(size)).cast("int")), t))
+    return F.array_distinct(F.flatten(F.array_compact(found)))
+
+
+def filter_urls(df: DataFrame, rules: Sequence[tuple[str, str, str]], url: str = "url", default: str = "allow", mapped: int = MAX_MAPPED_RULES) -> DataFrame:
     """`df` with host, path, rule and verdict; the longest fitting rule wins, else `default`.
 
-    Rules are (verdict, host, path). A null URL or one without "://" has an empty host and path and fits no rule;
-    repeated rows stay; an empty table stays empty; columns of `df` named host, path, rule or verdict are replaced.
-    Among equally long rules the first in the list wins. No row moves: with up to MAX_MAPPED_RULES rules the index is
-    a literal in the plan, with more it is a table joined on the token, and only the best rule of each row is gathered.
+    Rules are (verdict, host, path); among equally long ones the first in the list wins. A null URL or one without "://"
+    has an empty host and path, so it fits only a rule whose host and path are empty. Repeated rows stay; an empty table
+    stays empty; columns of `df` named host, path, rule or verdict are replaced and all others pass through, whatever
+    their names. With up to `mapped` rules the index is a literal in the plan and no row moves; with more it is a table
+    that the distinct URLs are joined with by token, and the best rule of each is joined back.
     """
     host, path = url_parts(F.col(url))
-    kept = [c for c in df.columns if c not in ("host", "path", "rule", "verdict")]
-    base = df.withColumns({"_h": host, "_p": path}).select(*kept, F.col("_h").alias("host"), F.col("_p").alias("path"))
+    kept = [c for c in df.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    base = df.select(*kept, host.alias("host"), path.alias("path"))
     if not rules:
         return base.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    tokens = F.array_distinct(F.concat(F.transform(F.split("host", r"\."), lambda x: F.concat(F.lit("h:"), x)), F.transform(F.split("path", "/"), lambda x: F.concat(F.lit("p:"), x))))
-    wanted = sorted({t for _, h, p in rules for t in rule_tokens(h, p)})
-    # How many URLs carry each token of a rule: a sum for each in one pass, so what comes back is as large as the rules.
-    seen: dict[str, int] = {}
-    for k in range(0, len(wanted), 200):
-        part = wanted[k : k + 200]
-        row = base.select(tokens.alias("t")).agg(*[F.sum(F.array_contains("t", t).cast("long")).alias(f"t{i}") for i, t in enumerate(part)]).first()
-        seen |= {t: row[i] or 0 for i, t in enumerate(part)}
-    index: dict[str, list[int]] = {}
-    for i, (_, h, p) in enumerate(rules):
-        index.setdefault(min(rule_tokens(h, p), key=lambda t: (seen[t], t)) if rule_tokens(h, p) else "", []).append(i)
+    tokens = url_tokens(F.col("host"), F.col("path"))
     order = sorted(range(len(rules)), key=lambda i: (-len(rules[i][1] + rules[i][2]), i))
-    rank = {i: r for r, i in enumerate(order)}
-    subject = F.concat("host", F.lit("\x01"), "path")
-    always = index.pop("", [])
-    if len(rules) <= MAX_MAPPED_RULES:
-        # One expression for each rule, run only where the URL has the token that the rule is filed under.
-        tests = {i: F.array_contains("_t", t) & subject.rlike(rule_regex(*rules[i][1:])) for t, found in index.items() for i in found}
-        tests |= {i: subject.rlike(rule_regex(*rules[i][1:])) for i in always}
-        best = F.coalesce(*[F.when(tests[i], F.lit(i)) for i in order])
-        out = base.withColumn("_t", tokens).withColumn("_best", best).drop("_t")
-        name = F.coalesce(*[F.when(F.col("_best") == i, F.lit(h + p)) for i, (_, h, p) in enumerate(rules)])
-        verdict = F.coalesce(*[F.when(F.col("_best") == i, F.lit(v)) for i, (v, _, _) in enumerate(rules)], F.lit(default))
-        return out.withColumns({"rule": name, "verdict": verdict}).drop("_best")
+    ranked = [rules[i] for i in order]
+    index: dict[str, list[int]] = {}
+    for rank, token in enumerate(rarest_tokens(base.select(tokens.alias("tokens")), ranked)):
+        index.setdefault(token, []).append(rank)
+    if len(rules) <= mapped:
+        candidates = _mapped(tokens, index)
+        regexes = F.array(*[F.lit(rule_regex(h, p)) for _, h, p in ranked])
+        subject = F.concat("host", F.lit("\x01"), "path")
+        # Only the expressions of candidate rules run.
+        best = F.array_min(F.filter(candidates, lambda k: F.rlike(subject, F.get(regexes, k))))
+        at = unused("best", base.columns)
+        out = base.withColumn(at, best)
+        name = F.get(F.array(*[F.lit(h + p) for _, h, p in ranked]), F.col(at))
+        verdict = F.get(F.array(*[F.lit(v) for v, _, _ in ranked]), F.col(at))
+        return out.select(*base.columns, name.alias("rule"), F.coalesce(verdict, F.lit(default)).alias("verdict"))
     spark = df.sparkSession
-    filed = [(t, i) for t, found in index.items() for i in found]
-    listing = lambda filed: spark.createDataFrame([(t, rank[i], rules[i][1] + rules[i][2], rules[i][0], rule_regex(*rules[i][1:])) for t, i in filed], "_token string, _rank int, _rule string, _verdict string, _regex string")
-    listed = listing(filed)
-    numbered = base.withColumn("_id", F.struct("host", "path"))
-    urls = numbered.select("_id", "host", "path").distinct()
-    hits = urls.withColumn("_token", F.explode(tokens)).join(listed, "_token").filter(F.expr("rlike(concat(host, '\u0001', path), _regex)"))
-    if always:
-        # Rules without a token meet every URL, so they aren't dealt by one.
-        every = urls.crossJoin(F.broadcast(listing([("", i) for i in always]))).filter(F.expr("rlike(concat(host, '\u0001', path), _regex)"))
-        hits = hits.select("_id", "_rank", "_rule", "_verdict").unionByName(every.select("_id", "_rank", "_rule", "_verdict"))
-    won = hits.groupBy("_id").agg(F.min(F.struct("_rank", "_rule", "_verdict")).alias("_won"))
-    return numbered.join(won, "_id", "left").select(*base.columns, F.col("_won._rule").alias("rule"), F.coalesce("_won._verdict", F.lit(default)).alias("verdict"))
+    filed = [(t, k, ranked[k][1] + ranked[k][2], ranked[k][0], rule_regex(*ranked[k][1:])) for t, numbers in index.items() for k in numbers]
+    urls = base.groupBy("host", "path").agg(F.count("*").alias("times"))
+    carried = urls.select("host", "path", "times", F.explode(tokens).alias("token"))
+    # Each part of the table is broadcast and has LISTED rules at most, so a token that all URLs carry is no hot key.
+    parts = [spark.createDataFrame(filed[k : k + LISTED], "token string, rank int, rule string, verdict string, regex string") for k in range(0, len(filed), LISTED)]
+    hits = reduce(DataFrame.unionByName, [carried.join(F.broadcast(part), "token") for part in parts]).filter(F.expr("rlike(concat(host, '\u0001', path), regex)"))
+    won = hits.groupBy("host", "path").agg(F.min(F.struct("rank", "rule", "verdict")).alias("won"), F.first("times").alias("times"))
+    key, times, out = (unused(n, base.columns) for n in ("url_key", "url_times", "url_won"))
+    won = won.select(F.struct("host", "path").alias(key), F.col("times").alias(times), F.col("won").alias(out))
+    # URLs that very many rows share, as all those without a host do, are dealt to several tasks.
+    joined = lookup(base.withColumn(key, F.struct("host", "path")), won, key, times, max(1, base.count()), F.monotonically_increasing_id())
+    return joined.select(*base.columns, F.col(f"{out}.rule").alias("rule"), F.coalesce(F.col(f"{out}.verdict"), F.lit(default)).alias("verdict"))

@@ -1,6 +1,7 @@
+import random
+
 import pytest
 
-from quillspark.llm import url_filter
 from quillspark.llm.queries import URL_RULES
 from quillspark.llm.url_filter import filter_urls, rule_tokens
 
@@ -18,15 +19,18 @@ def brute(url):
     cut = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])
     host, tail = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut]), rest[cut:]
     path = tail[: min([tail.find(c) for c in "?#" if c in tail] or [len(tail)])]
-    fits = [(len(h + p), h + p, v) for v, h, p in URL_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
-    return (host, path, *max(fits)[1:]) if fits else (host, path, None, "allow")
+    return host, path, *judged(host, path, URL_RULES)
+
+
+def judged(host, path, rules):
+    fits = [(-len(h + p), k, h + p, v) for k, (v, h, p) in enumerate(rules) if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return min(fits)[2:] if fits else (None, "allow")
 
 
 @pytest.mark.parametrize("mapped", [512, 1])
-def test_against_brute_force(spark, monkeypatch, mapped):
-    monkeypatch.setattr(url_filter, "MAX_MAPPED_RULES", mapped)
+def test_against_brute_force(spark, mapped):
     df = spark.createDataFrame([(i, u, "old", "x") for i, u in URLS], "page_id long, url string, rule string, verdict string")
-    got = sorted(((r.page_id, r.url, r.host, r.path, r.rule, r.verdict) for r in filter_urls(df, URL_RULES).collect()), key=str)
+    got = sorted(((r.page_id, r.url, r.host, r.path, r.rule, r.verdict) for r in filter_urls(df, URL_RULES, mapped=mapped).collect()), key=str)
     assert got == sorted(((i, u, *brute(u)) for i, u in URLS), key=str)
 
 
@@ -41,8 +45,30 @@ def test_open_path_segment_is_no_token():
 
 
 @pytest.mark.parametrize("mapped", [512, 1])
-def test_rules_without_a_token(spark, monkeypatch, mapped):
-    monkeypatch.setattr(url_filter, "MAX_MAPPED_RULES", mapped)
+def test_rules_without_a_token(spark, mapped):
     df = spark.createDataFrame([("file:///etc",), ("http://a.com/etc",)], "url string")
-    got = {r.url: (r.rule, r.verdict) for r in filter_urls(df, [("block", "", "/etc"), ("allow", "com", "/"), ("block", "b.com", "/")]).collect()}
+    got = {r.url: (r.rule, r.verdict) for r in filter_urls(df, [("block", "", "/etc"), ("allow", "com", "/"), ("block", "b.com", "/")], mapped=mapped).collect()}
     assert got == {"file:///etc": ("/etc", "block"), "http://a.com/etc": ("com/", "allow")}
+
+
+@pytest.mark.parametrize("mapped", [1000, 1])
+def test_many_rules(spark, mapped):
+    """600 rules, some without a literal token, some that fit URLs without a host, against every rule on every URL."""
+    rng = random.Random(3)
+    names, parts = ["a", "b", "co", "x-y", "com", "net"], ["", "/", "/e", "/en/", "/en/fr/", "/q"]
+    rules = [("block", "", "/"), ("allow", "", "/en/"), ("block", "", "")]
+    while len(rules) < 600:
+        host = ".".join(rng.choice([*names, f"h{rng.randrange(80)}"]) for _ in range(rng.randrange(1, 4)))
+        rules.append((rng.choice(["allow", "block"]), host, rng.choice(parts)))
+    urls = [f"http://{'.'.join(rng.choice([*names, f'h{rng.randrange(80)}']) for _ in range(rng.randrange(1, 5)))}{rng.choice(parts)}{rng.choice(['', 'z', '/en/'])}" for _ in range(400)] + ["http:///x", "file:///en/q", None, "", "no scheme"] * 3
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = sorted(((r.url, r.host, r.path, r.rule, r.verdict) for r in filter_urls(df, rules, mapped=mapped).collect()), key=str)
+    assert got == sorted(((u, *brute(u)[:2], *judged(*brute(u)[:2], rules)) for u in urls), key=str)
+
+
+@pytest.mark.parametrize("mapped", [512, 1])
+def test_columns_of_any_name_pass_through(spark, mapped):
+    names = ["_h", "_p", "_t", "_best", "_id", "best", "tokens", "token", "url_key", "rank", "salt", "times"]
+    df = spark.createDataFrame([("http://com/", *names)], ["url", *names])
+    row = filter_urls(df, URL_RULES, mapped=mapped).first()
+    assert {n: row[n] for n in names} == {n: n for n in names} and (row.rule, row.verdict) == ("com/", "allow")
