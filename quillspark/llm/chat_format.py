@@ -12,42 +12,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import settle
+from quillspark.llm.common import release, settle
 
 #: Turns are gathered in segments of so many turn numbers, so that one endless conversation is dealt to many tasks.
 SEGMENT = 256
-#: Turn hashes have 40 bits in each of two lanes, so the sum of 2**23 of them still fits 64 bits.
-LANE = 1 << 40
+#: Turn hashes have 36 bits in each of three lanes, so the sum of 2**27 of them still fits 64 bits.
+LANE, LANES = 1 << 36, ("a", "b", "c")
 
 
 def maximal_conversations(turns: DataFrame) -> DataFrame:
     """conv_id, segment, pos, role, text, n_turns of the turns of maximal conversations.
 
     Turns are ordered by turn, then role and text; rows that agree in all four columns count once. A null role or text
-    is the empty one, a null turn comes first; rows without conv_id are left out; an empty table stays empty.
+    is the empty one, a null turn comes first; rows without conv_id are left out; an empty table stays empty. Rows of one
+    conversation whose turns are equal, or are all null, are in one segment, however many they are.
     """
     clean = turns.select("conv_id", "turn", F.lower(F.trim(F.coalesce("role", F.lit("")))).alias("role"), F.coalesce("text", F.lit("")).alias("text")).filter("conv_id is not null").distinct()
     segment = F.coalesce(F.floor(F.col("turn") / SEGMENT), F.lit(-1)).cast("long")
     inside = W.partitionBy("conv_id", "segment").orderBy("turn", "role", "text")
     rows = settle(clean.withColumn("segment", segment).withColumn("pos", F.row_number().over(inside).cast("long")), "turns")
     # What stands before each segment: one row for each segment, in place of one for each turn.
-    before = W.partitionBy("conv_id").orderBy("segment").rowsBetween(W.unboundedPreceding, -1)
+    own = W.partitionBy("conv_id")
+    before = own.orderBy("segment").rowsBetween(W.unboundedPreceding, -1)
     counts = rows.groupBy("conv_id", "segment").agg(F.count("*").alias("n"))
-    starts = counts.select("conv_id", "segment", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    starts = settle(counts.select("conv_id", "segment", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"), F.sum("n").over(own).alias("n_turns")), "starts")
     placed = rows.join(starts, ["conv_id", "segment"]).withColumn("pos", F.col("pos") + F.col("start")).drop("start")
-    hashed = settle(placed.withColumns({"a": F.pmod(F.xxhash64("pos", "role", "text"), F.lit(LANE)), "b": F.pmod(F.xxhash64("text", "pos", "role", F.lit("second")), F.lit(LANE))}), "hashed")
-    sums = hashed.groupBy("conv_id", "segment").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    earlier = sums.select("conv_id", "segment", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in "ab"])
+    lanes = {c: F.pmod(F.xxhash64(F.lit(c), "pos", "role", "text"), F.lit(LANE)) for c in LANES}
+    hashed = settle(placed.withColumns(lanes), "hashed")
+    sums = hashed.groupBy("conv_id", "segment").agg(*[F.sum(c).alias(c) for c in LANES])
+    earlier = sums.select("conv_id", "segment", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in LANES])
     running = W.partitionBy("conv_id", "segment").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    rolling = hashed.select("conv_id", "segment", "pos", *[F.sum(c).over(running).alias(c) for c in "ab"]).join(earlier, ["conv_id", "segment"])
-    rolling = rolling.select("conv_id", "pos", (F.col("a") + F.col("a0")).alias("a"), (F.col("b") + F.col("b0")).alias("b"))
-    whole = hashed.groupBy("conv_id").agg(F.count("*").alias("n_turns"), F.sum("a").alias("a"), F.sum("b").alias("b"))
+    rolling = hashed.select("conv_id", "segment", "pos", "n_turns", *[F.sum(c).over(running).alias(c) for c in LANES]).join(earlier, ["conv_id", "segment"])
+    rolling = rolling.select("conv_id", "pos", "n_turns", *[(F.col(c) + F.col(f"{c}0")).alias(c) for c in LANES])
     # Copies collapse before anything is joined by hash, so no hash is common on either side of the anti-join.
-    one = whole.groupBy("n_turns", "a", "b").agg(F.min("conv_id").alias("conv_id"))
-    ends = whole.select("conv_id", "n_turns")
-    prefixes = rolling.join(ends, "conv_id").filter("pos < n_turns").groupBy("pos", "a", "b").agg(F.lit(1).alias("one"))
-    stays = one.join(prefixes, (one.n_turns == prefixes.pos) & (one.a == prefixes.a) & (one.b == prefixes.b), "left_anti")
-    return placed.join(stays.select("conv_id", "n_turns"), "conv_id")
+    whole = hashed.groupBy("conv_id", "n_turns").agg(*[F.sum(c).alias(c) for c in LANES])
+    one = whole.groupBy("n_turns", *LANES).agg(F.min("conv_id").alias("conv_id"))
+    prefixes = rolling.filter("pos < n_turns").select(F.col("pos").alias("n_turns"), *LANES).distinct()
+    stays = one.join(prefixes, ["n_turns", *LANES], "left_anti").select("conv_id")
+    # By segment again, so that an endless conversation stays dealt to many tasks.
+    kept = settle(starts.select("conv_id", "segment").join(stays, "conv_id", "left_semi"), "kept")
+    release(rows, starts)
+    return hashed.drop(*LANES).join(kept, ["conv_id", "segment"])
 
 
 def format_chats(turns: DataFrame) -> DataFrame:

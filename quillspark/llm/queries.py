@@ -98,7 +98,7 @@ FROM q LEFT JOIN hit ON hit.page_id = q.page_id AND hit.k = 1
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_left"), F.sha2("text", 256).alias("text_sha256"))
+    return drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "only_shared", F.length("text").cast("long").alias("n_left"), F.sha2("text", 256).alias("text_sha256"))
 
 
 OP6_SQL = """
@@ -107,14 +107,17 @@ l AS (SELECT doc_id, source, i, string_split(text, chr(10))[i] AS line FROM (SEL
 b AS (SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10),
 g AS (
   SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) FILTER (b.line IS NULL) AS rest, count(*) AS n_lines, count(b.line) AS n_gone,
-    sum(length(l.line)) AS all_chars, coalesce(sum(length(l.line)) FILTER (b.line IS NULL), 0) AS own_chars
+    coalesce(sum(length(l.line)) FILTER (b.line IS NULL), 0) AS own_chars
   FROM l LEFT JOIN b ON l.line = b.line GROUP BY l.doc_id
 ), k AS (
-  SELECT d.doc_id, g.n_lines, CASE WHEN own_chars < 0.5 * all_chars THEN 0 ELSE n_gone END AS n_removed,
-    CASE WHEN own_chars < 0.5 * all_chars THEN d.text ELSE coalesce(rest, '') END AS text
-  FROM d JOIN g USING (doc_id)
+  SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_gone > 0 AND own_chars = 0, false) AS only_shared, n_gone, rest, d.text
+  FROM d LEFT JOIN g USING (doc_id)
+), e AS (
+  SELECT doc_id, n_lines, only_shared, CASE WHEN only_shared THEN 0 ELSE coalesce(n_gone, 0) END AS n_removed,
+    CASE WHEN only_shared OR text IS NULL THEN text ELSE coalesce(rest, '') END AS text
+  FROM k
 )
-SELECT doc_id, n_lines, n_removed, length(text) AS n_left, sha256(text) AS text_sha256 FROM k
+SELECT doc_id, n_lines, n_removed, only_shared, length(text) AS n_left, sha256(text) AS text_sha256 FROM e
 """
 
 

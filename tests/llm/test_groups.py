@@ -40,7 +40,7 @@ def test_place_balances_all_three():
         assert (sums.max() - sums.min()) / sums.mean() < most
 
 
-def boilerplate(rows, least, share):
+def boilerplate(rows, least):
     sites = collections.defaultdict(set)
     for _, text, site in rows:
         for line in (text or "").split("\n"):
@@ -50,13 +50,13 @@ def boilerplate(rows, least, share):
     out = []
     for i, text, site in rows:
         if text is None:
-            out.append((i, None, site, 0, 0))
+            out.append((i, None, site, 0, 0, False))
             continue
         lines = text.split("\n")
         rest = [x for x in lines if x not in gone]
-        if sum(map(len, rest)) < (1 - share) * sum(map(len, lines)) or len(rest) == len(lines):
-            rest = lines
-        out.append((i, "\n".join(rest), site, len(lines), len(lines) - len(rest)))
+        only = len(rest) < len(lines) and not any(rest)
+        rest = lines if only else rest
+        out.append((i, "\n".join(rest), site, len(lines), len(lines) - len(rest), only))
     return sorted(out, key=str)
 
 
@@ -74,15 +74,34 @@ def test_lines(spark):
         rows.append((i, text, site))
     rows += [(900, menu, "s1"), (901, "", "s1"), (902, None, "s1"), (903, f"{menu}\n" * 3 + "x", None), (904, "own longer line of text here\n" + menu, None), (0, *rows[0][1:])]
     df = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, source string, n_lines int")
-    got = sorted(((r.doc_id, r.text, r.source, r.n_lines, r.n_removed) for r in drop_boilerplate(df).collect()), key=str)
-    assert got == boilerplate(rows, 10, 0.5)
-    assert sum(r[4] for r in got) > 100
+    got = sorted(((r.doc_id, r.text, r.source, r.n_lines, r.n_removed, r.only_shared) for r in drop_boilerplate(df).collect()), key=str)
+    assert got == boilerplate(rows, 10)
+    assert sum(r[4] for r in got) > 100 and sum(r[5] for r in got) == 1
     assert drop_boilerplate(df.limit(0)).count() == 0
 
 
+def test_lines_leave_a_page_that_is_mostly_boilerplate(spark):
+    rows = [(i, "a long notice that all sites show below their pages\n" * 9 + f"own {i}", f"s{i}") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.doc_id: (r.text, r.n_removed) for r in drop_boilerplate(df).collect()} == {i: (f"own {i}", 9) for i in range(12)}
+
+
+def test_lines_columns_of_any_name_pass_through(spark):
+    names = ["_text", "_id", "_gone", "mark", "pos", "at", "line", "site", "rest", "parts", "text_mark", "id", "salt", "sites"]
+    rows = [(i, f"menu\nown {i}", f"s{i}", *names) for i in range(12)]
+    got = drop_boilerplate(spark.createDataFrame(rows, ["doc_id", "text", "source", *names])).collect()
+    assert len(got) == 12 and all(r.text == f"own {r.doc_id}" and all(r[n] == n for n in names) for r in got)
+
+
+def test_lines_of_a_very_long_text(spark):
+    rows = [(i, "\n".join(f"l{k}" for k in range(60_000)) + f"\nown {i}", f"s{i}") for i in range(10)]
+    got = drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted((r.text, r.n_removed) for r in got) == sorted((f"own {i}", 60_000) for i in range(10))
+
+
 def test_near_threshold_lines_are_counted_exactly(spark):
-    lines = [(k, s) for k in range(900, 1100, 20) for s in range(k)]
-    df = spark.createDataFrame(lines, "line long, site long")
+    lines = [(k, s, 10_000 * k + s) for k in range(900, 1100, 20) for s in range(k)]
+    df = spark.createDataFrame(lines, "line long, site long, at long")
     got = sorted(r.line for r in line_dedup.line_spread(df, 1000).collect())
     assert got == [k for k in range(900, 1100, 20) if k >= 1000]
 
@@ -127,3 +146,10 @@ def test_chats(spark):
     assert got[6][0].chat == "<|user|>\nx < |user|> y<|end|>\n" and got[10][0].chat == "<|unknown|>\n<|end|>\n"
     assert len(got[8]) == 3 and {r.n_turns for r in got[8]} == {600} and "".join(r.chat for r in got[8]).count("<|end|>") == 600
     assert format_chats(df.limit(0)).count() == 0
+
+
+def test_chats_with_equal_or_null_turns(spark):
+    rows = [(1, 0, "user", f"t{k:04}") for k in range(600)] + [(2, None, "user", f"t{k:04}") for k in range(300)] + [(3, None, None, None), (3, None, None, None)]
+    got = {r.conv_id: r for r in format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    # The turns of 2 are the first of 1.
+    assert sorted(got) == [1, 3] and got[1].chat.count("<|end|>") == 600 and got[3].chat == "<|unknown|>\n<|end|>\n"
