@@ -1,8 +1,9 @@
 """Sharding by vector bin packing: bytes, tokens and rows are balanced together.
 
-Groups of equal texts are the items. Large groups are items of their own, the others meet in hash buckets, so there are
+Groups of equal texts are kept whole. Large groups are items of their own, the others meet in hash buckets, so there are
 at most a few thousand items whatever the input; they are placed in falling order, each on the shard whose residual
-capacity has the largest dot product with it. Law `bytes`: shard sizes come out near equal.
+capacity has the largest dot product with it. Only a group larger than a shard is cut. Tokens are words, runs between
+spaces, so that no tokenizer has to run. Law `bytes`: shard sizes come out near equal.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ from quillspark.llm.common import settle
 
 #: Hash buckets that small groups meet in.
 BUCKETS = 8192
-#: A group with more than 1 / OWN of all bytes or rows is an item of its own: fewer than 2 * OWN of them.
+#: A group with more than 1 / OWN of all bytes, tokens or rows is an item of its own: fewer than 3 * OWN of them.
 OWN = 1024
-#: A group with more than 1 / CUT of all bytes or rows is cut into slices of about 1 / SLICE of them.
-CUT, SLICE = 32, 256
+#: A group larger than a shard is cut into slices of about 1 / SLICE of all.
+SLICE = 256
+#: Slots are numbered within parts of about 1 / PARTS of all rows.
+PARTS = 2048
 
 
 def place(weights: np.ndarray, shards: int) -> np.ndarray:
@@ -32,7 +35,7 @@ def place(weights: np.ndarray, shards: int) -> np.ndarray:
     for k in order:
         # Law bytes: among shards that still have room for its bytes if there are any.
         fits = residual[:, 0] >= share[k, 0]
-        value = residual @ share[k]
+        value = (residual * share[k]).sum(axis=1)
         value = np.where(fits, value, -np.inf) if fits.any() else residual[:, 0]
         out[k] = int(value.argmax())
         residual[out[k]] -= share[k]
@@ -43,8 +46,10 @@ def shard_groups(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text
     """id, size, text_crc32, law, shard, slot, grown_shard for each row of `docs`.
 
     Size is the UTF-8 bytes of the text plus 1; a null text counts as the empty one. Equal texts go to one shard unless
-    they hold more than 1/32 of all bytes or rows; then they are cut by a hash of the id. Repeated rows and null
-    ids keep a slot each. An empty table gives an empty result; other columns are ignored. Slots follow item, then id.
+    they hold more than a shard's share of all bytes, tokens or rows; then they are cut by a hash of the id. Repeated
+    rows and null ids keep a slot each. An empty table gives an empty result; other columns are ignored. Slots of a shard
+    follow item, then part of the item by a hash of the id, then id (nulls first), checksum and size; rows that agree in
+    all of these are alike.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = settle(
@@ -57,26 +62,29 @@ def shard_groups(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text
         ),
         "sizes",
     )
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b"), F.count("*").alias("r")).first()
-    most = F.greatest(F.col("b") / F.lit(max(total.b, 1)), F.col("r") / F.lit(max(total.r, 1)))
-    heavy = rows.groupBy("h").agg(F.sum("size").alias("b"), F.count("*").alias("r")).withColumn("most", most).filter(F.col("most") > 1.0 / OWN)
-    # Fewer than 2 * OWN rows, whatever the input.
-    listed = sorted((x.h, int(np.ceil(x.most * SLICE)) if x.most * CUT > 1 else 1) for x in heavy.collect())
+    sums = [F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count("*").alias("r")]
+    total = rows.agg(*sums).first()
+    most = F.greatest(*[F.col(c) / F.lit(max(total[c] or 0, 1)) for c in "btr"])
+    heavy = rows.groupBy("h").agg(*sums).withColumn("most", most).filter(F.col("most") > 1.0 / OWN)
+    # Fewer than 3 * OWN rows, whatever the input.
+    listed = sorted((x.h, int(np.ceil(x.most * SLICE)) if x.most * shards > 1 else 1) for x in heavy.collect())
     spark = docs.sparkSession
     slices = spark.createDataFrame([(h, k, n) for k, (h, n) in enumerate(listed)], "h long, k long, n long")
     item = F.when(F.col("k").isNull(), F.pmod("h", F.lit(BUCKETS))).otherwise(BUCKETS + F.col("k") * 2 * SLICE + F.pmod(F.xxhash64("id"), F.col("n")))
     dealt = rows.join(F.broadcast(slices), "h", "left").select("id", "size", "text_crc32", "tokens", item.alias("item"))
-    items = dealt.groupBy("item").agg(F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count("*").alias("r")).orderBy("item").collect()
+    items = dealt.groupBy("item").agg(*sums).orderBy("item").collect()
     shard = place(np.array([(x.b, x.t, x.r) for x in items], float).reshape(-1, 3), shards)
-    first = np.zeros(shards, "i8")
-    placed = []
-    for x, s in zip(items, shard.tolist(), strict=True):
-        placed.append((x["item"], s, int(first[s])))
-        first[s] += x.r
-    # A row for each item: BUCKETS + 2 * OWN + 2 * SLICE of them at most.
-    where = F.broadcast(spark.createDataFrame(placed, "item long, shard int, first long"))
-    rank = F.row_number().over(W.partitionBy("item").orderBy("id", "text_crc32", "size"))
-    return dealt.withColumn("rank", rank).join(where, "item").select(
+    # A row for each item: BUCKETS + 3 * OWN + 3 * SLICE of them at most, and of their parts PARTS more.
+    placed = [(x["item"], s, -(-x.r * PARTS // max(total.r, 1))) for x, s in zip(items, shard.tolist(), strict=True)]
+    where = F.broadcast(spark.createDataFrame(placed, "item long, shard int, parts long"))
+    parted = dealt.join(where, "item").withColumn("part", F.pmod(F.xxhash64("id", F.lit("part")), F.col("parts"))).drop("parts", "tokens")
+    first, starts = np.zeros(shards, "i8"), []
+    for x in sorted(parted.groupBy("item", "part", "shard").agg(F.count("*").alias("r")).collect(), key=lambda x: (x["item"], x.part)):
+        starts.append((x["item"], x.part, int(first[x.shard])))
+        first[x.shard] += x.r
+    start = F.broadcast(spark.createDataFrame(starts, "item long, part long, start long"))
+    rank = F.row_number().over(W.partitionBy("item", "part").orderBy("id", "text_crc32", "size"))
+    return parted.withColumn("rank", rank).join(start, ["item", "part"]).select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-        (F.col("first") + F.col("rank") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        (F.col("start") + F.col("rank") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )

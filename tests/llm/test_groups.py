@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from quillspark.llm import line_dedup
 from quillspark.llm.chat_format import format_chats
@@ -31,6 +32,67 @@ def test_shards(spark):
     assert shard_groups(df.limit(0)).count() == 0
 
 
+def test_a_group_that_fits_a_shard_stays_whole(spark):
+    """50 of 1,000 equal rows are less than a sixteenth; 100 are more and are cut."""
+    rows = [(i, f"text {i} " + "w " * 40) for i in range(1000)] + [(2000 + i, "same text " + "w " * 40) for i in range(50)]
+    got = shard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({r.shard for r in got if r.doc_id >= 2000}) == 1
+    sizes = collections.Counter()
+    for r in got:
+        sizes[r.shard] += r.size
+    assert max(sizes.values()) - min(sizes.values()) < 0.05 * sum(sizes.values()) / 16
+    rows += [(3000 + i, "same text " + "w " * 40) for i in range(100)]
+    got = shard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({r.shard for r in got if r.doc_id >= 2000}) > 1
+
+
+def test_shards_against_a_plain_recount(spark):
+    """Items, their placement and their slots, worked out again row by row."""
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.randrange(1, 60) + str(i % 400)) for i in range(700)] + [(1000 + i, "hot text") for i in range(150)] + [(2000 + i, "warm " * 30) for i in range(12)] + [(None, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text = F.coalesce("text", F.lit(""))
+    known = df.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 62)).alias("i"), F.xxhash64("doc_id").alias("x"), F.xxhash64("doc_id", F.lit("part")).alias("p")).collect()
+    weight = lambda r: np.array([len(r.text.encode()) + 1, r.text.count(" ") + 1, 1], float)
+    total = sum(weight(r) for r in known)
+    groups = collections.defaultdict(list)
+    for r in known:
+        groups[r.h].append(r)
+    share = {h: (sum(weight(r) for r in g) / total).max() for h, g in groups.items()}
+    heavy = sorted(h for h, s in share.items() if s > 1 / 1024)
+    items = collections.defaultdict(list)
+    for h, g in groups.items():
+        for r in g:
+            cut = int(np.ceil(share[h] * 256)) if share[h] * 16 > 1 else 1
+            items[8192 + heavy.index(h) * 512 + r.x % cut if h in heavy else h % 8192].append(r)
+    residual, where = np.full((16, 3), 1 / 16), {}
+    order = sorted(items, key=lambda k: (-(sum(weight(r) for r in items[k]) / total).sum(), k))
+    for k in order:
+        need = sum(weight(r) for r in items[k]) / total
+        fits = [s for s in range(16) if residual[s][0] >= need[0]]
+        best = max(fits, key=lambda s: ((residual[s] * need).sum(), -s)) if fits else max(range(16), key=lambda s: (residual[s][0], -s))
+        where[k] = best
+        residual[best] -= need
+    want, first = [], collections.Counter()
+    for k in sorted(items):
+        parts = -(-len(items[k]) * 2048 // len(known))
+        by = collections.defaultdict(list)
+        for r in items[k]:
+            by[r.p % parts].append(r)
+        for q in sorted(by):
+            for r in sorted(by[q], key=lambda r: (r.doc_id is not None, r.doc_id or 0, zlib.crc32(r.text.encode()))):
+                want.append((r.doc_id, where[k], first[where[k]]))
+                first[where[k]] += 1
+    got = [(r.doc_id, r.shard, r.slot) for r in shard_groups(df).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_shards_of_a_very_long_text(spark):
+    rows = [(1, "long " * 400_000), (2, "a"), (3, None), (4, "a")]
+    got = {r.doc_id: r for r in shard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].size == 2_000_001 and len(got) == 4 and len({got[2].shard, got[4].shard} - {got[1].shard}) >= 1
+
+
 def test_place_balances_all_three():
     rng = np.random.default_rng(1)
     w = rng.integers(1, 100, (4000, 3)).astype(float)
@@ -121,8 +183,6 @@ def test_components(spark):
 def test_lookup_salts_hot_keys(spark):
     left = spark.createDataFrame([(1, i) for i in range(500)] + [(2, 1000), (None, 1001)], "k long, i long")
     right = spark.createDataFrame([(1, "a", 500), (3, "c", 1)], "k long, v string, n long")
-    from pyspark.sql import functions as F
-
     got = lookup(left, right, "k", "n", 502, F.col("i")).select("k", "i", "v").collect()
     assert len(got) == 502 and all(r.v == ("a" if r.k == 1 else None) for r in got)
 
