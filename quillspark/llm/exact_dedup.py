@@ -84,8 +84,8 @@ def _shared(label: bytes, key: bytes, at: int) -> int:
     return low
 
 
-#: A chunk's trie is given up as tables of owners once it holds so many bytes.
-CHUNK_BYTES = 24_000_000
+#: A chunk is given up as tables of owners once it holds so many bytes, an identifier in a list counting for LISTED_BYTES.
+CHUNK_BYTES, LISTED_BYTES = 24_000_000, 40
 #: What a null identifier is in a minimum and in a maximum.
 NO_LOW, NO_HIGH = (1 << 63) - 1, -(1 << 63)
 #: Members listed in one row at most; a longer list continues in more rows.
@@ -94,35 +94,43 @@ LIST_ROWS = 4096
 MEMBERS = pa.schema([("owner", pa.int64()), ("part", pa.int64()), ("ids", pa.list_(pa.int64())), ("low", pa.int64()), ("high", pa.int64()), ("rows", pa.int64()), ("n_bytes", pa.int64()), ("hash", pa.int64()), ("sha", pa.string()), ("body", pa.binary())])
 
 
-def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (id, text) to one row for each distinct text of a chunk."""
-    trie, members = Trie(), {}
+def _collapse(chunk_bytes: int, list_rows: int):
+    """Rows (id, text) to one row for each distinct text of a chunk, and one more for each `list_rows` of its members.
+
+    A chunk ends when its trie and its lists of members, repeated ones included, hold `chunk_bytes`.
+    """
 
     def given(trie: Trie, members: dict[int, list]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
+        part = context.partitionId() if (context := TaskContext.get()) else 0
         for key, term in trie.subtrees():
             digest = hashlib.sha256(key)
             ids, h = members.pop(id(term)), int.from_bytes(digest.digest()[:8], "little", signed=True)
             # Where no member has an identifier the partition's number stands for the owner's.
-            owner = next((i for i in ids if i is not None), ~TaskContext.get().partitionId())
-            for k in range(0, len(ids), LIST_ROWS):
+            owner = next((i for i in ids if i is not None), ~part)
+            for k in range(0, len(ids), list_rows):
                 first = k == 0
-                rows.append((owner, k, ids[k : k + LIST_ROWS], term[0], term[1], term[2] if first else 0, len(key), h, digest.hexdigest(), key if first else None))
+                rows.append((owner, k, ids[k : k + list_rows], term[0], term[1], term[2] if first else 0, len(key), h, digest.hexdigest(), key if first else None))
                 size += len(key) if first else 0
-            if size > 4_000_000 or len(rows) > 2000:
-                yield _batch(rows)
-                rows, size = [], 0
+                if size > 4_000_000 or len(rows) > 2000:
+                    yield _batch(rows)
+                    rows, size = [], 0
         if rows:
             yield _batch(rows)
 
-    for batch in batches:
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            term = trie.insert((text or "").encode().lower(), NO_LOW if i is None else i, NO_HIGH if i is None else i, 1)
-            members.setdefault(id(term), []).append(i)
-            if trie.held + 40 * len(members) > CHUNK_BYTES:
-                yield from given(trie, members)
-                trie, members = Trie(), {}
-    yield from given(trie, members)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, members, listed = Trie(), {}, 0
+        for batch in batches:
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                term = trie.insert((text.as_py() or "").encode().lower(), NO_LOW if i is None else i, NO_HIGH if i is None else i, 1)
+                members.setdefault(id(term), []).append(i)
+                listed += 1
+                if trie.held + LISTED_BYTES * listed + LISTED_BYTES * len(members) > chunk_bytes:
+                    yield from given(trie, members)
+                    trie, members, listed = Trie(), {}, 0
+        yield from given(trie, members)
+
+    return run
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -155,17 +163,19 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=OWNERS)
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "last", null_ids: bool = False) -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "last", null_ids: bool = True, chunk_bytes: int = CHUNK_BYTES, list_rows: int = LIST_ROWS) -> DataFrame:
     """One row for each row of `docs`: id, keep_id, group_size, kept, text_sha256 (of the text with A-Z lower-cased).
 
     Equal means the same bytes after lower-casing A-Z; a null text is the empty one. Of each group the row with the
-    largest identifier stays (`keep="first"`: the smallest). Rows with a null identifier are left out, or with
-    `null_ids` are members that count and are never the one that stays: their kept is null. Repeated rows with one identifier count each and are all marked kept when theirs is. An empty table
-    gives an empty result; other columns of `docs` are ignored, whatever their names.
+    largest identifier stays (`keep="first"`: the smallest). Rows with a null identifier are members that count and are
+    never the one that stays: their kept is null, and so is the keep_id of a group that has no others; without `null_ids`
+    they are left out. Repeated rows with one identifier count each and are all marked kept when theirs is. An empty table
+    gives an empty result; other columns of `docs` are ignored, whatever their names. `chunk_bytes` and `list_rows` bound
+    what a task holds and what a row lists; they don't change results.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows if null_ids else rows.filter("id is not null")
-    members = settle(rows.mapInArrow(_collapse, "owner long, part long, ids array<long>, low long, high long, rows long, n_bytes long, hash long, sha string, body binary"), "texts")
+    members = settle(rows.mapInArrow(_collapse(chunk_bytes, list_rows), "owner long, part long, ids array<long>, low long, high long, rows long, n_bytes long, hash long, sha string, body binary"), "texts")
     dealt = members.filter("body is not null").select("owner", "low", "high", "rows", "n_bytes", "hash", "body").repartition("n_bytes", "hash").sortWithinPartitions("n_bytes", "hash")
     # A chunk lists a text once and an identifier's text has one hash, so (owner, hash) names the row of a chunk;
     # where one row is repeated over chunks its owner rows agree, and are merged.

@@ -1,11 +1,13 @@
 import hashlib
 import random
 
+import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from quillspark.llm import exact_dedup
-from quillspark.llm.exact_dedup import Trie, exact_groups
+from quillspark.llm.exact_dedup import LISTED_BYTES, Trie, _collapse, exact_groups
 from quillspark.llm.queries import op7_exact_dedup
 
 
@@ -26,21 +28,40 @@ def brute(rows):
     return sorted((i, max(g), len(g), i == max(g), hashlib.sha256(k).hexdigest()) for k, g in groups.items() for i in g)
 
 
-def test_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "CHUNK_BYTES", 4000)
-    monkeypatch.setattr(exact_dedup, "LIST_ROWS", 7)
+@pytest.mark.parametrize(("chunk_bytes", "list_rows"), [(24_000_000, 4096), (4000, 7), (1, 1)])
+def test_against_brute_force(spark, chunk_bytes, list_rows):
     rng = random.Random(3)
     texts = ["", "A", "a", "É", "é", "ab", "abc", None, "long " * 20_000, *("word %d" % rng.randrange(30) for _ in range(300))]
     rows = [(i, rng.choice(texts)) for i in range(800)] + [(5000, "abc"), (5000, "abc"), (6000, "one"), (6000, "two")]
     df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, owner int, kept string").repartition(5)
-    got = sorted(tuple(r) for r in exact_groups(df).collect())
+    got = sorted(tuple(r) for r in exact_groups(df, chunk_bytes=chunk_bytes, list_rows=list_rows).collect())
     assert got == brute(rows)
 
 
 def test_empty_and_null_ids(spark):
     assert exact_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
-    got = exact_groups(spark.createDataFrame([(None, "a"), (1, "A")], "doc_id long, text string")).collect()
-    assert [tuple(r)[:4] for r in got] == [(1, 1, 1, True)]
+    odd = spark.createDataFrame([(None, "a"), (1, "A")], "doc_id long, text string")
+    assert [tuple(r)[:4] for r in exact_groups(odd, null_ids=False).collect()] == [(1, 1, 1, True)]
+    assert sorted((tuple(r)[:4] for r in exact_groups(odd).collect()), key=str) == [(1, 1, 2, True), (None, 1, 2, None)]
+
+
+def chunks(rows, chunk_bytes, list_rows):
+    """What the first pass gives out, batch by batch."""
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["id", "text"])
+    return [b.to_pylist() for b in _collapse(chunk_bytes, list_rows)(iter([batch]))]
+
+
+def test_a_chunk_ends_by_its_members_too():
+    """Many copies of one text: no list and no chunk grows without end, and no member is lost."""
+    out = [r for rows in chunks([(i, "same") for i in range(50_000)], 100_000, 100) for r in rows]
+    assert max(len(r["ids"]) for r in out) == 100 and sum(r["body"] is not None for r in out) >= 50_000 * LISTED_BYTES // 100_000
+    assert sorted(i for r in out for i in r["ids"]) == list(range(50_000)) and sum(r["rows"] for r in out) == 50_000
+
+
+def test_a_million_copies_in_one_partition(spark):
+    df = spark.range(0, 1_000_000, 1, 1).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "Hot").otherwise("hot").alias("text"))
+    row = exact_groups(df).agg(F.count("*"), F.min("keep_id"), F.max("keep_id"), F.min("group_size"), F.count_if("kept")).first()
+    assert tuple(row) == (1_000_000, 999_999, 999_999, 1_000_000, 1)
 
 
 def test_query_keeps_and_counts_null_ids(spark, tmp_path):
