@@ -6,7 +6,7 @@ import corpus_pipeline
 from quillspark.llm.common import settle
 from quillspark.llm.jaccard_join import jaccard_components
 from quillspark.llm.packing import pack
-from quillspark.llm.quality import NAMES, features, fit, keep_good, score, train, worths
+from quillspark.llm.quality import HASHED, WIDTH, bradley_terry, features, fit, keep_good, score, train, worths
 from quillspark.llm.queries import QUERIES, SQL, op2_quality, tokenizer_path
 
 
@@ -22,14 +22,51 @@ def test_held_out_accuracy(spark):
 
 def test_train_ranks_pairs():
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(400, len(NAMES)))
-    good = (x[:, 3] + 0.1 * rng.normal(size=400) > -1).astype(int)
+    x = rng.normal(size=(400, WIDTH))
+    good = (x[:, 3] + 0.1 * rng.normal(size=400) > -0.5).astype(int)
     model = train(x, good, pairs=5000)
-    assert ((worths(x, model) >= 0.5) == good).mean() > 0.95
+    assert ((worths(x, model) >= 0.5) == good).mean() > 0.9
     for only in (0, 1):
         assert ((worths(x, train(x, np.full(400, only))) >= 0.5) == only).all()
 
 
+def test_weights_minimise_the_loss_of_all_pairs():
+    """Against plain descent on every difference, laid out one by one."""
+    rng = np.random.default_rng(5)
+    z = rng.normal(size=(60, 6))
+    better, worse = rng.integers(0, 30, 400), rng.integers(30, 60, 400)
+    z[:30] += 0.4
+    got = bradley_terry(z, better, worse, 0.01)
+    d, w = z[better] - z[worse], np.zeros(6)
+    for _ in range(20_000):
+        w -= 0.2 * (0.01 * w - (d / (1 + np.exp(d @ w))[:, None]).mean(axis=0))
+    assert np.allclose(got, w, atol=1e-5)
+
+
+def test_cut_is_the_quantile_of_the_bad_share():
+    rng = np.random.default_rng(6)
+    x, good = rng.normal(size=(101, WIDTH)), np.arange(101) % 4 != 0
+    model = train(x, good.astype(int), pairs=3000)
+    worth = sorted((((x - model["mean"]) / model["spread"]).clip(-8, 8) @ model["w"]).tolist())
+    at = (good == 0).sum() / 101 * 100
+    assert np.isclose(model["cut"], (worth[int(np.floor(at))] + worth[int(np.ceil(at))]) / 2)
+
+
+def test_hashed_features_are_shares_of_each_text():
+    texts = [b"a b a", b"", b"xyz", "é à la".encode(), b"ab"]
+    alone = np.vstack([features([t]) for t in texts])
+    assert np.allclose(features(texts), alone)
+    hashed = alone[:, -2 * HASHED :].reshape(5, 2, HASHED)
+    assert np.allclose((hashed**2).sum(axis=2), [[1, 1], [0, 0], [1, 1], [1, 1], [1, 0]])
+
+
+def test_fit_takes_the_same_text_of_a_repeated_id(spark):
+    rows = [(i % 40, ("good words here and there " if i % 2 else "!!! ### $$$ ") * (1 + i % 7)) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1000 + i, 0) for i in range(100)] + [(None, 1), (3, 7)], "doc_id long, quality int")
+    one, two = (fit(spark.createDataFrame(r, "doc_id long, text string").repartition(3), labels, 40) for r in (rows, rows[::-1]))
+    assert np.allclose(one["w"], two["w"]) and one["w"].any()
+
+
 def test_score_odd_rows(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     model = fit(docs, labels)
@@ -40,7 +77,7 @@ def test_score_odd_rows(spark, sf_dir):
     assert keep_good(odd, model).columns == odd.columns
     none = fit(docs.limit(0), labels)
     assert all(0 <= r.score <= 1 for r in score(odd, none).collect())
-    assert features([]).shape == (0, len(NAMES))
+    assert features([]).shape == (0, WIDTH)
 
 
 def test_pipeline_stage_by_stage(spark, sf_dir):
