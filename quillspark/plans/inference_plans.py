@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from quillspark.operators import inference as I
 from quillspark.operators.summaries import unpivot_services
 from quillspark.plans.catalog import query
 from quillspark.plans.records import SERVICES, records, with_records
 
-METRICS = ["words", "pages", "words_per_page"]
+METRICS = ["words", "pages", "pages_before", "service_sections", "words_per_page", "words_per_pre_page"]
 
 
 def _tests(spark, d):
@@ -49,7 +51,14 @@ def group_ci_stats_positive(spark, d):
     return I.metric_intervals(long, ["service"]).drop("_mean", "_std")
 
 
-@query()
+P_SQL = """
+, g AS (SELECT service, count(*) AS n, round(sum(coalesce(words, 0)), 6) / count(*) AS m, stddev_samp(coalesce(words, 0)) AS s FROM opinions WHERE template = 'AFS' GROUP BY service),
+t AS (SELECT *, least(abs(m) / (nullif(s, 0) / sqrt(n)) / sqrt(2), 6.0) AS x FROM g),
+e AS (SELECT *, 2 / sqrt(pi()) * x / 3000 * (1 + exp(-x * x) + list_sum(list_transform(range(1, 1000), lambda i: CASE WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END * exp(-pow(x * i / 1000, 2))))) AS erf FROM t)
+SELECT service, n, round(CASE WHEN n < 2 THEN 1.0 WHEN s = 0 THEN 0.0 ELSE 2 * (1 - 0.5 * (1 + erf)) END, 6) AS p FROM e"""
+
+
+@query(with_records(P_SQL, True))
 def afs_p_values(spark, d):
     long = unpivot_services(records(spark, d).filter("template = 'AFS'"), SERVICES, "note_id").selectExpr("service", "coalesce(words, 0) AS value")
-    return I.with_p(I.metric_intervals(long, ["service"]))
+    return I.with_p(I.metric_intervals(long, ["service"])).select("service", "n", F.round("p", 6).alias("p"))
