@@ -31,7 +31,7 @@ def master_columns(df: DataFrame) -> DataFrame:
     return out.drop("bo_afs_date", "bo_pin_gng_date", "bo_author", "bo_product", "bo_flag", "bo_pj", "bo_rm", "bo_ju", "bo_sg", "bo_process")
 
 
-#: Characters that a shorter name's start is looked up by inside longer ones; names with fewer are looked up whole.
+#: Characters of the piece by which a shorter name is looked up inside longer ones; names with fewer are looked up whole.
 GRAM = 6
 
 
@@ -41,8 +41,9 @@ def match_cascade(notes: DataFrame, files: DataFrame) -> DataFrame:
     notes: id, template, name, clean; files: file, template, name, clean, ordinal. The tiers: the same name (the last
     such file), the only file of the template with the clean name, the only file at all with it, the only file of the
     template whose clean name contains the note's or lies in it. Whether a candidate is the only one is decided over all
-    files, before earlier tiers take any. The last tier meets by template and the first GRAM characters of the shorter
-    name, wherever they stand in the longer; a clean name shorter than that meets the pieces of its length of the others.
+    files, before earlier tiers take any. The last tier meets by template and one piece of GRAM characters of the shorter
+    name, wherever it stands in the longer: the piece that the fewest names of the template have, so that a start or an
+    end that all names share brings no two together. A clean name shorter than that meets the pieces of its length.
     """
     exact = files.groupBy("name").agg(F.max_by("file", "ordinal").alias("file1"))
     in_template = files.groupBy("template", "clean").agg(F.max("file").alias("file2"), F.count("*").alias("n2"))
@@ -59,8 +60,14 @@ def match_cascade(notes: DataFrame, files: DataFrame) -> DataFrame:
     # A note's file is the only one if the least and the largest of those that fit are the same, however often one is met.
     b = files.filter("clean <> ''").groupBy("template", F.col("clean").alias("theirs")).agg(F.min("file").alias("low"), F.max("file").alias("high"))
     long_a, long_b = a.filter(F.length("mine") >= GRAM), b.filter(F.length("theirs") >= GRAM)
-    inside = long_a.select("*", F.explode(grams(F.col("mine"))).alias("g")).join(long_b.withColumn("g", F.substring("theirs", 1, GRAM)), ["template", "g"]).filter(F.contains("mine", "theirs"))
-    around = long_b.select("*", F.explode(grams(F.col("theirs"))).alias("g")).join(long_a.withColumn("g", F.substring("mine", 1, GRAM)), ["template", "g"]).filter(F.contains("theirs", "mine"))
+    names = long_a.select("template", F.col("mine").alias("name")).union(long_b.select("template", F.col("theirs").alias("name"))).distinct()
+    pieced = names.select("template", "name", F.explode(grams(F.col("name"))).alias("g"))
+    common = pieced.groupBy("template", "g").agg(F.count("*").alias("n"))
+    rarest = pieced.join(common, ["template", "g"]).groupBy("template", "name").agg(F.min(F.struct("n", "g")).alias("best")).select("template", "name", F.col("best.g").alias("g"))
+    filed_a = long_a.join(rarest.withColumnRenamed("name", "mine"), ["template", "mine"])
+    filed_b = long_b.join(rarest.withColumnRenamed("name", "theirs"), ["template", "theirs"])
+    inside = long_a.select("*", F.explode(grams(F.col("mine"))).alias("g")).join(filed_b, ["template", "g"]).filter(F.contains("mine", "theirs"))
+    around = long_b.select("*", F.explode(grams(F.col("theirs"))).alias("g")).join(filed_a, ["template", "g"]).filter(F.contains("theirs", "mine"))
     short_b = b.filter(F.length("theirs") < GRAM).withColumnRenamed("theirs", "g")
     short_inside = a.select("id", "template", F.explode(pieces(F.col("mine"))).alias("g")).join(short_b, ["template", "g"])
     # The files around a short name are counted once for the name, not for each note that has it.
@@ -128,8 +135,11 @@ def promote_header(rows: DataFrame, cells: str, ordinal: str, markers: list[str]
     return body, names
 
 
-def complete_grid(facts: DataFrame, first: str, second: str, value: str) -> DataFrame:
-    """A row for every pair of values of two small axes, 0 where there is no fact."""
+def complete_grid(facts: DataFrame, first: str, second: str, value: str, most: int = 100_000) -> DataFrame:
+    """A row for every pair of values of two small axes, 0 where there is no fact. Axes of more pairs than `most` are an error."""
+    sizes = facts.agg(F.countDistinct(first).alias("a"), F.countDistinct(second).alias("b")).first()
+    if sizes.a * sizes.b > most:
+        raise ValueError(f"a grid of {sizes.a} by {sizes.b} has more than {most} places")
     a = facts.agg(F.collect_set(first).alias("a")).select(F.explode("a").alias(first))
     grid = a.join(facts.agg(F.collect_set(second).alias("b"))).select(first, F.explode("b").alias(second))
     return grid.join(facts, [first, second], "left").withColumn(value, F.coalesce(value, F.lit(0)))

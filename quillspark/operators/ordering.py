@@ -39,8 +39,8 @@ def template_order(c: Column) -> Column:
 
 
 def hashed_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """`n` rows without replacement, the same ones on every run."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """`n` rows without replacement, the same ones on every run: the first in order of the MD5 of seed and key."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)
 
 
 def systematic(df: DataFrame, points: int, value: str, clip: float, *order: Column) -> DataFrame:

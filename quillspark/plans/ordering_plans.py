@@ -69,7 +69,7 @@ def scatter_clipped_systematic(spark, d):
     return O.systematic(records(spark, d).select("note_id", "words", "pages"), 1600, "words", 0.98, F.col("note_id"))
 
 
-@query()
+@query(with_records(f"SELECT {', '.join(SHOWN)} FROM records ORDER BY md5('20260529:' || CAST(note_id AS VARCHAR)), note_id LIMIT 3000"))
 def hashed_sample_3000(spark, d):
     return O.hashed_sample(records(spark, d).select(*SHOWN), "note_id", 3000, 20260529)
 
