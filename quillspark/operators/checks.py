@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.stats import null0, quantile, r6, rate
 from quillspark.operators.summaries import unpivot_services
+from quillspark.sources.sinks import write_csv
 
 
 def unexpected_services(records: DataFrame, services: list[str], template: str, expected: list[str]) -> DataFrame:
@@ -58,27 +59,80 @@ def only_under(records: DataFrame, service: str, allowed: list[str]) -> DataFram
     return found.select(F.array_join("found", ", ").alias("found"), F.array_join(extra, ", ").alias("unexpected"), F.when(F.size(extra) == 0, "pass").otherwise("warn").alias("status"))
 
 
+def missing_ged(records: DataFrame) -> DataFrame:
+    """Records without a match status of the document store: information, not a fault."""
+    return records.filter(F.col("ged_status").isNull()).select("note_id", "template", "validation_date", "bo_date")
+
+
 def status(n: Column) -> Column:
     return F.when(n == 0, "pass").otherwise("warn")
 
 
-def test_summary(records: DataFrame, services: list[str], expected: list[str]) -> DataFrame:
-    """One row for each test with a count of findings: all of them in one pass over the records."""
+#: The share of notes that a service must be in, the ratio of all services to the text, and how many quartile
+#: distances beyond the quartiles an outlier begins.
+LEAST_COVERAGE, MOST_RATIO, IQR_FACTOR = 0.65, 1.25, 1.5
+
+
+def test_summary(records: DataFrame, services: list[str], expected: list[str], template: str = "GNG", least: float = LEAST_COVERAGE, factor: float = IQR_FACTOR) -> DataFrame:
+    """test, status, metric, unit: one row for each data test, in one pass over the records.
+
+    Findings of a service are counted once for each record and service. A template's quartiles and medians come first and
+    are a row for each template.
+    """
     others = [s for s in services if s not in expected]
-    any_ = lambda cs: reduce(lambda a, b: a | b, cs)
-    tests = {
-        "unexpected department": F.count_if((F.col("template") == "GNG") & any_([null0(F.col(s)) > 0 for s in others])),
-        "department exceeds total": F.count_if(any_([null0(F.col(s)) > F.col("words") for s in services])),
-        "departments over text": F.count_if(F.try_divide(F.col("service_words"), F.nullif("words", F.lit(0.0))) > 1.25),
-        "future date": F.count_if("is_future"),
-        "missing validation date": F.count_if(~F.col("has_date")),
-        "missing bo date": F.count_if(~F.col("has_bo_date")),
-    }
-    row = records.agg(*[c.alias(k) for k, c in tests.items()])
-    return row.unpivot([], list(tests), "test", "metric").withColumn("status", status(F.col("metric")))
+    total = lambda flags: F.sum(sum((f.cast("long") for f in flags), F.lit(0)))
+    mine = F.col("template").eqNullSafe(template)
+    words = null0(F.col("words"))
+    q = records.groupBy("template").agg(
+        quantile("words", 0.25, 6).alias("_q1"), quantile("words", 0.75, 6).alias("_q3"),
+        F.count_if((F.col("extraction") == "Manual") & F.col("words").isNotNull()).alias("_manual"), F.count_if((F.col("extraction") == "Automated") & F.col("words").isNotNull()).alias("_automated"),
+    )
+    both = q.agg(F.count_if((F.col("_manual") > 0) & (F.col("_automated") > 0) & F.col("template").isNotNull()).alias("both"))
+    spread = factor * (F.col("_q3") - F.col("_q1"))
+    # A row for each template: small by nature.
+    bounds = q.select(F.col("template").alias("_template"), F.greatest(F.lit(0.0), F.col("_q1") - spread).alias("_low"), (F.col("_q3") + spread).alias("_high")).filter("_template is not null")
+    judged = records.join(F.broadcast(bounds), F.col("template") == F.col("_template"), "left")
+    outside = (F.col("words") < F.col("_low")) | (F.col("words") > F.col("_high"))
+    row = judged.agg(
+        total([mine & (null0(F.col(s)) > 0) for s in others]).alias("unexpected"),
+        *[F.round(100 * F.try_divide(F.count_if(mine & (null0(F.col(s)) > 0)), F.greatest(F.count_if(mine), F.lit(1))), 2).alias(f"coverage {s}") for s in sorted(expected)],
+        total([null0(F.col(s)) > words for s in services]).alias("exceeds"),
+        F.count_if(F.try_divide(F.col("service_words"), F.nullif("words", F.lit(0.0))) > MOST_RATIO).alias("ratio"),
+        F.count_if("is_future").alias("future"), F.count_if(~F.col("has_date")).alias("no date"), F.count_if(F.col("ged_status").isNull()).alias("no ged"), F.count_if(~F.col("has_bo_date")).alias("no bo date"),
+        F.count_if(outside).alias("outliers"), F.count_if(null0(F.col("SG")) > 0).alias("sg"), F.count_if((null0(F.col("SG")) > 0) & ~F.col("template").eqNullSafe("OTHER")).alias("sg elsewhere"),
+    ).join(F.broadcast(both))
+    entry = lambda test, state, metric, unit: F.struct(F.lit(test).alias("test"), state.alias("status"), metric.cast("double").alias("metric"), F.lit(unit).alias("unit"))
+    info = F.lit("info")
+    tests = [
+        entry("gng-unexpected-departments", status(F.col("unexpected")), F.col("unexpected"), "rows"),
+        *[entry(f"gng-{s.lower()}-coverage", F.when(F.col(f"coverage {s}") >= 100 * least, "pass").otherwise("warn"), F.col(f"coverage {s}"), "% rows positive") for s in sorted(expected)],
+        entry("single-department-exceeds-total", status(F.col("exceeds")), F.col("exceeds"), "rows"),
+        entry("department-total-ratio", status(F.col("ratio")), F.col("ratio"), "rows"),
+        entry("future-validation-dates", status(F.col("future")), F.col("future"), "rows"),
+        entry("missing-validation-dates", status(F.col("no date")), F.col("no date"), "rows"),
+        entry("missing-ged-status", F.when(F.col("no ged") > 0, "info").otherwise("pass"), F.col("no ged"), "rows"),
+        entry("missing-bo-validation-dates", status(F.col("no bo date")), F.col("no bo date"), "rows"),
+        entry("word-count-iqr-outliers", info, F.col("outliers"), "rows"),
+        entry("manual-automated-median-difference", info, F.col("both"), "templates"),
+        entry("sg-template-distribution", status(F.col("sg elsewhere")), F.col("sg"), "rows"),
+    ]
+    return row.select(F.explode(F.array(*tests)).alias("t")).select("t.*")
 
 
 def detail_rows(tests: dict[str, DataFrame], most: int = 25) -> DataFrame:
-    """The first `most` findings of each test, by note, as (test, note_id, detail)."""
-    parts = [df.orderBy("note_id").limit(most).select(F.lit(name).alias("test"), "note_id", F.to_json(F.struct("*")).alias("detail")) for name, df in tests.items()]
+    """The first `most` findings of each test, by note and what it found: test, note_id, template, department, value."""
+    parts = []
+    for name, df in tests.items():
+        have = lambda c, kind, df=df: (F.col(c) if c in df.columns else F.lit(None)).cast(kind)
+        value = next((c for c in ("ratio", "words") if c in df.columns), "none")
+        listed = df.select(F.lit(name).alias("test"), "note_id", "template", have("service", "string").alias("department"), have(value, "double").alias("value"))
+        parts.append(listed.orderBy("note_id", "department").limit(most))
     return reduce(DataFrame.unionByName, parts)
+
+
+def write_tests(summary: DataFrame, details: DataFrame, path: str) -> None:
+    """The tests as JSON, their summary and their findings as CSV."""
+    found = details.groupBy("test").agg(F.array_sort(F.collect_list(F.struct("note_id", "department", "template", "value"))).alias("rows"))
+    summary.join(found, "test", "left").coalesce(1).write.mode("overwrite").json(f"{path}/tests")
+    write_csv(summary, f"{path}/tests_summary", bom=True)
+    write_csv(details, f"{path}/tests_detail", bom=True)

@@ -115,21 +115,36 @@ def bo_delta_histogram(records: DataFrame) -> DataFrame:
 
 
 def correlations(records: DataFrame, columns: list[str]) -> DataFrame:
-    """Pairwise complete correlations, all in one pass over the records."""
-    pairs = [(a, b) for a in columns for b in columns]
-    row = records.agg(*[F.corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
-    listed = F.explode(F.array(*[F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.round(F.nanvl(F.col(f"c{k}"), F.lit(None)), 4).alias("corr")) for k, (a, b) in enumerate(pairs)]))
+    """Pairwise complete correlations, all in one pass over the records; each pair is computed once and stands on both sides."""
+    place = {a: k for k, a in enumerate(columns)}
+    once = [(a, b) for a in columns for b in columns if place[a] <= place[b]]
+    row = records.agg(*[F.corr(a, b).alias(f"c{place[a]}_{place[b]}") for a, b in once])
+    value = lambda a, b: F.round(F.nanvl(F.col(f"c{min(place[a], place[b])}_{max(place[a], place[b])}"), F.lit(None)), 4)
+    listed = F.explode(F.array(*[F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), value(a, b).alias("corr")) for a in columns for b in columns]))
     return row.select(listed.alias("p")).select("p.*")
 
 
+#: The flags of a record's quality, in the reports' order.
+FLAGS = {
+    "Missing validation date": lambda: F.col("validation_date").isNull(),
+    "Future validation date": lambda: F.col("is_future"),
+    "Missing annex page count": lambda: F.col("annex_pages").isNull(),
+    "Missing BO validation date": lambda: F.col("bo_date").isNull(),
+}
+#: The flags that the dashboard counts.
+SHOWN_FLAGS = {"Missing date": "Missing validation date", "Future date": "Future validation date", "Missing BO date": "Missing BO validation date"}
+
+
 def quality_flags(records: DataFrame) -> DataFrame:
-    """A row for each record and flag that it has; a record may have several."""
-    day = F.col("is_future")
-    flags = F.array_compact(F.array(
-        F.when(~F.col("has_bo_date"), F.lit("missing bo date")), F.when(~F.col("has_date"), F.lit("missing date")), F.when(day, F.lit("future date")),
-        F.when(F.col("service_words") == 0, F.lit("no service words")), F.when(F.col("delta_days") < 0, F.lit("bo date before validation")),
-    ))
-    return records.select("note_id", "template", F.explode(flags).alias("flag"))
+    """A row for each record and flag that it has; a record may have several. One pass, where a union would make four."""
+    flags = F.array_compact(F.array(*[F.when(rule(), F.lit(name)) for name, rule in FLAGS.items()]))
+    return records.select(F.explode(flags).alias("flag"), "note_id", "batch", "template", "extraction", "file_name", "validation_date", "bo_date", "pages", "words", "product")
+
+
+def quality_flag_counts(records: DataFrame) -> DataFrame:
+    """(flag, n) for each flag of the dashboard, flags without a record included."""
+    row = records.agg(*[F.count_if(FLAGS[name]()).alias(shown) for shown, name in SHOWN_FLAGS.items()])
+    return row.unpivot([], list(SHOWN_FLAGS), "flag", "n")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -70,20 +70,52 @@ def dq_subset_check(spark, d):
     return Q.only_under(records(spark, d), "SG", ["OTHER"])
 
 
-@query(with_records("""
-, t AS (
-  SELECT count(*) FILTER (template = 'GNG' AND (SG > 0 OR OTHER > 0)) AS a, count(*) FILTER (greatest(OPS, PJ, RM, JU, ECON, SG, OTHER) > words) AS b, count(*) FILTER (service_words / words > 1.25) AS c,
-    count(*) FILTER (is_future) AS d, count(*) FILTER (NOT has_date) AS e, count(*) FILTER (NOT has_bo_date) AS f FROM records
-), u AS (
-  SELECT 'unexpected department' AS test, a AS metric FROM t UNION ALL SELECT 'department exceeds total', b FROM t UNION ALL SELECT 'departments over text', c FROM t
-  UNION ALL SELECT 'future date', d FROM t UNION ALL SELECT 'missing validation date', e FROM t UNION ALL SELECT 'missing bo date', f FROM t
+SUMMARY_SQL = (
+    """
+, q AS (SELECT template, round(quantile_cont(words, 0.25), 6) AS q1, round(quantile_cont(words, 0.75), 6) AS q3, count(words) FILTER (extraction = 'Manual') AS m, count(words) FILTER (extraction = 'Automated') AS a FROM records GROUP BY template),
+b AS (SELECT template, greatest(0, q1 - 0.5 * (q3 - q1)) AS low, q3 + 0.5 * (q3 - q1) AS high FROM q),
+g AS (SELECT service, 100.0 * count(*) FILTER (words > 0) / count(*) AS share FROM opinions WHERE template = 'GNG' GROUP BY service),
+t AS (
+  SELECT 'gng-unexpected-departments' AS test, 'find' AS kind, (SELECT count(*) FROM opinions WHERE template = 'GNG' AND service IN ('SG', 'OTHER') AND words > 0)::DOUBLE AS metric, 'rows' AS unit
+  UNION ALL SELECT 'gng-' || lower(service) || '-coverage', 'cover', round(share, 2), '% rows positive' FROM g WHERE service IN ('OPS', 'PJ', 'RM', 'JU', 'ECON')
+  UNION ALL SELECT 'single-department-exceeds-total', 'find', (SELECT count(*) FROM opinions AS o JOIN records AS r USING (note_id) WHERE coalesce(o.words, 0) > coalesce(r.words, 0)), 'rows'
+"""
+    + "\n".join(
+        f"  UNION ALL SELECT '{test}', '{kind}', count(*) FILTER ({rule}), 'rows' FROM records"
+        for test, kind, rule in (
+            ("department-total-ratio", "find", "service_words / nullif(words, 0) > 1.25"), ("future-validation-dates", "find", "is_future"), ("missing-validation-dates", "find", "NOT has_date"),
+            ("missing-ged-status", "tell", "ged_status IS NULL"), ("missing-bo-validation-dates", "find", "NOT has_bo_date"),
+        )
+    )
+    + """
+  UNION ALL SELECT 'word-count-iqr-outliers', 'info', (SELECT count(*) FROM records JOIN b USING (template) WHERE words < low OR words > high), 'rows'
+  UNION ALL SELECT 'manual-automated-median-difference', 'info', (SELECT count(*) FROM q WHERE m > 0 AND a > 0), 'templates'
+  UNION ALL SELECT 'sg-template-distribution', 'where', count(*) FILTER (SG > 0), 'rows' FROM records
 )
-SELECT *, CASE WHEN metric = 0 THEN 'pass' ELSE 'warn' END AS status FROM u"""))
+SELECT test, CASE kind WHEN 'info' THEN 'info' WHEN 'cover' THEN CASE WHEN metric >= 50 THEN 'pass' ELSE 'warn' END WHEN 'tell' THEN CASE WHEN metric > 0 THEN 'info' ELSE 'pass' END
+    WHEN 'where' THEN CASE WHEN (SELECT count(*) FROM records WHERE SG > 0 AND template <> 'OTHER') = 0 THEN 'pass' ELSE 'warn' END ELSE CASE WHEN metric = 0 THEN 'pass' ELSE 'warn' END END AS status,
+  metric, unit FROM t"""
+)
+
+
+@query(with_records(SUMMARY_SQL, True))
 def dq_test_summary(spark, d):
-    return Q.test_summary(records(spark, d), SERVICES, EXPECTED)
+    """All fifteen tests, with half the usual distance of outliers and a coverage of one half."""
+    return Q.test_summary(records(spark, d), SERVICES, EXPECTED, least=0.5, factor=0.5)
 
 
-@query()
+@query(with_records("SELECT note_id, template, validation_date, bo_date FROM records WHERE ged_status IS NULL"))
+def dq_missing_ged(spark, d):
+    return Q.missing_ged(records(spark, d))
+
+
+@query(with_records("""
+, f AS (
+  SELECT 'missing bo date' AS test, note_id, template, NULL AS department, NULL::DOUBLE AS value FROM records WHERE NOT has_bo_date
+  UNION ALL SELECT 'unexpected department', note_id, template, service, words FROM opinions WHERE template = 'GNG' AND service IN ('SG', 'OTHER') AND words > 0
+  UNION ALL SELECT 'missing ged', note_id, template, NULL, NULL FROM records WHERE ged_status IS NULL
+), k AS (SELECT *, row_number() OVER (PARTITION BY test ORDER BY note_id, department) AS rank FROM f)
+SELECT test, note_id, template, department, value FROM k WHERE rank <= 25""", True))
 def dq_test_details(spark, d):
     r = records(spark, d)
-    return Q.detail_rows({"missing bo date": Q.flagged(r, ~F.col("has_bo_date")), "unexpected department": Q.unexpected_services(r, SERVICES, "GNG", EXPECTED)})
+    return Q.detail_rows({"missing bo date": Q.flagged(r, ~F.col("has_bo_date")), "unexpected department": Q.unexpected_services(r, SERVICES, "GNG", EXPECTED), "missing ged": Q.missing_ged(r)})

@@ -43,6 +43,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("product"),
         F.col("c_name").alias("author"),
         F.when(F.year("bo_date") >= 1998, "New").when(F.col("bo_date").isNotNull(), "Old").alias("process"),
+        F.when(F.col("o_custkey") % 10 > 0, F.concat(F.lit("Matched "), F.substring("o_orderpriority", 1, 1))).alias("ged_status"),
         F.col("n_name").alias("team_pj"), F.col("r_name").alias("team_rm"), F.col("c_mktsegment").alias("team_ju"), F.col("n_name").alias("team_econ"),
         F.col("o_orderdate").cast("date").alias("validation_date"),
         "bo_date",
@@ -71,6 +72,7 @@ per_order AS (
     'B' || CAST(year(o_orderdate) AS VARCHAR) AS batch, 'note-' || CAST(o_orderkey AS VARCHAR) || '.pdf' AS file_name,
     coalesce(c_mktsegment, 'Missing product') AS product, c_name AS author,
     CASE WHEN year(bo_date) >= 1998 THEN 'New' WHEN bo_date IS NOT NULL THEN 'Old' END AS process,
+    CASE WHEN o_custkey % 10 > 0 THEN 'Matched ' || substr(o_orderpriority, 1, 1) END AS ged_status,
     n_name AS team_pj, r_name AS team_rm, c_mktsegment AS team_ju, n_name AS team_econ,
     CAST(o_orderdate AS DATE) AS validation_date, bo_date, o_totalprice AS words, pages, pages_before, annex_pages,
 """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from quillspark.operators import summaries as S
 from quillspark.plans.catalog import query
 from quillspark.plans.records import SERVICES, records, with_records
@@ -127,19 +129,32 @@ def correlation_matrix(spark, d):
     return S.correlations(records(spark, d), CORRELATED)
 
 
-@query(with_records("""
-SELECT note_id, template, 'missing bo date' AS flag FROM records WHERE NOT has_bo_date
-UNION ALL SELECT note_id, template, 'missing date' FROM records WHERE NOT has_date
-UNION ALL SELECT note_id, template, 'future date' FROM records WHERE is_future
-UNION ALL SELECT note_id, template, 'no service words' FROM records WHERE service_words = 0
-UNION ALL SELECT note_id, template, 'bo date before validation' FROM records WHERE delta_days < 0"""))
+FLAG_SQL = "SELECT '{flag}' AS flag, note_id, batch, template, extraction, file_name, validation_date, bo_date, pages, words, product FROM gaps WHERE {rule}"
+#: A third of the driver's records without annexes, and the last month as the future, so that each flag occurs.
+GAPS_SQL = """, gaps AS (SELECT * REPLACE (CASE WHEN note_id % 3 > 0 THEN annex_pages END AS annex_pages, CASE WHEN note_id % 7 > 0 THEN validation_date END AS validation_date, coalesce(note_id % 7 > 0 AND validation_date > DATE '2001-07-01', false) AS is_future) FROM records)
+"""
+
+
+def _gaps(spark, d):
+    later = (F.col("note_id") % 7 > 0) & (F.col("validation_date") > F.lit("2001-07-01").cast("date"))
+    return records(spark, d).withColumns({
+        "annex_pages": F.when(F.col("note_id") % 3 > 0, F.col("annex_pages")), "is_future": F.coalesce(later, F.lit(False)),
+        "validation_date": F.when(F.col("note_id") % 7 > 0, F.col("validation_date")),
+    })
+
+
+@query(with_records(GAPS_SQL + " UNION ALL ".join(FLAG_SQL.format(flag=f, rule=r) for f, r in (
+    ("Missing validation date", "validation_date IS NULL"), ("Future validation date", "is_future"), ("Missing annex page count", "annex_pages IS NULL"), ("Missing BO validation date", "bo_date IS NULL"),
+))))
 def quality_flags_union(spark, d):
-    return S.quality_flags(records(spark, d))
+    return S.quality_flags(_gaps(spark, d))
 
 
-@query(with_records("SELECT flag, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN NOT has_bo_date THEN 'missing bo date' END, CASE WHEN NOT has_date THEN 'missing date' END, CASE WHEN is_future THEN 'future date' END, CASE WHEN service_words = 0 THEN 'no service words' END, CASE WHEN delta_days < 0 THEN 'bo date before validation' END], lambda x: x IS NOT NULL)) AS flag FROM records) GROUP BY flag"))
+@query(with_records(GAPS_SQL + """
+SELECT 'Missing date' AS flag, count(*) FILTER (validation_date IS NULL) AS n FROM gaps UNION ALL SELECT 'Future date', count(*) FILTER (is_future) FROM gaps
+UNION ALL SELECT 'Missing BO date', count(*) FILTER (bo_date IS NULL) FROM gaps"""))
 def quality_flag_counts(spark, d):
-    return S.value_counts(S.quality_flags(records(spark, d)), "flag")
+    return S.quality_flag_counts(_gaps(spark, d))
 
 
 @query(with_records("""

@@ -20,7 +20,7 @@ MISSING_PRODUCT = "Missing product"
 RECORD = T.StructType(
     [T.StructField(n, t) for n, t in (
         ("note_id", T.LongType()), ("template", T.StringType()), ("extraction", T.StringType()), ("batch", T.StringType()),
-        ("file_name", T.StringType()), ("product", T.StringType()), ("author", T.StringType()), ("process", T.StringType()),
+        ("file_name", T.StringType()), ("product", T.StringType()), ("author", T.StringType()), ("process", T.StringType()), ("ged_status", T.StringType()),
         ("validation_date", T.DateType()), ("bo_date", T.DateType()), ("words", T.DoubleType()), ("pages", T.DoubleType()),
         ("pages_before", T.DoubleType()), ("annex_pages", T.DoubleType()),
     )]
