@@ -11,7 +11,7 @@ ASCII_WORD = r"(?U)\b[0-9A-Za-z']+\b"
 
 
 def squeeze(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
 def typography(c: Column) -> Column:
@@ -24,8 +24,8 @@ def typography(c: Column) -> Column:
 def flatten(c: Column) -> Column:
     """One line: words cut by a hyphen at a line end joined, bullets and lone joiners out."""
     joined = F.regexp_replace(typography(c), r"(?U)([\p{L}\p{N}])-\s*\n\s*([\p{L}\p{N}])", "$1$2")
-    bullets = F.regexp_replace(joined, r"(?m)^\s*[o•▪]\s+", " ")
-    return squeeze(F.regexp_replace(bullets, r"\s[&/-]\s", " "))
+    bullets = F.regexp_replace(joined, r"(?mU)^\s*[o•▪]\s+", " ")
+    return squeeze(F.regexp_replace(bullets, r"(?U)\s[&/-]\s", " "))
 
 
 def word_count(c: Column) -> Column:
@@ -57,22 +57,25 @@ def note_type(name: Column) -> Column:
 
 
 def is_table_line(c: Column) -> Column:
-    """Four tokens or more, most of them numbers."""
+    """Four tokens or more, over half of them digits once commas, points and percent signs are taken out."""
     tokens = F.filter(F.split(F.trim(c), r"\s+"), lambda x: x != "")
-    numbers = F.filter(tokens, lambda x: x.rlike(r"^[-+(]?[\d.,]*\d[\d.,]*[%)]?$"))
+    numbers = F.filter(tokens, lambda x: F.translate(x, ",.%", "").rlike(r"(?U)^\d+$"))
     return (F.size(tokens) >= 4) & (F.size(numbers) * 2 > F.size(tokens))
 
 
-def noise_reason(c: Column) -> Column:
-    """Why a line is no text, null if it is."""
+#: What the footers of the pages of a template look like, and why a line that does is left out.
+PAGE_NUMBER, PAGE_OF = r"^\s*-\s*\d+\s*-\s*$", r"(?i)\b\d+\s+of\s+\d+\b"
+FOOTERS = {
+    "GNG": [(r"(?i)\bMC[_\s-]?GNG\b", "MC_GNG footer"), (r"(?i)^corporate use$", "Corporate Use footer")],
+    "AFS": [(r"(?i)\bMC\s+AFS\b", "MC AFS footer"), (r"(?i)\bConfidential\b", "Confidential footer/header"), (r"(?i)corporate use", "Corporate Use footer")],
+}
+
+
+def noise_reason(c: Column, template: str) -> Column:
+    """Why a line of a note is no text of it, null if it is: the first reason that holds."""
     t = F.trim(c)
-    return (
-        F.when(t == "", "blank")
-        .when(t.rlike(r"^\d+$"), "page number")
-        .when(t.rlike(r"(?i)^page\s+\d+(\s*(of|/)\s*\d+)?$"), "page label")
-        .when(t.rlike(r"(?i)^(confidential|restricted|corporate use|all rights reserved)\b.*$"), "footer")
-        .when(is_table_line(c), "table")
-    )
+    rules = [(PAGE_NUMBER, "page number"), (PAGE_OF, "x of y page marker"), *FOOTERS[template]]
+    return F.coalesce(F.when(t == "", "blank line"), *[F.when(t.rlike(p), F.lit(reason)) for p, reason in rules])
 
 
 def is_contents(lines: Column) -> Column:
@@ -115,3 +118,28 @@ def service_author(c: Column) -> Column:
     t = F.trim(t)
     number = t.rlike(r"^\s*(?:\d{8}|\d{4}-\d{4,6})\s*$")
     return F.when(t.rlike("[/-]") & t.rlike(SERVICE_CODE) & ~number & ~F.lower(t).startswith("corporate use"), t)
+
+
+def thousands(c: Column, digits: int = 0) -> Column:
+    """A number for display: thousands apart by commas, `digits` decimals; a missing one is empty."""
+    return F.coalesce(F.format_number(c, digits), F.lit(""))
+
+
+def value_label(c: Column, suffix: str = "") -> Column:
+    """A number as charts show it: whole, or with one decimal where a small number would lose it; percentages are whole."""
+    small = (F.abs(c) < 10) & (F.abs(c % 1) > 0.01) & F.lit(suffix != "%")
+    return F.concat(F.when(small, F.regexp_replace(F.format_number(c, 1), r"\.0$", "")).otherwise(F.format_number(c, 0)), F.lit(suffix))
+
+
+def short_label(c: Column, most: int = 28) -> Column:
+    """A label cut to `most` - 1 characters and three points if it is longer; a missing one is "Missing"."""
+    t = F.coalesce(c, F.lit("Missing"))
+    return F.when(F.length(t) > most, F.concat(F.substring(t, 1, most - 1), F.lit("..."))).otherwise(t)
+
+
+def html_text(c: Column) -> Column:
+    """Text in which no character is markup."""
+    out = F.coalesce(c, F.lit(""))
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
+        out = F.replace(out, F.lit(mark), F.lit(name))
+    return out

@@ -8,6 +8,7 @@ its end and a rejected header to its own, which no flag on one line can tell; ea
 
 from __future__ import annotations
 
+import bisect
 import re
 from dataclasses import dataclass, field
 
@@ -16,13 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import UNICODE_WORD, canonical_prefix, division_author, export_prefix, is_table_line, service_author, squeeze
+from quillspark.functions.text import UNICODE_WORD, canonical_prefix, division_author, export_prefix, is_table_line, noise_reason, service_author, squeeze
 from quillspark.schema import SERVICES
 
 #: Patterns of the GNG template. A line is compared after its dashes, quotes and spaces are made plain.
 GNG_SECTION = r"(?i)^\s*6\.\s+Services'?\s+acknowledgement"
-GNG_STOP = r"(?i)\bExpected\s+timetable\b"
-GNG_ANNEX = r"(?i)\bGNG\s+validation\b"
+GNG_STOP_WORDS = r"\bExpected\s+timetable\b"
+GNG_ANNEX_WORDS = r"\bGNG\s+validation\b"
+GNG_STOP, GNG_ANNEX = "(?i)" + GNG_STOP_WORDS, "(?i)" + GNG_ANNEX_WORDS
 GNG_HEADING = r"(?i)^\s*(GR\s*&\s*C\s*[-/]?\s*OCCO|GR\s*&\s*C\s*[-/]?\s*RM|OCCO|ECON|PJ|JU)\s*(?:contribution)?\s*$"
 #: Patterns of the AFS template and the prefixes that open an opinion, with the service they count under.
 AFS_OPINIONS = r"(?i)^\s*(\d+\s*[).]?\s*)?(?:Services\s+)?Opinions?\s*$"
@@ -69,8 +71,8 @@ def joined(lines: DataFrame, *keys: str) -> DataFrame:
     return lines.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda x: x["t"]), "\n").alias("text")).withColumn("words", counted(F.col("text")))
 
 
-def _noise(t: Column, code: str, more: Column) -> Column:
-    return (t == "") | t.rlike(r"^\s*-\s*\d+\s*-\s*$") | t.rlike(r"(?i)\b\d+\s+of\s+\d+\b") | t.rlike(code) | more
+def _noise(template: str) -> Column:
+    return noise_reason(F.col("t"), template).isNotNull()
 
 
 def _first(flag: Column) -> Column:
@@ -92,8 +94,8 @@ def gng_segments(lines: DataFrame) -> DataFrame:
     stop = F.min(F.when(t.rlike(GNG_STOP), F.col("ord"))).over(doc)
     inside = inside.withColumn("stop", stop).filter(F.col("stop").isNull() | (F.col("ord") <= F.col("stop")))
     # Of the stop line, what stands before the words that stop.
-    inside = inside.withColumn("t", F.when(F.col("ord") == F.col("stop"), F.regexp_replace(t, "(?is)" + GNG_STOP[4:] + ".*$", "")).otherwise(t))
-    kept = inside.filter(~_noise(t, r"(?i)\bMC[_\s-]?GNG\b", F.lower(t) == "corporate use"))
+    inside = inside.withColumn("t", F.when(F.col("ord") == F.col("stop"), F.regexp_replace(t, "(?is)" + GNG_STOP_WORDS + ".*$", "")).otherwise(t))
+    kept = inside.filter(~_noise("GNG"))
     prefix = F.when(t.rlike(GNG_HEADING), canonical_prefix(F.regexp_extract("t", GNG_HEADING, 1)))
     ordered = doc.orderBy("ord")
     before = F.last("prefix", ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, -1))
@@ -111,15 +113,44 @@ def extract_gng(pages: DataFrame) -> DataFrame:
     facts = lines.groupBy("doc_id").agg(
         F.max("page_no").alias("pages"), _first(t.rlike(GNG_SECTION)).alias("start"), F.min(F.when(t.rlike(GNG_SECTION), F.col("page_no"))).alias("pages_before"), _first(t.rlike(GNG_STOP)).alias("timetable"),
     )
-    after = (F.col("ord") > F.col("timetable")) | ((F.col("ord") == F.col("timetable")) & t.rlike("(?i)" + GNG_STOP[4:] + ".*" + GNG_ANNEX[4:]))
+    after = (F.col("ord") > F.col("timetable")) | ((F.col("ord") == F.col("timetable")) & t.rlike("(?i)" + GNG_STOP_WORDS + ".*" + GNG_ANNEX_WORDS))
     annex = lines.join(facts.select("doc_id", "timetable"), "doc_id").filter(after & t.rlike(GNG_ANNEX)).groupBy("doc_id").agg(F.min("page_no").alias("annex_from"))
-    noise = _noise(t, r"(?i)\bMC[_\s-]?GNG\b", F.lower(t) == "corporate use")
+    noise = _noise("GNG")
     before = joined(lines.join(facts.select("doc_id", "start"), "doc_id").filter((F.col("ord") < F.col("start")) & ~noise), "doc_id").select("doc_id", F.col("words").alias("before"))
     out = facts.join(annex, "doc_id", "left").join(before, "doc_id", "left").join(_wide(gng_segments(lines)), "doc_id", "left")
     words = F.when(F.col("start").isNotNull(), F.coalesce("before", F.lit(0)))
     return out.select("doc_id", F.lit("GNG").alias("template"), "pages", "pages_before", (F.col("pages") - F.col("annex_from")).alias("annex_pages"), words.alias("words"), *SERVICES)
 
 
+def gng_provenance(pages: DataFrame) -> DataFrame:
+    """By document how its rows came about: what opened and closed section 6 and where, which lines were left out and why,
+    and which lines look like headings of contributions and whether they count."""
+    lines = page_lines(pages)
+    t, doc = F.col("t"), W.partitionBy("doc_id")
+    start = F.min(F.when(t.rlike(GNG_SECTION), F.col("ord"))).over(doc)
+    marked = lines.withColumn("start", start).withColumn("after", F.coalesce(F.col("ord") >= F.col("start"), F.lit(False)))
+    marked = marked.withColumn("stop", F.min(F.when(F.col("after") & t.rlike(GNG_STOP), F.col("ord"))).over(doc))
+    inside = F.col("after") & (F.col("stop").isNull() | (F.col("ord") <= F.col("stop")))
+    prefix = canonical_prefix(F.regexp_extract("t", GNG_HEADING, 1))
+    marked = marked.withColumns({"reason": F.when(inside, noise_reason(t, "GNG")), "prefix": F.when(inside & t.rlike(GNG_HEADING), prefix)})
+    before = F.last("prefix", ignorenulls=True).over(doc.orderBy("ord").rowsBetween(W.unboundedPreceding, -1))
+    marked = marked.withColumn("accepted", F.col("prefix").isNotNull() & ~F.col("prefix").eqNullSafe(before))
+    listed = lambda flag, *columns: F.array_sort(F.collect_list(F.when(flag, F.struct("ord", *columns))))
+    return marked.groupBy("doc_id").agg(
+        F.max("start").isNotNull().alias("section_found"), F.max(F.when(F.col("ord") == F.col("start"), F.regexp_extract("t", GNG_SECTION, 0))).alias("section_text"),
+        F.max(F.when(F.col("ord") == F.col("start"), F.col("page_no"))).alias("section_page"), F.max(F.when(F.col("ord") == F.col("stop"), F.regexp_extract("t", GNG_STOP, 0))).alias("stop_text"),
+        F.max("stop").alias("stop_line"), listed(F.col("reason").isNotNull(), "line", "reason").alias("removed"), listed(F.col("prefix").isNotNull(), "line", "prefix", "accepted").alias("headings"),
+    )
+
+
+def output_rows(rows: DataFrame, section: str | None = None, missing: str = "N/A") -> DataFrame:
+    """The rows as files show them: a service without words is blank, and all are `missing` where the note has no `section`."""
+    shown = {s: F.coalesce(F.nullif(F.col(s), F.lit(0)).cast("string"), F.lit("")) for s in SERVICES}
+    if section:
+        shown = {s: F.when(F.col(section), c).otherwise(F.lit(missing)) for s, c in shown.items()}
+    return rows.withColumns(shown)
+
+
 def _afs_prefixes() -> str:
     return "|".join(re.escape(p).replace("\\ ", r"\s+") for p in sorted(AFS_GROUPS, key=lambda p: (-len(p), p)))
 
@@ -179,7 +210,7 @@ def afs_segments(lines: DataFrame, starts: DataFrame) -> DataFrame:
     own = own.withColumn("opened", opened)
     stop = F.min(F.when(F.col("is_timetable") | (F.col("is_committee") & (F.col("ord") >= F.col("opened"))), F.col("ord"))).over(doc)
     own = own.withColumn("stop", stop).filter(F.col("stop").isNull() | (F.col("ord") < F.col("stop")))
-    own = own.filter(~_noise(t, r"(?i)\bMC\s+AFS\b", t.rlike(r"(?i)\bconfidential\b|corporate use")))
+    own = own.filter(~_noise("AFS"))
     cut = own.withColumn("segment", F.sum(F.col("prefix").isNotNull().cast("long")).over(doc.orderBy("ord"))).filter("segment > 0")
     named = cut.withColumn("head", F.first("prefix", ignorenulls=True).over(W.partitionBy("doc_id", "segment")))
     words = joined(named.filter("prefix is null"), "doc_id", "segment", "head")
@@ -193,7 +224,7 @@ def extract_afs(pages: DataFrame) -> DataFrame:
     t = F.col("t")
     facts = lines.groupBy("doc_id").agg(F.max("page_no").alias("pages"), _first(F.col("is_timetable")).alias("timetable"))
     annex = lines.join(facts.select("doc_id", "timetable"), "doc_id").filter(t.rlike(AFS_ANNEX) & (F.col("ord") >= F.coalesce("timetable", F.lit(0)))).groupBy("doc_id").agg(F.min("page_no").alias("annex_from"))
-    noise = _noise(t, r"(?i)\bMC\s+AFS\b", t.rlike(r"(?i)\bconfidential\b|corporate use"))
+    noise = _noise("AFS")
     early = lines.join(starts, "doc_id", "left").filter(~F.col("on_contents") & ~noise & (F.col("start").isNull() | (F.col("ord") < F.col("start"))))
     before = joined(early, "doc_id").select("doc_id", F.col("words").alias("before"))
     out = facts.join(starts, "doc_id", "left").join(annex, "doc_id", "left").join(before, "doc_id", "left").join(_wide(afs_segments(lines, starts)), "doc_id", "left")
@@ -201,7 +232,7 @@ def extract_afs(pages: DataFrame) -> DataFrame:
 
 
 #: Patterns of the OTHER template.
-_SECTION = re.compile(r"(?:6\s+)?OPINIONS\s+FROM\s+THE\s+SERVICES", re.IGNORECASE)
+_SECTION = re.compile(r"6\s+OPINIONS\s+FROM\s+THE\s+SERVICES|OPINIONS\s+FROM\s+THE\s+SERVICES", re.IGNORECASE)
 _HEADER = re.compile(r"\b\d+\.\d+\b.{0,80}\bOpinion\b", re.IGNORECASE)
 _END = re.compile(r"\b[Vv]alidated\s+by\s+[A-ZÀ-ÖØ-Þ][A-ZÀ-ÖØ-Þ'’\-.]{1,}(?:\s+[A-ZÀ-ÖØ-Þ][A-Za-zÀ-ÖØ-öø-ÿ'’\-.]+)?")
 _STRICT = re.compile(r"\bValidated\s+by\s+.{2,220}?\bAt\s+\d{2}(?:/|\.)\d{2}(?:/|\.)\d{4}\s+\d{1,2}:\d{2}\b", re.IGNORECASE | re.DOTALL)
@@ -213,38 +244,58 @@ def _key(s: str) -> str:
     return re.sub("[^A-Z0-9]", "", s.upper())
 
 
+def _spans(pattern: re.Pattern, text: str, first: int) -> list[tuple[int, int]]:
+    """(start, end) of the match at each place from `first` on where the pattern has one, in order; they may overlap."""
+    return [(m.start(), m.end(1)) for m in re.compile(f"(?=({pattern.pattern}))", pattern.flags).finditer(text, first)]
+
+
 @dataclass
-class Scan:
-    """What one pass over a note's opinions found."""
+class Opinions:
+    """What the section of opinions of one note holds: words by service, and where its last opinion ends."""
 
     section: bool = False
     words: dict[str, int] = field(default_factory=dict)
     last_end: int | None = None
 
 
-def scan_opinions(text: str, groups: dict[str, str], near: int = 18) -> Scan:
-    """Opinion blocks after the section's title: a numbered header with a known prefix near its start, up to the next validation."""
+def _owner(header: str, keyed: list[tuple[str, str]], near: int) -> str | None:
+    """The service of the longest prefix that a header names, if the name begins within its first `near` characters."""
+    key = _key(header)
+    named = [(key.index(k), service) for k, service in keyed if k in key]
+    return named[0][1] if named and named[0][0] <= near else None
+
+
+def opinions_of(text: str, groups: dict[str, str], near: int = 18) -> Opinions:
+    """Opinions after the section's title: from a numbered header with a known prefix to the next validation.
+
+    Headers and validations are spans, found once and in order. A header opens an opinion unless it begins inside the
+    header or the opinion before it; one word alone is no opinion; a header without a validation after it ends the section.
+    """
     title = _SECTION.search(text)
     if not title:
-        return Scan()
-    keyed = sorted(((_key(p), p) for p in groups if _key(p)), key=lambda x: -len(x[0]))
-    found, at = Scan(section=True), title.end()
-    while header := _HEADER.search(text, at):
-        head = _key(header.group())
-        prefix = next(((k, p) for k, p in keyed if k in head), None)
-        if prefix is None or head.find(prefix[0]) > near:
-            at = header.end()
+        return Opinions()
+    keyed = sorted(((_key(p), service) for p, service in groups.items() if _key(p)), key=lambda x: -len(x[0]))
+    closings = _spans(_END, text, title.end())
+    out, free = Opinions(section=True), title.end()
+    for start, end in _spans(_HEADER, text, title.end()):
+        if start < free:
+            continue
+        service, free = _owner(text[start:end], keyed, near), end
+        if service is None:
             continue
-        end = _END.search(text, header.end())
-        if end is None:
+        after = bisect.bisect_left(closings, (end, end))
+        if after == len(closings):
             break
-        words = len(_ASCII_WORD.findall(re.sub(r"\s+", " ", text[header.end() : end.start()].replace("​", "")).strip()))
-        if words >= 2:
-            service = groups[prefix[1]]
-            found.words[service] = found.words.get(service, 0) + words
-            found.last_end = end.end()
-        at = end.end()
-    return found
+        close, free = closings[after]
+        words = _ascii_words(text[end:close])
+        if words > 1:
+            out.words[service] = out.words.get(service, 0) + words
+            out.last_end = free
+    return out
+
+
+def _ascii_words(text: str) -> int:
+    return len(_ASCII_WORD.findall(re.sub(r"\s+", " ", text.replace("\u200b", "")).strip()))
 
 
 def _page_at(pages: list[str], position: int) -> int:
@@ -260,21 +311,20 @@ def read_other(pages: list[str], groups: dict[str, str]) -> dict:
     """The measures of one OTHER note: counts on the text with its spaces squeezed, annexes on the text as it stands."""
     pages = [p or "" for p in pages]
     raw, total = "\n".join(pages), len(pages)
-    opinions = scan_opinions(re.sub(r"\s+", " ", raw.replace("​", "")).strip(), groups)
+    opinions = opinions_of(re.sub(r"\s+", " ", raw.replace("​", "")).strip(), groups)
     top_down = next((total - k for k, p in enumerate(pages, 1) if _STRICT.search(p) or _LOOSE.search(p)), None)
-    count = lambda t: len(_ASCII_WORD.findall(re.sub(r"\s+", " ", t.replace("​", "")).strip()))
     title = next(((k, m) for k, p in enumerate(pages, 1) if (m := _SECTION.search(p))), None)
     if title:
         k, m = title
-        before, words = k, count("\n".join([*pages[: k - 1], pages[k - 1][: m.start()]]))
-        last = scan_opinions(raw, groups).last_end
+        before, words = k, _ascii_words("\n".join([*pages[: k - 1], pages[k - 1][: m.start()]]))
+        last = opinions_of(raw, groups).last_end
         if last is not None:
             annex = total - _page_at(pages, last)
         else:
             annex = next((total - k for k in range(total, 0, -1) if _END.search(pages[k - 1])), None)
     else:
         before = max(0, total - (top_down or 0))
-        words, annex = count("\n".join(pages[:before])), top_down
+        words, annex = _ascii_words("\n".join(pages[:before])), top_down
     return {"pages": total, "pages_before": before, "annex_pages": annex, "words": words, "section": opinions.section, "services": opinions.words}
 
 

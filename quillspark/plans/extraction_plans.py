@@ -34,7 +34,7 @@ def other_opinion_scan(spark, d):
     return X.extract_other(_pages(spark, d, "6 OPINIONS FROM THE SERVICES", ["6.1 PJ Opinion", "Validated by SMITH John\n6.2 GR&C-RM Opinion", "Validated by DOE Jane\n6.3 JU Opinion", "Validated by ROE Ann\n"], "Validated by LAST Person"))
 
 
-@query()
+@query("SELECT page_id AS doc_id, '0' || substr(CAST(page_id AS VARCHAR), 1, 1) || '/05/2024' AS date, CASE WHEN page_id < 100 THEN 1 ELSE 3 END AS stage FROM pages")
 def header_date_stages(spark, d):
     """Each page of the driver's web pages is a block at the right top of a letter."""
     p = table(spark, d, "pages")
@@ -43,3 +43,28 @@ def header_date_stages(spark, d):
         F.lit(20.0).alias("y0"), F.lit(500.0).alias("x1"), F.lit(60.0).alias("y1"), F.concat(F.lit("Corporate Use\nLuxembourg, 0"), F.substring(F.col("page_id").cast("string"), 1, 1), F.lit(".05.2024\n"), "html").alias("text"), F.lit(1).alias("ord"),
     )
     return X.header_dates(blocks)
+
+
+@query("""
+SELECT conv_id AS doc_id, strftime(DATE '2020-01-01' + CAST(conv_id % 1000 AS INTEGER), '%d/%m/%Y') AS date, 'OPS/' || CASE conv_id % 3 WHEN 0 THEN 'ABCD' WHEN 1 THEN 'LONG' ELSE 'PART' END AS author
+FROM conversations GROUP BY conv_id""")
+def corner_dates_and_authors(spark, d):
+    """A corner of five lines for each conversation: a code before the date doesn't count."""
+    c = table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id")).distinct()
+    day = F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("doc_id") % 1000).cast("int")), "dd/MM/yyyy")
+    code = F.concat(F.lit("OPS/"), F.when(F.col("doc_id") % 3 == 0, "ABCD").when(F.col("doc_id") % 3 == 1, "LONG").otherwise("PART"))
+    lines = F.array(F.lit("SG/EARLY"), F.lit("plain words"), F.concat(F.lit("Date: "), day), F.lit("Corporate use"), code)
+    return X.corner_date_author(c.select("doc_id", F.posexplode(lines).alias("ord", "text")))
+
+
+@query("""
+SELECT conv_id AS doc_id, true AS section_found, '6. Services'' acknowledgement' AS section_text, CAST(2 AS INTEGER) AS section_page, 'Expected timetable' AS stop_text, 1::BIGINT AS removed, 1::BIGINT AS headings
+FROM conversations GROUP BY conv_id HAVING max(turn) >= 2""")
+def gng_note_provenance(spark, d):
+    """What opened and closed the section of each note of three pages or more, and what was left out."""
+    c = table(spark, d, "conversations").select("conv_id", "turn").distinct()
+    last = F.max("turn").over(W.partitionBy("conv_id"))
+    text = F.when(F.col("turn") == 1, "first\n6. Services’ acknowledgement\nPJ contribution\nfine").when(F.col("turn") == F.col("last"), "- 3 -\nExpected timetable").otherwise("plain words")
+    pages = c.withColumn("last", last).filter("last >= 2").select(F.col("conv_id").alias("doc_id"), (F.col("turn") + 1).cast("int").alias("page_no"), text.alias("page_text"))
+    found = X.gng_provenance(pages)
+    return found.select("doc_id", "section_found", "section_text", "section_page", "stop_text", F.size("removed").cast("long").alias("removed"), F.size(F.filter("headings", lambda h: h["accepted"])).cast("long").alias("headings"))

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as X
-from quillspark.functions.dates import filename_date, parse_date
+from quillspark.functions.dates import filename_date, meta_date, parse_date, path_year, visible_date
 from quillspark.functions.names import clean_key, fold_key, repair_mojibake
 from quillspark.operators import lines as L
 from quillspark.plans.catalog import query
@@ -36,20 +36,32 @@ LINES_SQL = """
 WITH l AS (SELECT doc_id, i - 1 AS ord, string_split(text, chr(10))[i] AS line FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents))
 """
 
-NOISE_SQL = LINES_SQL + r""", r AS (
-  SELECT *, trim(line) AS t, list_filter(regexp_split_to_array(trim(line), '\s+'), lambda x: x <> '') AS k FROM l
-), z AS (
-  SELECT *, CASE WHEN t = '' THEN 'blank' WHEN regexp_full_match(t, '\d+') THEN 'page number' WHEN regexp_full_match(t, '(?i)page\s+\d+(\s*(of|/)\s*\d+)?') THEN 'page label'
-    WHEN regexp_matches(t, '(?i)^(confidential|restricted|corporate use|all rights reserved)\b') THEN 'footer'
-    WHEN len(k) >= 4 AND len(list_filter(k, lambda x: regexp_full_match(x, '[-+(]?[\d.,]*\d[\d.,]*[%)]?'))) * 2 > len(k) THEN 'table' END AS reason FROM r
+NOISE_SQL = LINES_SQL + r""", z AS (
+  SELECT *, CASE WHEN trim(line) = '' THEN 'blank line' WHEN regexp_matches(trim(line), '^\s*-\s*\d+\s*-\s*$') THEN 'page number'
+    WHEN regexp_matches(line, '(?i)\b\d+\s+of\s+\d+\b') THEN 'x of y page marker' WHEN regexp_matches(line, '(?i)\bMC[_\s-]?GNG\b') THEN 'MC_GNG footer'
+    WHEN lower(trim(line)) = 'corporate use' THEN 'Corporate Use footer' END AS reason,
+    list_filter(regexp_split_to_array(trim(line), '\s+'), lambda x: x <> '') AS tokens
+  FROM (SELECT doc_id, ord, CASE ord % 5 WHEN 1 THEN ' - ' || ord || ' - ' WHEN 2 THEN 'page ' || ord || ' Of 90 ' || line WHEN 3 THEN 'MC GNG ' || line WHEN 4 THEN 'Corporate use ' ELSE line END AS line FROM l WHERE ord < 5 UNION ALL SELECT doc_id, ord, line FROM l)
 )
 """
 
 
-@query(NOISE_SQL + "SELECT doc_id, count(*) AS lines, count(reason) AS dropped, count(*) FILTER (reason = 'footer') AS footers FROM z GROUP BY doc_id")
+def _footed(spark, d):
+    """The driver's lines, and before them the first five of each text with the footers of notes."""
+    lines, k = L.explode_lines(docs(spark, d)).select("doc_id", "ord", "line"), F.col("ord") % 5
+    n = F.col("ord").cast("string")
+    foot = F.when(k == 1, F.concat(F.lit(" - "), n, F.lit(" - "))).when(k == 2, F.concat(F.lit("page "), n, F.lit(" Of 90 "), "line")).when(k == 3, F.concat(F.lit("MC GNG "), "line")).when(k == 4, "Corporate use ").otherwise(F.col("line"))
+    return lines.filter("ord < 5").withColumn("line", foot).unionByName(lines)
+
+
+@query(NOISE_SQL + "SELECT doc_id, reason, count(*) AS lines FROM z GROUP BY doc_id, reason")
 def noise_line_filter(spark, d):
-    marked = L.explode_lines(docs(spark, d)).withColumn("reason", X.noise_reason(F.col("line")))
-    return marked.groupBy("doc_id").agg(F.count("*").alias("lines"), F.count("reason").alias("dropped"), F.count_if(F.col("reason") == "footer").alias("footers"))
+    return _footed(spark, d).withColumn("reason", X.noise_reason(F.col("line"), "GNG")).groupBy("doc_id", "reason").agg(F.count("*").alias("lines"))
+
+
+@query(NOISE_SQL + r"""SELECT doc_id, count(*) AS lines, count(*) FILTER (len(tokens) >= 4 AND 2 * len(list_filter(tokens, lambda x: regexp_full_match(translate(x, ',.%', ''), '\d+'))) > len(tokens)) AS table_lines FROM z GROUP BY doc_id""")
+def table_line_counts(spark, d):
+    return _footed(spark, d).groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(X.is_table_line(F.col("line"))).alias("table_lines"))
 
 
 @query("""
@@ -98,7 +110,8 @@ def look_ahead_window(spark, d):
     return c.select("conv_id", "turn", L.ahead(F.when(F.col("role") == "assistant", F.col("turn")), 5, "conv_id", "turn").alias("next_answer"))
 
 
-@query()
+@query(r"""
+SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(upper(strip_accents(split_part(text, chr(10), 1))), '\.PDF$', ''), '^\s*\d+\s*[.)_-]+\s*', ''), '[^A-Z0-9]', '', 'g') AS key FROM documents""")
 def clean_name_key(spark, d):
     return docs(spark, d).select("doc_id", clean_key(F.substring_index("text", "\n", 1)).alias("key"))
 
@@ -114,7 +127,7 @@ def _broken(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else x.encode().decode("cp1252", "replace"))
 
 
-@query()
+@query("SELECT doc_id, lower(trim(nfc_normalize(split_part(text, chr(10), 1)))) AS key FROM documents")
 def fold_name_key(spark, d):
     return docs(spark, d).select("doc_id", fold_key(F.substring_index("text", "\n", 1)).alias("key"))
 
@@ -144,3 +157,52 @@ def prefix_merge_totals(spark, d):
     n = F.col("l_linenumber")
     raw = F.when(n == 1, "gr & c - rm").when(n == 2, "GR&C/OCCO").when(n == 3, "occo").when(n == 4, "ops").otherwise(F.concat("l_returnflag", F.lit("/"), "l_linestatus"))
     return table(spark, d, "lineitem").select(X.export_prefix(X.canonical_prefix(raw)).alias("service"), "l_quantity").groupBy("service").agg(F.count("*").alias("segments"), F.round(F.sum("l_quantity"), 2).alias("words"))
+
+
+@query("SELECT doc_id, 'onetwo three ' || '''' || ' four ' || source AS flat FROM documents")
+def flattened_text(spark, d):
+    """A word cut at a line end, a lone joiner, a bullet, typographic marks."""
+    return docs(spark, d).select("doc_id", X.flatten(F.concat(F.lit("one-\ntwo & three ’  –\nfour\n• "), "source")).alias("flat"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN printf('%08d', 20000000 + o_orderkey % 99999) ELSE strftime(o_orderdate, '%Y') || printf('%04d', o_orderkey % 10000) END AS number FROM orders""")
+def operation_numbers(spark, d):
+    """Every other order has its number in the name, the others, with a hyphen, in the text."""
+    k = F.col("o_orderkey")
+    name = F.when(k % 2 == 0, F.concat(F.lit("AFS "), F.format_string("%08d", 20000000 + k % 99999), F.lit(" note.pdf"))).otherwise("note.pdf")
+    text = F.concat(F.lit("see operation "), F.date_format("o_orderdate", "yyyy"), F.lit("-"), F.format_string("%04d", k % 10000), F.lit("."))
+    return table(spark, d, "orders").select("o_orderkey", X.operation_number(name, text, "AFS").alias("number"))
+
+
+@query("""
+SELECT o_orderkey, CAST(strftime(o_orderdate, '20%y-%m-%d') AS DATE) AS visible, CAST(o_orderdate AS DATE) + 1 AS created, CAST(year(o_orderdate) AS INTEGER) AS path_year FROM orders
+WHERE strftime(o_orderdate, '%m-%d') <> '02-29'""")
+def dates_of_a_note(spark, d):
+    """The date of a letterhead that another date precedes, the date of metadata, and the year of a path."""
+    day = F.col("o_orderdate")
+    o = table(spark, d, "orders").filter(F.date_format(day, "MM-dd") != "02-29").select(
+        "o_orderkey", F.concat(F.lit("ref 01.02.2003 Luxembourg, "), F.date_format(day, "dd.MM.'20'yy")).alias("text"), F.concat(F.lit("D:"), F.date_format(F.date_add(day, 1), "yyyyMMdd"), F.lit("120000Z")).alias("meta"),
+        F.concat(F.lit("notes/"), F.date_format(day, "yyyy"), F.lit("/n.pdf")).alias("path"),
+    )
+    return o.select("o_orderkey", visible_date(F.col("text")).alias("visible"), meta_date(F.col("meta")).alias("created"), path_year(F.col("path")).alias("path_year"))
+
+
+@query("SELECT conv_id, min(turn) = 0 AND conv_id % 2 = 0 AS contents FROM conversations GROUP BY conv_id")
+def contents_pages(spark, d):
+    """The turns of a conversation are the lines of a page; every other one announces its contents."""
+    c = table(spark, d, "conversations")
+    line = F.when((F.col("turn") == 0) & (F.col("conv_id") % 2 == 0), "Table of Contents").otherwise(F.concat(F.lit("turn "), F.col("turn").cast("string")))
+    lines = c.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("line")))), lambda x: x["line"]).alias("lines"))
+    return lines.select("conv_id", X.is_contents(F.col("lines")).alias("contents"))
+
+
+@query("SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'Buildings' WHEN 'MACHINERY' THEN 'Machines' ELSE c_mktsegment END AS segment, CASE WHEN length(c_name) > 12 THEN substr(c_name, 1, 11) || '...' ELSE c_name END AS short, '&lt;' || c_mktsegment || '&amp;&quot;' AS marked FROM customer")
+def display_labels(spark, d):
+    marked = X.html_text(F.concat(F.lit("<"), "c_mktsegment", F.lit('&"')))
+    return table(spark, d, "customer").select("c_custkey", X.label(F.col("c_mktsegment"), {"BUILDING": "Buildings", "MACHINERY": "Machines"}).alias("segment"), X.short_label(F.col("c_name"), 12).alias("short"), marked.alias("marked"))
+
+
+@query("SELECT o_orderkey, format('{:,.2f}', o_totalprice) AS price, CAST(o_orderkey % 100 AS VARCHAR) || '%' AS share FROM orders")
+def display_numbers(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", X.thousands(F.col("o_totalprice"), 2).alias("price"), X.value_label((F.col("o_orderkey") % 100).cast("double"), "%").alias("share"))

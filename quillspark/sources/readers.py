@@ -88,11 +88,31 @@ def excel_sheet(spark: SparkSession, path: str, sheet: str, header: int = 1) ->
     return drop_empty_rows(spark.createDataFrame(frame.astype(object).where(frame.notna(), None)))
 
 
+#: A mapping that is read to the driver has so many rows at most; a longer one is an error, never cut.
+MOST_PREFIXES = 10_000
+
+
+def mapping_table(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """(prefix, merge_to) of a CSV whose header may stand anywhere and be written in any case."""
+    raw = spark.read.csv(path, header=False, sep=sep, mode="PERMISSIVE")
+    lowered = F.array(*[F.regexp_replace(F.lower(F.trim(c)), r"[\s_]+", "_") for c in raw.columns])
+    numbered = raw.select(F.monotonically_increasing_id().alias("ordinal"), F.array(*raw.columns).alias("cells"), lowered.alias("keys"))
+    best = numbered.orderBy(F.desc(F.size(F.array_intersect("keys", F.array(F.lit("prefix"), F.lit("merge_to"))))), "ordinal").first()
+    if not {"prefix", "merge_to"} <= set(best["keys"]):
+        raise ValueError("no line names the columns prefix and merge_to")
+    places = {name: best["keys"].index(name) for name in ("prefix", "merge_to")}
+    body = numbered.filter(F.col("ordinal") > best["ordinal"])
+    return drop_empty_rows(body.select(*[F.get("cells", F.lit(k)).alias(name) for name, k in places.items()]))
+
+
 def prefix_mapping(rows: DataFrame, outputs: list[str], fallback: dict[str, str]) -> tuple[dict[str, str], list[str]]:
     """(prefix to group, warnings) of a small table (prefix, merge_to); `fallback` where it has no complete row."""
     found, warnings = {}, []
     known = {o.upper(): o for o in outputs}
-    for r in rows.select("prefix", "merge_to").limit(10_000).collect():
+    listed = rows.select("prefix", "merge_to").limit(MOST_PREFIXES + 1).collect()
+    if len(listed) > MOST_PREFIXES:
+        raise ValueError(f"a mapping of more than {MOST_PREFIXES} rows is no table of prefixes")
+    for r in listed:
         prefix, group = ((x or "").strip() for x in r)
         if prefix and group:
             found[prefix] = known.get(group.upper(), group)

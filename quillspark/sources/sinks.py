@@ -8,9 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, sep: str = ",", single: bool = False) -> None:
-    """A CSV folder with a header and columns in the given order; text in quotes with quotes doubled."""
+def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, sep: str = ",", single: bool = False, bom: bool = False) -> None:
+    """A CSV folder with a header and columns in the given order; text in quotes with quotes doubled.
+
+    With `bom` the folder holds one file that begins with the byte order mark, as spreadsheets want it for UTF-8.
+    """
     out = df.select(*columns) if columns else df
+    if bom:
+        options = {"sep": sep, "quoteAll": "true", "escape": '"', "dateFormat": "yyyy-MM-dd"}
+        lines = out.select(F.to_csv(F.struct(*[F.col(c).cast("string").alias(c) for c in out.columns]), options).alias("value"))
+        head = sep.join('"' + c.replace('"', '""') + '"' for c in out.columns)
+        first = df.sparkSession.createDataFrame([("\ufeff" + head,)], "value string")
+        # The header's partition comes first, and coalescing keeps the order of partitions.
+        first.coalesce(1).union(lines).coalesce(1).write.mode("overwrite").text(path)
+        return
     (out.coalesce(1) if single else out).write.mode("overwrite").csv(path, header=True, sep=sep, quoteAll=True, escape='"')
 
 
