@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, fields
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +28,9 @@ class FilterState:
     date_to: str | None = None
     words_from: float | None = None
     words_to: float | None = None
+    ged: str | None = None
+    bo_from: str | None = None
+    hide_future: bool = False
     service: str | None = None
     floor: float = 0.0
     only_issues: bool = False
@@ -50,6 +53,12 @@ class FilterState:
             out.append(F.coalesce("words", F.lit(0.0)) <= self.words_to)
         if self.service:
             out.append(F.coalesce(F.col(self.service), F.lit(0.0)) > self.floor)
+        if self.ged is not None:
+            out.append(F.coalesce("ged_status", F.lit(NO_GED)) == self.ged)
+        if self.bo_from:
+            out.append(F.col("bo_date").isNotNull() & (F.col("bo_date") >= F.lit(self.bo_from).cast("date")))
+        if self.hide_future:
+            out.append(~F.col("is_future"))
         if self.only_issues:
             out.append(has_issue())
         if self.only_opinions:
@@ -61,6 +70,48 @@ class FilterState:
     def apply(self, records: DataFrame) -> DataFrame:
         return records.filter(reduce(lambda a, b: a & b, self.predicates()))
 
+    def snapshot(self) -> dict:
+        """All choices as plain values, to be kept and restored."""
+        return asdict(self)
+
+    @classmethod
+    def restored(cls, snapshot: dict, domains: dict[str, list]) -> FilterState:
+        """The state of a snapshot, less the choices that `domains` (choice to values that occur) no longer has."""
+        known = {f.name for f in fields(cls)}
+        kept = {k: v for k, v in snapshot.items() if k in known}
+        for name in kept.keys() & domains.keys():
+            held = set(domains[name])
+            if isinstance(kept[name], list):
+                kept[name] = [v for v in kept[name] if v in held]
+            elif kept[name] is not None and kept[name] not in held:
+                kept[name] = None
+        kept["types"] = [t for t in kept.get("types", NOTE_TYPES) if t in NOTE_TYPES]
+        return cls(**kept)
+
+    def reset(self) -> FilterState:
+        """No choice but the note types and services that there are."""
+        return FilterState(services=list(self.services))
+
+    def summary(self) -> str:
+        """The choices that restrict, in words."""
+        listed = {"Template": self.templates, "Batch": self.batches, "MC Note Type": self.types if self.types != NOTE_TYPES else []}
+        parts = [f"{k}: {', '.join(v)}" for k, v in listed.items() if v]
+        named = {"Extraction": self.extraction, "Product": self.product, "Author": self.author, "Process": self.process, "Year": self.year, "GED": self.ged}
+        parts += [f"{k}: {v}" for k, v in named.items() if v is not None]
+        if self.date_from or self.date_to:
+            parts.append(f"Date: {self.date_from or '...'} to {self.date_to or '...'}")
+        if self.words_from is not None or self.words_to is not None:
+            parts.append(f"Words: {'...' if self.words_from is None else self.words_from} to {'...' if self.words_to is None else self.words_to}")
+        said = {
+            f"BO date >= {self.bo_from}": self.bo_from, f"Search: {self.search.strip()}": self.search.strip(), "Future dates hidden": self.hide_future, "Quality rows only": self.only_issues,
+            "Opinions only": self.only_opinions, f"Service: {self.service}": self.service, f"Opinion floor: > {self.floor:g} words": self.floor > 0,
+        }
+        return " | ".join([*parts, *(text for text, holds in said.items() if holds)]) or "All records"
+
+
+#: Fixed value: how a record without a match status is called.
+NO_GED = "Missing GED status"
+
 
 def date_range(first: str | None, last: str | None) -> list[Column]:
     """A first day leaves out undated records; a last day alone keeps them."""

@@ -60,3 +60,8 @@ def product_stats(records: DataFrame, services: list[str]) -> DataFrame:
     )
     ops = opinions(records, services).groupBy("product").agg(F.count("*").alias("opinions"))
     return docs.join(ops, "product", "left").withColumn("opinions", F.coalesce("opinions", F.lit(0)))
+
+
+def without_pin(records: DataFrame) -> DataFrame:
+    """What service views look at: all records but those of template PIN; a record without a template stays."""
+    return records.filter(~F.col("template").eqNullSafe("PIN"))

@@ -114,3 +114,25 @@ def moving_average(records: DataFrame, size: int = 3) -> DataFrame:
 def running_total(records: DataFrame) -> DataFrame:
     counts = records.filter("month is not null").groupBy("template", "month").agg(F.count("*").alias("documents"))
     return counts.withColumn("total", F.sum("documents").over(W.partitionBy("template").orderBy("month").rowsBetween(W.unboundedPreceding, 0)))
+
+
+#: What a chart may show, by name: the measure of a group and its label. Names that aren't known show pages.
+TREND_METRICS = {"words": (lambda: mean("words"), "Mean Text Before Opinions"), "pages": (lambda: mean("pages"), "Mean Pages")}
+PAGE_METRICS = {
+    "annex_pages": (lambda: r6(F.avg(null0(F.col("annex_pages")))), "Mean Annex Pages"), "pages_before": (lambda: r6(F.avg(null0(F.col("pages_before")))), "Mean Pre-Opinion Pages"),
+    "pages": (lambda: r6(F.avg(null0(F.col("pages")))), "Mean Total Pages"),
+}
+MOMENTUM_METRICS = {"mean_words": ("mean_delta", "Mean delta"), "median_words": ("median_delta", "Median delta")}
+
+
+def trend_of(records: DataFrame, metric: str, period: str = "month", family: dict | None = None) -> DataFrame:
+    """The chosen measure by period and template, with its label; undated records are left out."""
+    family = TREND_METRICS if family is None else family
+    measure, label = family.get(metric, family["pages"])
+    return records.filter(F.col(period).isNotNull()).groupBy(period, "template").agg(F.count("*").alias("documents"), measure().alias("value")).withColumn("label", F.lit(label))
+
+
+def momentum_of(rows: DataFrame, metric: str) -> DataFrame:
+    """The chosen change of each service, the mean one for a name that isn't known."""
+    column, label = MOMENTUM_METRICS.get(metric, MOMENTUM_METRICS["mean_words"])
+    return rows.select("template", "service", F.col(column).alias("value"), F.lit(label).alias("label"))

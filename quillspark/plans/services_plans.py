@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from quillspark.operators import services as V
 from quillspark.plans.catalog import query
 from quillspark.plans.records import SERVICES, records, with_records
@@ -65,3 +67,8 @@ o AS (SELECT product, count(*) AS opinions FROM opinions WHERE month IS NOT NULL
 SELECT p.*, coalesce(opinions, 0) AS opinions FROM p LEFT JOIN o USING (product)""", True))
 def product_stats(spark, d):
     return V.product_stats(records(spark, d), SERVICES)
+
+
+@query(with_records("SELECT template, count(*) AS documents, count(*) FILTER (service_sections > 0) AS with_opinion FROM records WHERE template IS DISTINCT FROM 'PIN' GROUP BY template"))
+def service_records_without_pin(spark, d):
+    return V.without_pin(records(spark, d)).groupBy("template").agg(F.count("*").alias("documents"), F.count_if(F.col("service_sections") > 0).alias("with_opinion"))

@@ -118,3 +118,13 @@ def moving_average3(spark, d):
 @query(with_records(MONTHS_SQL + "SELECT *, CAST(sum(documents) OVER (PARTITION BY template ORDER BY month ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total FROM m"))
 def running_total(spark, d):
     return T.running_total(records(spark, d))
+
+
+@query(with_records("SELECT month, template, count(*) AS documents, round(avg(coalesce(annex_pages, 0)), 6) AS value, 'Mean Annex Pages' AS label FROM records WHERE month IS NOT NULL GROUP BY month, template"))
+def page_metric_trend(spark, d):
+    return T.trend_of(records(spark, d), "annex_pages", family=T.PAGE_METRICS)
+
+
+@query(with_records("SELECT year, template, count(*) AS documents, round(sum(words), 6) / nullif(count(words), 0) AS value, 'Mean Text Before Opinions' AS label FROM records WHERE year IS NOT NULL GROUP BY year, template"))
+def chosen_metric_trend(spark, d):
+    return T.trend_of(records(spark, d), "words", "year")

@@ -1,9 +1,12 @@
 """Note extraction on small made-up notes, one rule at a time."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillspark.operators import extraction as X
 from quillspark.operators.lines import drop_repeats, top_right, visible_lines
+from quillspark.schema import SERVICES
+from quillspark.sources.registry import NoteType, dispatch
 
 
 def pages(spark, *docs):
@@ -81,7 +84,7 @@ def test_other(spark):
     [("none", {}), (f"OPINIONS FROM THE SERVICES 1.1 PJ Opinion {FILL} Validated by XX 1.2 PJ Opinion c d Validated by YY", {"PJ": 22}), ("OPINIONS FROM THE SERVICES 1.1 some very long header before PJ Opinion a b Validated by XX", {})],
 )
 def test_scan(text, want):
-    assert X.scan_opinions(text, X.OTHER_GROUPS).words == want
+    assert X.opinions_of(text, X.OTHER_GROUPS).words == want
 
 
 def test_header_dates(spark):
@@ -119,3 +122,28 @@ def test_header_dates_read_whole_pages(spark, sf_dir, monkeypatch):
     texts = {r.doc_id: r.text for r in extraction_plans.header_date_stages(spark, sf_dir).collect()}
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     assert len(texts) == len(pages) and all(texts[k].endswith(v) for k, v in pages.items())
+
+
+def test_provenance(spark):
+    note = ["front page", "intro\n6. Services’ acknowledgement\n- 2 -\nPJ contribution\nfine\nPJ\nstill\nECON\n3 of 9\ngood Expected timetable", "after\nPJ"]
+    got = rows(X.gng_provenance(pages(spark, note, ["no section"])))
+    r = got[1]
+    assert (r["section_found"], r["section_text"], r["section_page"], r["stop_text"]) == (True, "6. Services' acknowledgement", 2, "Expected timetable")
+    assert [(x.line, x.reason) for x in r["removed"]] == [("- 2 -", "page number"), ("3 of 9", "x of y page marker")]
+    assert [(x.prefix, x.accepted) for x in r["headings"]] == [("PJ", True), ("PJ", False), ("ECON", True)]
+    assert (got[2]["section_found"], got[2]["removed"], got[2]["headings"]) == (False, [], [])
+
+
+def test_output_rows(spark):
+    df = spark.createDataFrame([(1, True), (2, False)], "doc_id long, has_section boolean").select("doc_id", "has_section", *[F.lit(5 if s == "PJ" else 0).alias(s) for s in SERVICES])
+    got = {r.doc_id: (r.PJ, r.RM) for r in X.output_rows(df, "has_section").collect()}
+    assert got == {1: ("5", ""), 2: ("N/A", "N/A")} and X.output_rows(df).filter("RM = ''").count() == 2
+
+
+def test_dispatch(spark):
+    p = pages(spark, ["text only"])
+    assert dispatch("gng", p).first().template == "GNG" and dispatch("Other", p).first().template == "OTHER"
+    with pytest.raises(KeyError, match="AFS, GNG, OTHER"):
+        dispatch("PIN", p)
+    with pytest.raises(ValueError, match="not enabled: later"):
+        dispatch("PIN", p, {"PIN": NoteType(X.extract_gng, "pin", enabled=False, notes="later")})

@@ -1,6 +1,7 @@
 """Semantics that are easy to get wrong: nulls, first rows, ties, edges of bins, rounding."""
 
 import datetime as dt
+import itertools
 import math
 
 import numpy as np
@@ -16,6 +17,7 @@ from quillspark.operators import accuracy as A
 from quillspark.operators import checks, inference, joins, ordering, summaries, trends
 from quillspark.operators.derive import derive, product_label, template_label, timeline_date
 from quillspark.operators.filters import FilterState, date_range, matches
+from quillspark.operators.services import without_pin
 from quillspark.schema import RECORD, coerce, select_existing, with_missing_columns
 
 D = dt.date
@@ -170,7 +172,13 @@ def test_text_scalars(spark):
     assert number("a12345678", "", "AFS") is None and number("x 2023-45678", "", "OTHER") == "202345678" and number("", " " * 4000 + "20231234", "OTHER") is None
     assert one(spark, X.note_type(f), t="2024-01-01 noteMCdec x.pdf") == "NOTEMCDEC" and one(spark, X.note_type(f), t="x") is None
     assert one(spark, X.export_prefix(X.canonical_prefix(f)), t="gr & c / rm") == "RM"
-    assert [one(spark, X.noise_reason(f), t=v) for v in ("", " 12 ", "Page 2 of 9", "Confidential", "1 2 3 x", "text here")] == ["blank", "page number", "page label", "footer", "table", None]
+    lines = ("", " - 12 - ", "Page 2 of 9", "MC_GNG 4", "Corporate Use", "12", "Corporate Use only", "text here")
+    assert [one(spark, X.noise_reason(f, "GNG"), t=v) for v in lines] == ["blank line", "page number", "x of y page marker", "MC_GNG footer", "Corporate Use footer", None, None, None]
+    assert [one(spark, X.noise_reason(f, "AFS"), t=v) for v in ("MC AFS 1", "is Confidential.", "for corporate use only", "MC_GNG")] == ["MC AFS footer", "Confidential footer/header", "Corporate Use footer", None]
+    assert [one(spark, X.is_table_line(f), t=v) for v in ("1,000 2.5 30% x", "1 2 x y", "-5 (12) 3 4", "1 2 3", "1 2 3 -4")] == [True, False, False, False, True]
+    assert [one(spark, X.short_label(f, 6), t=v) for v in ("longer", "longest", None)] == ["longer", "longe...", "Missi..."]
+    assert [one(spark, X.value_label(F.col("x"), s), x=v) for v, s in ((3.26, ""), (12.6, ""), (3.26, "%"), (4.0, "d"))] == ["3.3", "13", "3%", "4d"]
+    assert one(spark, X.thousands(F.col("x"), 1), x=12345.67) == "12,345.7" and one(spark, X.html_text(f), t="<a href='x'>&") == "&lt;a href=&#39;x&#39;&gt;&amp;"
     assert one(spark, X.is_contents(F.split(f, "\n")), t="\n".join(["x"] * 10 + ["Contents"])) is False
     assert one(spark, X.division_author(f), t="OPS A/DIV‐1") == "OPS A/DIV-1" and one(spark, X.division_author(f), t="no slash") is None
     assert one(spark, X.service_author(f), t="SG/ABC//2024-12 ") == "SG/ABC" and one(spark, X.service_author(f), t="plain words") is None and one(spark, X.service_author(f), t="Corporate use/x") is None
@@ -216,19 +224,88 @@ def test_ranks_over_partitions(spark):
 
 
 def test_data_tests(notes):
-    got = {r.test: (r.metric, r.status) for r in checks.test_summary(notes, ["PJ", "RM"], ["PJ"]).collect()}
-    assert got["unexpected department"] == (1, "warn") and got["department exceeds total"] == (1, "warn") and got["future date"] == (1, "warn") and got["missing bo date"] == (1, "warn")
+    services = ["PJ", "RM", "SG"]
+    got = {r.test: (r.metric, r.status, r.unit) for r in checks.test_summary(notes, services, ["PJ"]).collect()}
+    assert got == {
+        "gng-unexpected-departments": (1, "warn", "rows"), "gng-pj-coverage": (100, "pass", "% rows positive"), "single-department-exceeds-total": (1, "warn", "rows"), "department-total-ratio": (1, "warn", "rows"),
+        "future-validation-dates": (1, "warn", "rows"), "missing-validation-dates": (1, "warn", "rows"), "missing-ged-status": (4, "info", "rows"), "missing-bo-validation-dates": (1, "warn", "rows"),
+        "word-count-iqr-outliers": (0, "info", "rows"), "manual-automated-median-difference": (0, "info", "templates"), "sg-template-distribution": (0, "pass", "rows"),
+    }
     assert [r.note_id for r in checks.exceeds_total(notes, ["PJ", "RM"]).collect()] == [3] and [r.note_id for r in checks.high_ratio(notes).collect()] == [3]
+    assert {r.test: r.metric for r in checks.test_summary(notes.limit(0), services, ["PJ"]).collect()}["gng-pj-coverage"] == 0
+
+
+def test_quality_flags(notes):
+    assert sorted((r.flag, r.note_id) for r in summaries.quality_flags(notes.withColumn("annex_pages", F.when(F.col("note_id") == 4, None).otherwise(1.0))).collect()) == [
+        ("Future validation date", 3), ("Missing BO validation date", 2), ("Missing annex page count", 4), ("Missing validation date", 2),
+    ]
+    assert {r.flag: r.n for r in summaries.quality_flag_counts(notes).collect()} == {"Missing date": 1, "Future date": 1, "Missing BO date": 1}
+
+
+def test_filter_state():
+    state = FilterState(templates=["GNG", "OLD"], product="gone", date_from="2024-01-01", floor=5.0, search=" x ", hide_future=True)
+    assert state.summary() == "Template: GNG, OLD | Product: gone | Date: 2024-01-01 to ... | Search: x | Future dates hidden | Opinion floor: > 5 words"
+    back = FilterState.restored(state.snapshot() | {"unknown": 1}, {"templates": ["GNG", "AFS"], "product": ["kept"]})
+    assert (back.templates, back.product, back.floor, back.hide_future) == (["GNG"], None, 5.0, True)
+    assert back.reset() == FilterState() and FilterState().summary() == "All records"
+
+
+def test_filters_on_status_and_future(notes):
+    assert [r.note_id for r in FilterState(hide_future=True).apply(notes).orderBy("note_id").collect()] == [1, 2]
+    assert FilterState(ged="Missing GED status").apply(notes).count() == 3 and FilterState(ged="Matched").apply(notes).count() == 0
+    assert [r.note_id for r in FilterState(bo_from="2024-01-01").apply(notes).orderBy("note_id").collect()] == [1, 3]
+
+
+def test_chosen_metrics(notes):
+    assert {r.template: r.value for r in trends.trend_of(notes, "annex_pages", family=trends.PAGE_METRICS).collect()} == {"OTHER": 1.0, "GNG": 1.0, None: 1.0}
+    assert {r.label for r in trends.trend_of(notes, "nothing known").collect()} == {"Mean Pages"}
+    assert sorted(str(r.template) for r in without_pin(notes.withColumn("template", F.when(F.col("note_id") == 1, "PIN").otherwise(F.col("template")))).collect()) == ["AFS", "GNG", "None"]
+
+
+def histogram(x, y):
+    values = np.unique(np.concatenate([x, y]))
+    return values, *(np.array([(v == z).sum() for v in values]) for z in (x, y))
 
 
 def test_resampling():
     rng = np.random.default_rng(0)
     x, y = rng.normal(0, 1, 200), rng.normal(1, 1, 201)
-    diff, low, high = inference.bootstrap_median_difference(x, y)
+    low, high = inference.bootstrap_interval(*histogram(x, y))
     plain = [np.median(rng.choice(y, 201)) - np.median(rng.choice(x, 200)) for _ in range(3000)]
-    assert low < diff < high and abs(low - np.quantile(plain, 0.025)) < 0.06 and abs(high - np.quantile(plain, 0.975)) < 0.06
-    assert inference.permutation_p(x, y, 500) < 0.01 and 0.05 < inference.permutation_p(x, x + 0.01, 500) <= 1
-    assert all(math.isnan(v) for v in inference.bootstrap_median_difference(x[:4], y)) and math.isnan(inference.permutation_p(x, y[:4]))
+    assert low < np.median(y) - np.median(x) < high and abs(low - np.quantile(plain, 0.025)) < 0.06 and abs(high - np.quantile(plain, 0.975)) < 0.06
+    assert inference.permutation_p(*histogram(x, y), 500) < 0.01
+    assert math.isnan(inference.bootstrap_interval(*histogram(x[:4], y))[0]) and math.isnan(inference.permutation_p(*histogram(x, y[:4])))
+
+
+@pytest.mark.parametrize("sizes", [(8, 9), (12, 8), (7, 7), (30, 6)])
+def test_permutation_against_every_relabelling(sizes):
+    """Ties included: the share of all, or of very many, relabellings whose medians differ as much."""
+    n, m = sizes
+    rng = np.random.default_rng(n)
+    x, y = rng.integers(0, 12, n).astype(float), rng.integers(3, 16, m).astype(float)
+    seen, pooled = abs(np.median(y) - np.median(x)), np.concatenate([x, y])
+    if math.comb(n + m, n) < 30_000:
+        deals = [list(c) for c in itertools.combinations(range(n + m), n)]
+    else:
+        deals = [rng.permutation(n + m)[:n].tolist() for _ in range(30_000)]
+    hits = sum(abs(np.median(np.delete(pooled, c)) - np.median(pooled[c])) >= seen for c in deals)
+    assert abs(inference.permutation_p(*histogram(x, y), 20_000) - hits / len(deals)) < 0.015
+
+
+def test_year_tests_find_a_shift(spark):
+    rng = np.random.default_rng(2)
+    rows = [("GNG", year, float(v), None) for year, shift in ((1, 0), (2, 50)) for v in rng.integers(0, 100, 400) + shift] + [("AFS", 1, 3.0, 1.0)]
+    df = spark.createDataFrame(rows, "template string, year int, words double, pages double")
+    got = {(r.template, r.metric): r for r in inference.year_tests(df, ["words", "pages"], 1, 2, 500).collect()}
+    r = got["GNG", "words"]
+    assert (r.n_before, r.n_after) == (400, 400) and r.ci_low > 0 and r.p < 0.01 and r.difference == r.median_after - r.median_before
+    assert set(got) == {("GNG", "words"), ("AFS", "words"), ("AFS", "pages")} and got["AFS", "words"].p is None
+    assert [x.metric for x in inference.significant(inference.year_tests(df, ["words", "pages"], 1, 2, 500)).collect()] == ["words"]
+
+
+def test_erf(spark):
+    df = spark.createDataFrame([(v,) for v in (-7.0, -1.5, 0.0, 1e-3, 0.5, 2.0, 5.9, 30.0)], "x double")
+    assert all(abs(r.y - math.erf(r.x)) < 1e-9 for r in df.select("x", inference.erf(F.col("x")).alias("y")).collect())
 
 
 def test_intervals(spark):
