@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-CACHED_CHUNKS = 250_000
+#: The chunks that a worker remembers hold so many bytes at most, and each of them so many characters.
+CACHED_BYTES, CACHED_CHARS = 64_000_000, 256
 #: Texts are encoded together until they have so many characters, which bounds what a worker holds.
 TOGETHER = 400_000
 
@@ -128,6 +129,7 @@ class PieceCodec:
         self.lines_apart = not any("\n" in p for p in normal)
         self.mark = mark
         self.cache: dict[str, bytes] = {}
+        self.cached = 0
 
     def normalize(self, text: str) -> tuple[str, np.ndarray]:
         """(normalised text, for each of its bytes and its end the source byte it came from)."""
@@ -204,19 +206,25 @@ class PieceCodec:
         """For each text (ids, begins, ends), the last two in bytes of the original text."""
         normed = [self.normalize(t) for t in texts]
         keyed = [self._keys(n) if n else [] for n, _ in normed]
-        if len(self.cache) > CACHED_CHUNKS:
+        if self.cached > CACHED_BYTES:
             self.cache.clear()
+            self.cached = 0
         cache = self.cache
         missing = [k for k in {k for keys in keyed for k in keys} if k not in cache]
+        long = [k for k in missing if len(k) > CACHED_CHARS]
         if missing:
             for k, ids in zip(missing, self.plain.encode([k if k.startswith("\n") and self.lines_apart else MARK + k for k in missing], num_threads=1), strict=True):
                 cache[k] = self._packed(ids)
+                # What Python holds for a key and its entry, besides their bytes.
+                self.cached += 200 + len(k) + len(cache[k])
         out = []
         for (text, origin), keys in zip(normed, keyed, strict=True):
             packed = b"".join([cache[k] for k in keys]) if keys else self._packed(self.plain.encode(text)) if text else b""
             both = np.frombuffer(packed, "<u4")
             ends = np.cumsum(both & 255)
             out.append(((both >> 8).astype("i4"), origin[ends - (both & 255)], origin[ends]))
+        for k in long:
+            self.cached -= 200 + len(k) + len(cache.pop(k))
         return out
 
     def _packed(self, ids: list[int]) -> bytes:

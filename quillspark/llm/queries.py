@@ -138,7 +138,7 @@ FROM d
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = encode_pieces(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), F.xxhash64("begins", "ends").alias("spans_xxhash64"))
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

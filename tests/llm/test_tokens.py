@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quillspark.llm.packing import OpenWindows, best_fit, pack
 from quillspark.llm.piece_codec import CharacterMap, encode_pieces, piece_codec
@@ -78,6 +79,20 @@ def test_encode_rows(spark):
     assert encode_pieces(df.limit(0), PIECES).count() == 0
 
 
+def spans(lib, ids):
+    """Where pieces stand in a text without marks of its own: one space is put before it, and a byte piece is one byte."""
+    sizes = [1 if lib.is_byte(i) else len(lib.id_to_piece(i).replace("▁", " ").encode()) for i in ids]
+    ends = np.cumsum(sizes).tolist()
+    return [max(0, e - n - 1) for e, n in zip(ends, sizes, strict=True)], [e - 1 for e in ends]
+
+
+def test_long_chunks_are_not_kept():
+    codec = type(piece_codec(PIECES))(PIECES)
+    [(ids, _, _)] = codec.encode(["x" * 5000 + " short"])
+    assert ids.tolist() == codec.library.encode("x" * 5000 + " short")
+    assert list(codec.cache) == ["short"] and 0 < codec.cached < 1000
+
+
 def test_op8_against_the_library(spark, sf_dir):
     lib = piece_codec(PIECES).library
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
@@ -85,6 +100,9 @@ def test_op8_against_the_library(spark, sf_dir):
     for r in op8_sentencepiece(spark, sf_dir).collect():
         ids = lib.encode(texts[r.doc_id])
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(lib.decode(ids)))
+    listed = [(i, *spans(lib, lib.encode(t))) for i, t in texts.items()]
+    want = spark.createDataFrame(listed, "doc_id long, begins array<int>, ends array<int>").select("doc_id", F.xxhash64("begins", "ends").alias("h"))
+    assert {r.doc_id: r.h for r in want.collect()} == {r.doc_id: r.spans_xxhash64 for r in op8_sentencepiece(spark, sf_dir).collect()}
 
 
 @settings(max_examples=100, deadline=None)
