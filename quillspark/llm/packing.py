@@ -20,8 +20,8 @@ from quillspark.llm.common import settle
 from quillspark.llm.word_tokens import word_tokens
 
 WINDOW = 4096
-#: Pieces that one group packs, on average.
-GROUP_PIECES = 50_000
+#: Pieces that one group packs, on average; with their ids, of up to 4 bytes for each place of a window, it holds far fewer.
+GROUP_PIECES, GROUP_PIECES_WITH_IDS = 50_000, 2_500
 
 
 class OpenWindows:
@@ -99,7 +99,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int, window: int = WINDOW, with
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, spark_schema)
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, with_ids: bool = False, group_pieces: int = GROUP_PIECES) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, with_ids: bool = False, group_pieces: int | None = None) -> DataFrame:
     """The pieces of `docs` with sequence_id and offset.
 
     A null or empty text is its end id alone; repeated rows are packed each on its own; a null doc_id stays null; an
@@ -108,7 +108,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, with
     are unique, stable when a task runs again, and need no pass over all windows.
     """
     pieces = settle(tokenize(docs, path, end_id, window, with_ids), "pieces")
-    groups = max(1, -(-pieces.count() // group_pieces))
+    groups = max(1, -(-pieces.count() // (group_pieces or (GROUP_PIECES_WITH_IDS if with_ids else GROUP_PIECES))))
     dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
     # One task packs a group: as many partitions as groups, but no more than the session would use for empty ones.
     parted = dealt.repartition(groups, "_group").sortWithinPartitions("_group", F.desc("length"), "doc_id", "start", "ids_crc32")
