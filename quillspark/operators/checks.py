@@ -42,6 +42,7 @@ def iqr_outliers(records: DataFrame, factor: float = 1.5) -> DataFrame:
     q = records.groupBy("template").agg(quantile("words", 0.25, 6).alias("q1"), quantile("words", 0.75, 6).alias("q3"))
     spread = F.col("q3") - F.col("q1")
     bounds = q.select("template", F.greatest(F.lit(0.0), F.col("q1") - factor * spread).alias("low"), (F.col("q3") + factor * spread).alias("high"))
+    # A row for each template.
     return records.join(F.broadcast(bounds), "template").filter((F.col("words") < F.col("low")) | (F.col("words") > F.col("high"))).select("note_id", "template", "words", r6(F.col("low")).alias("low"), r6(F.col("high")).alias("high"))
 
 

@@ -203,6 +203,7 @@ def department_matrix(records: DataFrame, services: list[str], top: int = 10) ->
     """Words by service and template for the `top` services by words."""
     long = unpivot_services(records, services, "template").groupBy("service", "template").agg(F.round(F.sum(null0(F.col("words"))), 2).alias("words"))
     totals = long.groupBy("service").agg(F.sum("words").alias("total")).orderBy(F.desc("total"), "service").limit(top)
+    # `top` rows.
     return long.join(F.broadcast(totals), "service").select("service", "template", "words")
 
 

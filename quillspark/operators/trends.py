@@ -80,6 +80,7 @@ def momentum(records: DataFrame, services: list[str], recent: int = 6) -> DataFr
     # The calendar has a row for each month, so one task ranks it.
     calendar = months.withColumn("back", F.row_number().over(W.orderBy(F.desc("month")))).filter(F.col("back") <= 2 * recent)
     long = unpivot_services(records.filter("month is not null"), services, "note_id", "template", "month").filter("words > 0")
+    # 2 * `recent` rows.
     placed = long.join(F.broadcast(calendar), "month").withColumn("now", F.col("back") <= recent)
     w = F.col("words")
     out = placed.groupBy("template", "service").agg(
