@@ -154,7 +154,7 @@ def test_packing(spark, sf_dir):
 def test_packing_odd_rows(spark):
     rng = random.Random(5)
     rows = [(1, None), (2, ""), (3, "word " * 9000), (4, "a b c"), *((i, "tok " * rng.randrange(900)) for i in range(10, 60))]
-    df = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, length int, offset string")
+    df = spark.createDataFrame([(i, t, 0, "x", 3) for i, t in rows], "doc_id long, text string, length int, offset string, _group long")
     check_packing(spark, df, rows, group_pieces=10)
     assert pack(df.limit(0), WORDS).count() == 0
     twice = pack(spark.createDataFrame([(7, "same"), (7, "same"), (None, "x")], "doc_id long, text string"), WORDS, with_ids=True).collect()
