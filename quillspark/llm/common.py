@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import re
+import shutil
 import tempfile
 import uuid
 import weakref
@@ -27,7 +28,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="quillspark-")
+        local = tempfile.mkdtemp(prefix="quillspark-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        found = f"file://{local}"
     _RUNS[context.applicationId] = f"{found.rstrip('/')}/quillspark-{uuid.uuid4().hex}"
     atexit.register(finish, spark)
     return _RUNS[context.applicationId]

@@ -126,7 +126,7 @@ def jaccard_found(spark, rows, tuning):
 
 @pytest.mark.parametrize(("seed", "tuning"), [(1, None), (2, TINY), (3, replace(TINY, depth=0)), (4, replace(TINY, radius=0.7)), (5, Tuning(chunks=(1, 3, 3, 5)))])
 def test_jaccard(spark, seed, tuning):
-    rows = near_copies(random.Random(seed), 60)
+    rows = near_copies(random.Random(seed), 40)
     assert jaccard_found(spark, rows, tuning) == jaccard_brute(rows)
 
 
@@ -199,15 +199,15 @@ def test_cells_keep_every_link():
             sets.append(np.unique(own))
         home = rng.random(60) < 0.8
         pivots = np.flatnonzero(home)[:4].tolist()
-        rows = [(1, 0, True, k, True, 60, sets[k].tobytes()) for k in pivots] + [(1, 0, False, k, bool(home[k]), 60, sets[k].tobytes()) for k in range(60)]
-        names = ["region", "part", "pivot", "a", "home", "members", "shingles"]
+        rows = [(1, 0, True, k, True, k, 60, sets[k].tobytes()) for k in pivots] + [(1, 0, False, k, bool(home[k]), k, 60, sets[k].tobytes()) for k in range(60)]
+        names = ["region", "part", "pivot", "a", "home", "label", "members", "shingles"]
         out = [r for b in _cells(75, 0.4, 4)(iter([pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows])])) for r in b.to_pylist()]
-        linked = {frozenset((r["p"], r["a"])) for r in out if r["p"] is not None}
+        linked = {frozenset((p, r["a"])) for r in out for p in r["links"]}
         cells = {}
         for r in out:
-            if r["p"] is None:
-                cells.setdefault(r["cell"], {}).setdefault(r["a"], False)
-                cells[r["cell"]][r["a"]] |= r["home"]
+            for cell, inside in [(r["cell"], True), *((k, False) for k in r["windows"])]:
+                if cell is not None:
+                    cells.setdefault(cell, {})[r["a"]] = inside
         for a in range(60):
             for b in range(a):
                 same = len(np.intersect1d(sets[a], sets[b]))
@@ -226,7 +226,7 @@ def test_jaccard_odd_tables(spark):
 
 def test_window_meets_every_partner():
     rng = random.Random(0)
-    order = Order(7, [np.random.default_rng(k).integers(0, 256, 512, dtype="u1").tobytes() for k in range(2)])
+    order = Order(7, [(b, k, np.random.default_rng(k + 7 * b).integers(0, 256, 512, dtype="u1").tobytes()) for b in range(6) for k in (1, 2)])
     for _ in range(200):
         n = rng.randrange(1, 60)
         x = np.array(sorted(rng.getrandbits(64) for _ in range(n)), "u8")
