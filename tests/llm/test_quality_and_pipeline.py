@@ -1,13 +1,18 @@
+import collections
+import os
 import zlib
 
 import numpy as np
+import pytest
+import tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quillspark.llm.common import settle
+from quillspark.llm.common import finish, settle, shared_dir
 from quillspark.llm.jaccard_join import jaccard_components
 from quillspark.llm.packing import pack
 from quillspark.llm.quality import HASHED, WIDTH, bradley_terry, features, fit, keep_good, score, train, worths
-from quillspark.llm.queries import QUERIES, SQL, op2_quality, tokenizer_path
+from quillspark.llm.queries import QUERIES, SQL, op2_quality, op7_exact_dedup, tokenizer_path
 
 
 def test_held_out_accuracy(spark):
@@ -114,6 +119,99 @@ def test_pipeline_judges_rows_that_share_an_id_by_their_text(spark):
     assert sorted(got, key=str) == sorted([(1, a), (3, b), (4, "a clean text of its own"), (5, None), (5, None), (6, ""), (7, "x y z")], key=str)
 
 
+def boilerplate_left(docs):
+    """Plain line dedup of (doc_id, text, source)."""
+    sites = collections.defaultdict(set)
+    for _, text, site in docs:
+        for line in text.split("\n"):
+            if line and site is not None:
+                sites[line].add(site)
+    out = {}
+    for i, text, _ in docs:
+        own = [x for x in text.split("\n") if len(sites[x]) < 10]
+        out[i] = "\n".join(own) if any(own) else text
+    return out
+
+
+def near_copy_left(texts):
+    """Plain join of {doc_id: text}: the smallest id of each component of near copies, and all ids without words."""
+    sets = {}
+    for i, text in texts.items():
+        words = text.encode().lower().split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)} if len(words) > 4 else {tuple(words)} - {()}
+    name = {i: i for i in sets}
+    top = lambda i: i if name[i] == i else top(name[i])
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                low, high = sorted((top(a), top(b)))
+                name[high] = low
+    return {i for i in sets if name[i] == i}
+
+
+def test_pipeline_against_plain_python(spark, sf_dir):
+    """What run() returns, worked out from the documents that the first stage keeps, stage by stage, and each piece of it."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    good = [(r.doc_id, r.text, r.source) for r in corpus_pipeline.quality_classifier(spark, docs, sf_dir).collect()]
+    texts = boilerplate_left(good)
+    kept = near_copy_left(texts)
+    encoder = tokenizers.Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    want = {i: [*encoder.encode(texts[i], add_special_tokens=False).ids, 2] for i in kept}
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    pieces, windows = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        ids = want[r.doc_id][r.start : r.start + r.length]
+        assert len(ids) == r.length and r.doc_tokens == len(want[r.doc_id]) and zlib.crc32(np.array(ids, "<u4").tobytes()) == r.ids_crc32
+        pieces[r.doc_id].append((r.start, r.length))
+        windows[r.sequence_id].append((r.offset, r.length))
+    assert set(pieces) == kept
+    for i, found in pieces.items():
+        assert [a for a, _ in sorted(found)] == np.cumsum([0, *(n for _, n in sorted(found))])[:-1].tolist() and sum(n for _, n in found) == len(want[i])
+    for found in windows.values():
+        assert [a for a, _ in sorted(found)] == np.cumsum([0, *(n for _, n in sorted(found))])[:-1].tolist() and sum(n for _, n in found) <= 4096
+    # Full but for the last windows: less than two half windows of padding in a corpus of one group.
+    assert len(windows) <= sum(map(len, want.values())) / 4096 * 1.02 + 2
+
+
+def test_pipeline_over_odd_tables(spark, tmp_path, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/none/labels.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    labels.write.parquet(f"{tmp_path}/odd/labels.parquet")
+    some = docs.withColumns({c: F.lit(c) for c in ("_key", "best", "score", "rows", "n_lines", "a", "component_id", "sequence_id")})
+    again = some.filter("doc_id < 40")
+    nulls = some.limit(3).withColumns({"text": F.lit(None).cast("string"), "source": F.lit(None).cast("string")})
+    odd = some.unionByName(again).unionByName(nulls).unionByName(some.filter("doc_id = 50").withColumn("doc_id", F.lit(None).cast("long")))
+    odd.write.parquet(f"{tmp_path}/odd/documents.parquet")
+    want, got = (corpus_pipeline.run(spark, d).select("doc_id", "start", "ids_crc32") for d in (sf_dir, f"{tmp_path}/odd"))
+    # Repeated rows go as copies, and a copy without an id is never the one that stays; null texts are rejected or stay as end ids.
+    end = zlib.crc32(np.array([2], "<u4").tobytes())
+    plain = lambda df: {tuple(r) for r in df.collect() if r.ids_crc32 != end}
+    assert plain(want) == plain(got)
+
+
+def test_finish_leaves_nothing(spark, sf_dir):
+    place = shared_dir(spark).removeprefix("file://")
+    assert op7_exact_dedup(spark, sf_dir).count() and os.listdir(place)
+    finish(spark)
+    assert not os.path.exists(place) and shared_dir(spark) != f"file://{place}"
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        applicationId, master = "app-none", "spark://host:7077"
+        getConf = lambda self: {}
+        getCheckpointDir = lambda self: None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
 def test_registry():
     assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
     assert set(SQL) <= set(QUERIES)
