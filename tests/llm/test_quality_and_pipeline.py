@@ -182,7 +182,7 @@ def test_pipeline_over_odd_tables(spark, tmp_path, sf_dir):
     labels.write.parquet(f"{tmp_path}/odd/labels.parquet")
     some = docs.withColumns({c: F.lit(c) for c in ("_key", "best", "score", "rows", "n_lines", "a", "component_id", "sequence_id")})
     again = some.filter("doc_id < 40")
-    nulls = some.limit(3).withColumns({"text": F.lit(None).cast("string"), "source": F.lit(None).cast("string")})
+    nulls = some.limit(3).withColumns({"doc_id": F.col("doc_id") + 100_000, "text": F.lit(None).cast("string"), "source": F.lit(None).cast("string")})
     odd = some.unionByName(again).unionByName(nulls).unionByName(some.filter("doc_id = 50").withColumn("doc_id", F.lit(None).cast("long")))
     odd.write.parquet(f"{tmp_path}/odd/documents.parquet")
     want, got = (corpus_pipeline.run(spark, d).select("doc_id", "start", "ids_crc32") for d in (sf_dir, f"{tmp_path}/odd"))
