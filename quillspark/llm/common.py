@@ -9,7 +9,9 @@ import shutil
 import tempfile
 import uuid
 import weakref
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,15 +116,51 @@ def lookup(left: DataFrame, right: DataFrame, key: str, weight: str, total: int,
     return joined.drop(marked[salt]).drop(spread[salt]).drop(own)
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+#: Links of a task that turns its links into a forest, on average, and the nodes that it holds at most.
+FOREST_LINKS, FOREST_NODES = 20_000, 100_000
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) to stars: every node of a task's links with the smallest that it reaches through them, in both directions."""
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def stars() -> pa.RecordBatch:
+        found = [(x, r) for x in list(parent) if (r := top(x)) != x]
+        parent.clear()
+        return pa.RecordBatch.from_arrays([pa.array([k[side] for k in found] + [k[1 - side] for k in found], pa.int64()) for side in (0, 1)], ["a", "b"])
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            low, high = sorted((top(a), top(b)))
+            parent[high] = low
+        if len(parent) > FOREST_NODES:
+            yield stars()
+    if parent:
+        yield stars()
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 60, task_links: int = FOREST_LINKS) -> DataFrame:
     """(node, component) for each node of the links (a, b); component is the smallest node that can be reached.
 
-    Minimum labels travel along links, then each label jumps to its own label; every round is written out. A hub of
-    many links, or a label of many nodes, is dealt to several tasks.
+    Each task first turns its links, about `task_links` of them, into stars, so that paths are short; links that are one
+    task's work are done by that. Else minimum labels travel along the stars of all tasks, and each label jumps to its own
+    label; every round is written out. A hub of many links, or a label of many nodes, is dealt to several tasks.
     """
-    mirrored = edges.select("a", "b").filter("a <> b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")).filter("a <> b"))
-    both = settle(mirrored.distinct(), "links")
+    linked = settle(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b"), "edges")
+    tasks = 1 + linked.count() // max(1, task_links)
+    both = settle(linked.coalesce(tasks).mapInArrow(_forest, "a long, b long"), "links")
+    release(linked)
     count = both.count()
+    if tasks == 1 and count < FOREST_NODES:
+        stars = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+        return stars.select("node", F.least("node", "m").alias("component"))
     start = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"), F.count("*").alias("links"))
     labels = settle(start.select("node", F.least("node", "m").alias("component"), "links"), "labels")
     nodes = labels.count()

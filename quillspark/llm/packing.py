@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import settle
 from quillspark.llm.word_tokens import word_tokens
+from quillspark.llm.wordhash import trim
 
 WINDOW = 4096
 #: Pieces that one group packs, on average; with their ids, of up to 4 bytes for each place of a window, it holds far fewer.
@@ -94,6 +95,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int, window: int = WINDOW, with
                     rows.append((i, at, len(part) // 4, zlib.crc32(part), n, *([np.frombuffer(part, "<i4")] if with_ids else [])))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+            trim()
 
     spark_schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, spark_schema)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 
 #: Odd multipliers and the finaliser of a 64-bit mix.
 BASE, STEP = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -24,7 +27,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and its inverse modulo 2**64 for i < n."""
     have = _POWERS.get("up")
     if have is None or len(have) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 18)
         for name, factor in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
             row = np.full(size, factor, "u8")
             row[0] = 1
@@ -75,8 +78,26 @@ class Words:
         return out
 
 
-def together(ids: list, texts, limit: int = 1_000_000):
-    """(ids, UTF-8 texts) in runs of about `limit` bytes; a null text is empty."""
+def trim() -> None:
+    """Give memory that arrays and sets have left free back to the system, as a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def _libc():
+    try:
+        found = ctypes.CDLL("libc.so.6")
+    except OSError:  # another system's library; nothing is lost but this
+        return None
+    return found if hasattr(found, "malloc_trim") else None
+
+
+_LIBC = _libc()
+
+
+def together(ids: list, texts, limit: int = 250_000):
+    """(ids, UTF-8 texts) in runs of about `limit` bytes, which bounds what numpy holds at once; a null text is empty."""
     held, body, size = [], [], 0
     for i, text in zip(ids, texts, strict=True):
         raw = (text.as_py() or "").encode()
@@ -88,3 +109,4 @@ def together(ids: list, texts, limit: int = 1_000_000):
             held, body, size = [], [], 0
     if held:
         yield held, body
+    trim()

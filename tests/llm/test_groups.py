@@ -175,8 +175,10 @@ def test_components(spark):
     for _ in range(300):
         for a, b in edges:
             name[a] = name[b] = min(name[a], name[b])
-    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {k: v for k, v in name.items() if k in got} and set(got) == {x for a, b in edges if a != b for x in (a, b)}
+    df = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    for task_links in (20_000, 30):
+        got = {r.node: r.component for r in connected_components(df, task_links=task_links).collect()}
+        assert got == {k: v for k, v in name.items() if k in got} and set(got) == {x for a, b in edges if a != b for x in (a, b)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
