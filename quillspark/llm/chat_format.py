@@ -9,60 +9,43 @@ conversations, which are then rendered.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import release, settle
-
-#: Turns are gathered in segments of so many turn numbers, so that one endless conversation is dealt to many tasks.
-SEGMENT = 256
-#: Turn hashes have 36 bits in each of three lanes, so the sum of 2**27 of them still fits 64 bits.
-LANE, LANES = 1 << 36, ("a", "b", "c")
+from quillspark.llm.common import lookup, settle
+from quillspark.llm.turn_order import LANES, positions, running_sums, segment, turn_lanes
 
 
 def maximal_conversations(turns: DataFrame) -> DataFrame:
-    """conv_id, segment, pos, role, text, n_turns of the turns of maximal conversations.
+    """conv_id, pos, role, text, n_turns of the turns of maximal conversations.
 
-    Turns are ordered by turn, then role and text; rows that agree in all four columns count once. A null role or text
-    is the empty one, a null turn comes first; rows without conv_id are left out; an empty table stays empty. Rows of one
-    conversation whose turns are equal, or are all null, are in one segment, however many they are.
+    Turns are ordered by turn, then role and text, and numbered by that order from 1: gaps, negative numbers and epoch
+    seconds in `turn` are all alike. Rows that agree in all four columns count once. A null role or text is the empty one,
+    a null turn comes first; rows without conv_id are left out; an empty table stays empty; other columns are ignored.
     """
     clean = turns.select("conv_id", "turn", F.lower(F.trim(F.coalesce("role", F.lit("")))).alias("role"), F.coalesce("text", F.lit("")).alias("text")).filter("conv_id is not null").distinct()
-    segment = F.coalesce(F.floor(F.col("turn") / SEGMENT), F.lit(-1)).cast("long")
-    inside = W.partitionBy("conv_id", "segment").orderBy("turn", "role", "text")
-    rows = settle(clean.withColumn("segment", segment).withColumn("pos", F.row_number().over(inside).cast("long")), "turns")
-    # What stands before each segment: one row for each segment, in place of one for each turn.
-    own = W.partitionBy("conv_id")
-    before = own.orderBy("segment").rowsBetween(W.unboundedPreceding, -1)
-    counts = rows.groupBy("conv_id", "segment").agg(F.count("*").alias("n"))
-    starts = settle(counts.select("conv_id", "segment", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"), F.sum("n").over(own).alias("n_turns")), "starts")
-    placed = rows.join(starts, ["conv_id", "segment"]).withColumn("pos", F.col("pos") + F.col("start")).drop("start")
-    lanes = {c: F.pmod(F.xxhash64(F.lit(c), "pos", "role", "text"), F.lit(LANE)) for c in LANES}
-    hashed = settle(placed.withColumns(lanes), "hashed")
-    sums = hashed.groupBy("conv_id", "segment").agg(*[F.sum(c).alias(c) for c in LANES])
-    earlier = sums.select("conv_id", "segment", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in LANES])
-    running = W.partitionBy("conv_id", "segment").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    rolling = hashed.select("conv_id", "segment", "pos", "n_turns", *[F.sum(c).over(running).alias(c) for c in LANES]).join(earlier, ["conv_id", "segment"])
-    rolling = rolling.select("conv_id", "pos", "n_turns", *[(F.col(c) + F.col(f"{c}0")).alias(c) for c in LANES])
+    rows = positions(clean, "conv_id", "turn", "role", "text").select("conv_id", "pos", "role", "text")
+    hashed = settle(rows.withColumns(turn_lanes("pos", "role", "text")), "hashed")
+    total = max(1, hashed.count())
+    whole = settle(hashed.groupBy("conv_id").agg(F.count("*").alias("n_turns"), *[F.sum(c).alias(c) for c in LANES]), "whole")
     # Copies collapse before anything is joined by hash, so no hash is common on either side of the anti-join.
-    whole = hashed.groupBy("conv_id", "n_turns").agg(*[F.sum(c).alias(c) for c in LANES])
     one = whole.groupBy("n_turns", *LANES).agg(F.min("conv_id").alias("conv_id"))
-    prefixes = rolling.filter("pos < n_turns").select(F.col("pos").alias("n_turns"), *LANES).distinct()
-    stays = one.join(prefixes, ["n_turns", *LANES], "left_anti").select("conv_id")
-    # By segment again, so that an endless conversation stays dealt to many tasks.
-    kept = settle(starts.select("conv_id", "segment").join(stays, "conv_id", "left_semi"), "kept")
-    release(rows, starts)
-    return hashed.drop(*LANES).join(kept, ["conv_id", "segment"])
+    rolling = running_sums(hashed.drop("role", "text"), "conv_id", "pos", list(LANES))
+    rolling = lookup(rolling, whole.select("conv_id", "n_turns"), "conv_id", "n_turns", total, F.col("pos"))
+    prefixes = rolling.filter("pos < n_turns").select(F.col("pos").cast("long").alias("n_turns"), *LANES).distinct()
+    stays = settle(one.join(prefixes, ["n_turns", *LANES], "left_anti").select("conv_id", "n_turns"), "stays")
+    return lookup(hashed.drop(*LANES), stays, "conv_id", "n_turns", total, F.col("pos")).filter("n_turns is not null")
 
 
 def format_chats(turns: DataFrame) -> DataFrame:
-    """conv_id, segment, n_turns (of the conversation), chat: the turns of one segment rendered in order.
+    """conv_id, n_turns, chat: one row for each maximal conversation, its turns rendered in order.
 
     A turn is "<|role|>", line end, text, "<|end|>", line end; "<|" inside a text is written "< |", so that no text
-    passes for a turn. An empty role is "unknown". A conversation of fewer than 256 turns is one row.
+    passes for a turn. An empty role is "unknown". The turns of an endless conversation are put together segment by
+    segment, in many tasks; only the rendered segments meet in the row that the conversation is.
     """
     role = F.when(F.col("role") == "", F.lit("unknown")).otherwise(F.col("role"))
     body = F.concat(F.lit("<|"), role, F.lit("|>\n"), F.replace("text", F.lit("<|"), F.lit("< |")), F.lit("<|end|>\n"))
-    lines = F.array_sort(F.collect_list(F.struct("pos", body.alias("line"))))
-    found = maximal_conversations(turns).groupBy("conv_id", "segment").agg(F.max("n_turns").alias("n_turns"), lines.alias("lines"))
-    return found.select("conv_id", "segment", "n_turns", F.array_join(F.transform("lines", lambda x: x["line"]), "").alias("chat"))
+    joined = lambda at, what: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, what))), lambda x: x[what]), "")
+    lines = maximal_conversations(turns).select("conv_id", "n_turns", "pos", segment(F.col("pos")).alias("segment"), body.alias("line"))
+    parts = lines.groupBy("conv_id", "segment").agg(F.max("n_turns").alias("n_turns"), joined("pos", "line").alias("part"))
+    return parts.groupBy("conv_id").agg(F.max("n_turns").alias("n_turns"), joined("segment", "part").alias("chat"))
