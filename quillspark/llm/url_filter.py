@@ -1,6 +1,6 @@
 """URL filters: rules indexed by their rarest literal token.
 
-A rule is a host (with its subdomains) and a path prefix, compiled to one regular expression. Its literal tokens are
+A rule is a host (with its subdomains) and a path prefix, compiled to two regular expressions. Its literal tokens are
 its host labels and its complete path segments. A URL that the rule fits has every one of them among its own labels and
 segments, so it is enough to look the rule up under one: the one that the fewest URLs carry. The tokens of a URL fetch
 candidate rules from that index, and only those expressions run. Built-in functions only.
@@ -37,9 +37,10 @@ def rule_tokens(host: str, path: str) -> list[str]:
     return [f"h:{x}" for x in host.split(".") if x] + [f"p:{x}" for x in segments if x]
 
 
-def rule_regex(host: str, path: str) -> str:
+def rule_regexes(host: str, path: str) -> tuple[str, str]:
+    """What the host and what the path of a URL that the rule fits look like; each is matched on its own."""
     quote = lambda s: "".join(c if c.isalnum() else "\\" + c for c in s)
-    return rf"(?s)^(?:[^\x01]*\.)?{quote(host)}\x01{quote(path)}"
+    return rf"(?s)^(?:.*\.)?{quote(host)}\z", rf"(?s)^{quote(path)}"
 
 
 def url_tokens(host: Column, path: Column) -> Column:
@@ -96,22 +97,21 @@ def filter_urls(df: DataFrame, rules: Sequence[tuple[str, str, str]], url: str =
         index.setdefault(token, []).append(rank)
     if len(rules) <= mapped:
         candidates = _mapped(tokens, index)
-        regexes = F.array(*[F.lit(rule_regex(h, p)) for _, h, p in ranked])
-        subject = F.concat("host", F.lit("\x01"), "path")
+        hosts, paths = (F.array(*[F.lit(rule_regexes(h, p)[side]) for _, h, p in ranked]) for side in (0, 1))
         # Only the expressions of candidate rules run.
-        best = F.array_min(F.filter(candidates, lambda k: F.rlike(subject, F.get(regexes, k))))
+        best = F.array_min(F.filter(candidates, lambda k: F.rlike("host", F.get(hosts, k)) & F.rlike("path", F.get(paths, k))))
         at = unused("best", base.columns)
         out = base.withColumn(at, best)
         name = F.get(F.array(*[F.lit(h + p) for _, h, p in ranked]), F.col(at))
         verdict = F.get(F.array(*[F.lit(v) for v, _, _ in ranked]), F.col(at))
         return out.select(*base.columns, name.alias("rule"), F.coalesce(verdict, F.lit(default)).alias("verdict"))
     spark = df.sparkSession
-    filed = [(t, k, ranked[k][1] + ranked[k][2], ranked[k][0], rule_regex(*ranked[k][1:])) for t, numbers in index.items() for k in numbers]
+    filed = [(t, k, ranked[k][1] + ranked[k][2], ranked[k][0], *rule_regexes(*ranked[k][1:])) for t, numbers in index.items() for k in numbers]
     urls = base.groupBy("host", "path").agg(F.count("*").alias("times"))
     carried = urls.select("host", "path", "times", F.explode(tokens).alias("token"))
     # Each part of the table is broadcast and has LISTED rules at most, so a token that all URLs carry is no hot key.
-    parts = [spark.createDataFrame(filed[k : k + LISTED], "token string, rank int, rule string, verdict string, regex string") for k in range(0, len(filed), LISTED)]
-    hits = reduce(DataFrame.unionByName, [carried.join(F.broadcast(part), "token") for part in parts]).filter(F.expr("rlike(concat(host, '\u0001', path), regex)"))
+    parts = [spark.createDataFrame(filed[k : k + LISTED], "token string, rank int, rule string, verdict string, host_regex string, path_regex string") for k in range(0, len(filed), LISTED)]
+    hits = reduce(DataFrame.unionByName, [carried.join(F.broadcast(part), "token") for part in parts]).filter("rlike(host, host_regex) and rlike(path, path_regex)")
     won = hits.groupBy("host", "path").agg(F.min(F.struct("rank", "rule", "verdict")).alias("won"), F.first("times").alias("times"))
     key, times, out = (unused(n, base.columns) for n in ("url_key", "url_times", "url_won"))
     won = won.select(F.struct("host", "path").alias(key), F.col("times").alias(times), F.col("won").alias(out))
