@@ -46,9 +46,10 @@ def shard_groups(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text
     """id, size, text_crc32, law, shard, slot, grown_shard for each row of `docs`.
 
     Size is the UTF-8 bytes of the text plus 1; a null text counts as the empty one. Equal texts go to one shard unless
-    they hold more than a shard's share of all bytes, tokens or rows; then they are cut by a hash of the id. Repeated
-    rows and null ids keep a slot each. An empty table gives an empty result; other columns are ignored. Slots of a shard
-    follow item, then part of the item by a hash of the id, then id (nulls first), checksum and size; rows that agree in
+    they hold more than a shard's share of all bytes, tokens or rows; then they are cut by a hash of the id, and where
+    very many rows share a text and an id, or have none, by their places in the input. Repeated rows and null ids keep a
+    slot each. An empty table gives an empty result; other columns are ignored. Slots of a shard
+    follow item, then part of the item by the same hash, then id (nulls first), checksum and size; rows that agree in
     all of these are alike.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -59,6 +60,7 @@ def shard_groups(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text
             F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
             F.xxhash64(text).alias("h"),
             (F.length(text) - F.length(F.translate(text, " ", "")) + 1).cast("long").alias("tokens"),
+            F.monotonically_increasing_id().alias("place"),
         ),
         "sizes",
     )
@@ -70,14 +72,20 @@ def shard_groups(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text
     listed = sorted((x.h, int(np.ceil(x.most * SLICE)) if x.most * shards > 1 else 1) for x in heavy.collect())
     spark = docs.sparkSession
     slices = spark.createDataFrame([(h, k, n) for k, (h, n) in enumerate(listed)], "h long, k long, n long")
-    item = F.when(F.col("k").isNull(), F.pmod("h", F.lit(BUCKETS))).otherwise(BUCKETS + F.col("k") * 2 * SLICE + F.pmod(F.xxhash64("id"), F.col("n")))
-    dealt = rows.join(F.broadcast(slices), "h", "left").select("id", "size", "text_crc32", "tokens", item.alias("item"))
+    marked = rows.join(F.broadcast(slices), "h", "left")
+    # Rows of one text and one id that are many enough to fill an item by themselves: fewer than 3 * OWN pairs.
+    alike = marked.filter("n > 1").groupBy("h", "id").agg(*sums).filter((most > 1.0 / OWN) & (F.col("r") > 1)).select(F.col("h").alias("of"), F.col("id").alias("own"))
+    pairs = F.broadcast(spark.createDataFrame(alike.collect(), "of long, own long")).withColumn("alike", F.lit(True))
+    marked = marked.join(pairs, (F.col("h") == F.col("of")) & F.col("id").eqNullSafe(F.col("own")), "left")
+    by = F.when(F.col("alike"), F.xxhash64("place")).otherwise(F.xxhash64("id"))
+    item = F.when(F.col("k").isNull(), F.pmod("h", F.lit(BUCKETS))).otherwise(BUCKETS + F.col("k") * 2 * SLICE + F.pmod(by, F.col("n")))
+    dealt = marked.select("id", "size", "text_crc32", "tokens", item.alias("item"), F.when(F.col("alike"), F.xxhash64("place", F.lit("part"))).otherwise(F.xxhash64("id", F.lit("part"))).alias("by"))
     items = dealt.groupBy("item").agg(*sums).orderBy("item").collect()
     shard = place(np.array([(x.b, x.t, x.r) for x in items], float).reshape(-1, 3), shards)
     # A row for each item: BUCKETS + 3 * OWN + 3 * SLICE of them at most, and of their parts PARTS more.
     placed = [(x["item"], s, -(-x.r * PARTS // max(total.r, 1))) for x, s in zip(items, shard.tolist(), strict=True)]
     where = F.broadcast(spark.createDataFrame(placed, "item long, shard int, parts long"))
-    parted = dealt.join(where, "item").withColumn("part", F.pmod(F.xxhash64("id", F.lit("part")), F.col("parts"))).drop("parts", "tokens")
+    parted = dealt.join(where, "item").withColumn("part", F.pmod("by", F.col("parts"))).drop("parts", "tokens", "by")
     first, starts = np.zeros(shards, "i8"), []
     for x in sorted(parted.groupBy("item", "part", "shard").agg(F.count("*").alias("r")).collect(), key=lambda x: (x["item"], x.part)):
         starts.append((x["item"], x.part, int(first[x.shard])))
