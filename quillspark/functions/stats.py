@@ -37,11 +37,6 @@ def rate(c: Column, digits: int = 2) -> Column:
     return F.round(F.avg(F.when(c, 1.0).otherwise(0.0)) * 100, digits)
 
 
-def quantile(c: Column | str, q: float, digits: int = 4) -> Column:
-    """Linearly interpolated, over values that are not null."""
-    return F.round(F.percentile(c, q), digits)
-
-
 def r6(c: Column) -> Column:
     return F.round(c, 6)
 

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.stats import null0, quantile, r6, rate
+from quillspark.functions.stats import null0, r6, rate
+from quillspark.operators.ranks import quantile, summarise
 from quillspark.operators.summaries import unpivot_services
 from quillspark.sources.sinks import write_csv
 
@@ -39,7 +40,7 @@ def flagged(records: DataFrame, which: Column) -> DataFrame:
 
 def iqr_outliers(records: DataFrame, factor: float = 1.5) -> DataFrame:
     """Records outside the quartiles by `factor` times their distance; the low bound is 0 at least."""
-    q = records.groupBy("template").agg(quantile("words", 0.25, 6).alias("q1"), quantile("words", 0.75, 6).alias("q3"))
+    q = summarise(records, ["template"], quantile("words", 0.25, 6).alias("q1"), quantile("words", 0.75, 6).alias("q3"))
     spread = F.col("q3") - F.col("q1")
     bounds = q.select("template", F.greatest(F.lit(0.0), F.col("q1") - factor * spread).alias("low"), (F.col("q3") + factor * spread).alias("high"))
     # A row for each template.
@@ -48,8 +49,8 @@ def iqr_outliers(records: DataFrame, factor: float = 1.5) -> DataFrame:
 
 def manual_against_automated(records: DataFrame) -> DataFrame:
     """Median words by extraction, in templates that have both."""
-    side = lambda e: F.round(F.percentile(F.when(F.col("extraction") == e, F.col("words")), 0.5), 4)
-    g = records.groupBy("template").agg(side("Manual").alias("manual_median"), side("Automated").alias("automated_median"))
+    side = lambda e: quantile(F.when(F.col("extraction") == e, F.col("words")), 0.5)
+    g = summarise(records, ["template"], side("Manual").alias("manual_median"), side("Automated").alias("automated_median"))
     return g.filter("manual_median is not null and automated_median is not null").withColumn("difference", r6(F.col("manual_median") - F.col("automated_median")))
 
 
@@ -84,7 +85,8 @@ def test_summary(records: DataFrame, services: list[str], expected: list[str], t
     total = lambda flags: F.sum(sum((f.cast("long") for f in flags), F.lit(0)))
     mine = F.col("template").eqNullSafe(template)
     words = null0(F.col("words"))
-    q = records.groupBy("template").agg(
+    q = summarise(
+        records, ["template"],
         quantile("words", 0.25, 6).alias("_q1"), quantile("words", 0.75, 6).alias("_q3"),
         F.count_if((F.col("extraction") == "Manual") & F.col("words").isNotNull()).alias("_manual"), F.count_if((F.col("extraction") == "Automated") & F.col("words").isNotNull()).alias("_automated"),
     )

@@ -3,68 +3,99 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.operators.ranks import RankedCounts, quantile, summarise
+from quillspark.stages import settle
+
 SEED, REPS, LEAST = 20260529, 3000, 5
 
 
 def bootstrap_interval(values: np.ndarray, before: np.ndarray, after: np.ndarray, reps: int = REPS) -> tuple[float, float]:
     """2.5 % and 97.5 % quantiles of the resampled difference of medians of two groups; NaN for fewer than LEAST values.
 
-    The groups come as one histogram, as in permutation_p. The median of a resample depends on ranks only: the k-th of n
-    uniform draws is Beta(k, n - k + 1), so two ranks are drawn for each repetition in place of n values.
+    The groups come as one histogram, as in permutation_p.
     """
     if before.sum() < LEAST or after.sum() < LEAST:
         return math.nan, math.nan
-    rng = np.random.default_rng(SEED)
-    diff = _resampled_medians(values, after, rng, reps) - _resampled_medians(values, before, rng, reps)
+    ranks = drawn_ranks(int(before.sum()), int(after.sum()), reps)
+    return interval_of(*[_at(values, c, ranks[k]) for k, c in (("after low", after), ("after high", after), ("before low", before), ("before high", before))])
+
+
+def interval_of(after_low: np.ndarray, after_high: np.ndarray, before_low: np.ndarray, before_high: np.ndarray) -> tuple[float, float]:
+    """The interval from the middle values of every resample of either group."""
+    diff = (after_low + after_high) / 2 - (before_low + before_high) / 2
     return float(np.quantile(diff, 0.025)), float(np.quantile(diff, 0.975))
 
 
-def _resampled_medians(values: np.ndarray, counts: np.ndarray, rng: np.random.Generator, reps: int) -> np.ndarray:
-    n, ends = int(counts.sum()), np.cumsum(counts)
-    at_rank = lambda r: values[np.searchsorted(ends, np.minimum((r * n).astype("i8"), n - 1), "right")]
+def _at(values: np.ndarray, counts: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The values of a histogram at ranks from 0."""
+    return values[np.searchsorted(np.cumsum(counts), ranks, "right")]
+
+
+def drawn_ranks(n: int, m: int, reps: int = REPS) -> dict[str, np.ndarray]:
+    """All ranks that the tests of a group of n and another of m values ask for, a draw of each for every repetition.
+
+    The median of a resample depends on ranks only: the k-th of n uniform draws is Beta(k, n - k + 1), so two ranks are
+    drawn for each repetition in place of n values. A relabelling deals the pooled ranks to the groups, and all that its
+    medians depend on is where the middle members of each group fall.
+    """
+    rng = np.random.default_rng(SEED)
+    after, before = _resampled_middles(m, rng, reps), _resampled_middles(n, rng, reps)
+    dealt = _dealt_middles(n, m, np.random.default_rng(SEED), reps)
+    names = ["after low", "after high", "before low", "before high", "dealt low", "dealt high", "dealt first", "dealt last"]
+    return dict(zip(names, [*after, *before, *dealt], strict=True))
+
+
+def _resampled_middles(n: int, rng: np.random.Generator, reps: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks, among n values, of the two middle members of a resample."""
+    rank = lambda r: np.minimum((r * n).astype("i8"), n - 1)
     k = (n + 1) // 2
     low = rng.beta(k, n - k + 1, reps)
     if n % 2:
-        return at_rank(low)
+        return rank(low), rank(low)
     # The next draw above the k-th: the least of n - k uniform ones over what is left.
     high = low + (1 - low) * (1 - rng.random(reps) ** (1 / (n - k)))
-    return (at_rank(low) + at_rank(high)) / 2
+    return rank(low), rank(high)
 
 
 def permutation_p(values: np.ndarray, before: np.ndarray, after: np.ndarray, reps: int = REPS) -> float:
     """Two-sided p of the difference of medians of two groups, (extreme + 1) / (reps + 1); NaN for fewer than LEAST values.
 
-    The groups come as one histogram: distinct `values` in order, and how often each group has them. A relabelling deals
-    the pooled ranks to the groups, and all that its medians depend on is where the middle members of each group fall.
-    Those places are drawn by halving the ranks again and again: how many of a group's members lie in the lower half is
-    hypergeometric.
+    The groups come as one histogram: distinct `values` in order, and how often each group has them.
     """
     n, m = int(before.sum()), int(after.sum())
     if n < LEAST or m < LEAST:
         return math.nan
-    ends = np.cumsum(before + after)
-    at_rank = lambda r: values[np.searchsorted(ends, r, "right")]
     seen = abs(_middle(values, after) - _middle(values, before))
-    low, high, first, last = _dealt_middles(n, m, np.random.default_rng(SEED), reps)
-    moved = np.abs((at_rank(first) + at_rank(last)) / 2 - (at_rank(low) + at_rank(high)) / 2)
-    return float((np.count_nonzero(moved >= seen) + 1) / (reps + 1))
+    ranks = drawn_ranks(n, m, reps)
+    return share_beyond(seen, *[_at(values, before + after, ranks[f"dealt {k}"]) for k in ("low", "high", "first", "last")])
+
+
+def share_beyond(seen: float, low: np.ndarray, high: np.ndarray, first: np.ndarray, last: np.ndarray) -> float:
+    """p of a difference from the middle values of both groups in every relabelling."""
+    moved = np.abs((first + last) / 2 - (low + high) / 2)
+    return float((np.count_nonzero(moved >= seen) + 1) / (len(moved) + 1))
 
 
 def _middle(values: np.ndarray, counts: np.ndarray) -> float:
     """The median of a histogram."""
-    ends, n = np.cumsum(counts), int(counts.sum())
-    low, high = (values[np.searchsorted(ends, r, "right")] for r in ((n - 1) // 2, n // 2))
+    n = int(counts.sum())
+    low, high = _at(values, counts, np.array([(n - 1) // 2, n // 2]))
     return float((low + high) / 2)
 
 
 def _dealt_middles(n: int, m: int, rng: np.random.Generator, reps: int) -> list[np.ndarray]:
-    """Pooled ranks of the two middle members of a group of n, then of the other group of m, when n + m ranks are dealt at random."""
+    """Pooled ranks of the two middle members of a group of n, then of the other group of m, when n + m ranks are dealt at random.
+
+    The places are drawn by halving the ranks again and again: how many of a group's members lie in the lower half is
+    hypergeometric.
+    """
     targets = [(True, (n - 1) // 2), (True, n // 2), (False, (m - 1) // 2), (False, m // 2)]
     # A target's stretch of ranks, how many members of the first group are in it, and which member of its own is sought.
     start, size = np.zeros((4, reps), "i8"), np.full((4, reps), n + m)
@@ -89,26 +120,50 @@ def _dealt_middles(n: int, m: int, rng: np.random.Generator, reps: int) -> list[
     return list(start)
 
 
+def _draws(batches: Iterator[pd.DataFrame], reps: int) -> Iterator[pd.DataFrame]:
+    """Rows (template, metric, n_before, n_after) to the ranks that their tests ask for, and those of the medians themselves."""
+    for pdf in batches:
+        for key in pdf.itertuples(index=False):
+            n, m = int(key.n_before), int(key.n_after)
+            ranks = {f"{side} middle": np.array([(size - 1) // 2, size // 2]) for side, size in (("before", n), ("after", m)) if size}
+            ranks |= drawn_ranks(n, m, reps) if min(n, m) >= LEAST else {}
+            for kind, r in ranks.items():
+                yield pd.DataFrame({"template": key.template, "metric": key.metric, "series": kind.split()[0], "kind": kind, "rep": np.arange(len(r)), "rank": r})
+
+
+def _judged(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """One row of tests from the values at the ranks that were drawn: as many as repetitions ask for, whatever the group."""
+    found = {kind: part.sort_values("rep").value.to_numpy(float) for kind, part in pdf.groupby("kind")}
+    middle = [float(found[k].mean()) if k in found else math.nan for k in ("before middle", "after middle")]
+    low = high = p = diff = math.nan
+    if "dealt low" in found:
+        diff = middle[1] - middle[0]
+        low, high = interval_of(*[found[k] for k in ("after low", "after high", "before low", "before high")])
+        p = share_beyond(abs(diff), *[found[f"dealt {k}"] for k in ("low", "high", "first", "last")])
+    return pd.DataFrame([[*key, *middle, diff, low, high, p]])
+
+
 def year_tests(records: DataFrame, metrics: list[str], before: int, after: int, reps: int = REPS) -> DataFrame:
     """Medians of two years, the bootstrap interval of their difference and the permutation p, by template and metric.
 
-    Values are counted first, partially before the shuffle, so a group's task holds one histogram of distinct values and
-    neither the values nor a resample of them. Results don't depend on how rows arrive.
+    Values are counted first, partially before the shuffle; the counts of either year and of both lie in ranges of values.
+    From the sizes of the groups alone all ranks of all repetitions are drawn, and answered by merges with the cumulative
+    counts, range by range: no task holds a group's values, its histogram or a resample. What meets in one task for a
+    template and metric are the answers, 8 for each repetition. Results don't depend on how rows arrive.
     """
     rows = records.filter(F.col("year").isin(before, after)).select("template", "year", *[F.col(m).cast("double").alias(m) for m in metrics])
     long = rows.unpivot(["template", "year"], metrics, "metric", "value").filter("value is not null and not isnan(value)")
-    counted = long.groupBy("template", "metric", "value").agg(F.count_if(F.col("year") == before).alias("n_before"), F.count_if(F.col("year") == after).alias("n_after"))
-
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("value")
-        values, x, y = pdf.value.to_numpy(float), pdf.n_before.to_numpy("i8"), pdf.n_after.to_numpy("i8")
-        middle = [_middle(values, c) if c.sum() else math.nan for c in (x, y)]
-        low, high = bootstrap_interval(values, x, y, reps)
-        diff = middle[1] - middle[0] if min(x.sum(), y.sum()) >= LEAST else math.nan
-        return pd.DataFrame([[*key, int(x.sum()), int(y.sum()), *middle, diff, low, high, permutation_p(values, x, y, reps)]])
-
-    schema = "template string, metric string, n_before long, n_after long, median_before double, median_after double, difference double, ci_low double, ci_high double, p double"
-    return counted.groupBy("template", "metric").applyInPandas(one, schema)
+    counted = long.groupBy("template", "metric", "value").agg(F.count_if(F.col("year") == before).alias("before"), F.count_if(F.col("year") == after).alias("after"))
+    series = F.inline(F.array(*[F.struct(F.lit(s).alias("series"), n.alias("n")) for s, n in (("before", F.col("before")), ("after", F.col("after")), ("dealt", F.col("before") + F.col("after")))]))
+    ranked = RankedCounts(counted.select("template", "metric", "value", series).filter("n > 0"), ["template", "metric", "series"])
+    own = lambda s: F.coalesce(F.sum(F.when(F.col("series") == s, F.col("n"))), F.lit(0)).alias(f"n_{s}")
+    sizes = ranked.totals().groupBy("template", "metric").agg(own("before"), own("after"))
+    asked = sizes.mapInPandas(lambda it: _draws(it, reps), "template string, metric string, series string, kind string, rep long, rank long")
+    met = ranked.at(settle(asked, "draws"))
+    schema = "template string, metric string, median_before double, median_after double, difference double, ci_low double, ci_high double, p double"
+    tests = met.groupBy("template", "metric").applyInPandas(_judged, schema)
+    named = tests.withColumnsRenamed({"template": "_t", "metric": "_m"})
+    return sizes.join(named, F.col("template").eqNullSafe(F.col("_t")) & F.col("metric").eqNullSafe(F.col("_m"))).drop("_t", "_m")
 
 
 def significant(tests: DataFrame, level: float = 0.05) -> DataFrame:
@@ -129,8 +184,9 @@ def erf(c: Column) -> Column:
 
 def metric_intervals(long: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """n, mean, median, extremes and the normal 95 % interval of the mean by group; one value is its own interval."""
-    g = long.groupBy(*keys).agg(
-        F.count(value).alias("n"), F.try_divide(F.round(F.sum(value), 6), F.count(value)).alias("_mean"), F.round(F.percentile(value, 0.5), 4).alias("median"), F.min(value).alias("minimum"), F.max(value).alias("maximum"), F.stddev_samp(value).alias("_std"),
+    g = summarise(
+        long, keys,
+        F.count(value).alias("n"), F.try_divide(F.round(F.sum(value), 6), F.count(value)).alias("_mean"), quantile(value, 0.5).alias("median"), F.min(value).alias("minimum"), F.max(value).alias("maximum"), F.stddev_samp(value).alias("_std"),
     )
     half = F.coalesce(1.96 * F.col("_std") / F.sqrt("n"), F.lit(0.0))
     zero = lambda c: F.coalesce(F.round(c, 4), F.lit(0.0))

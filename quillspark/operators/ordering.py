@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillspark.operators.ranks import Ranking, quantile, summarise
 from quillspark.schema import TEMPLATES
 
 
@@ -14,23 +14,13 @@ def top_by(df: DataFrame, value: str, k: int, tie: str = "note_id") -> DataFrame
 
 
 def ranked(df: DataFrame, *order: Column) -> DataFrame:
-    """`df` with rank: its place, from 1, in a total order.
-
-    Ranges are ordered in parallel; the number of rows before each range is all that the driver gathers.
-    """
-    spread = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    held = spread.withColumn("_part", F.spark_partition_id())
-    sizes = held.groupBy("_part").agg(F.count("*").alias("_n"))
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_part", "_start")
-    inside = F.row_number().over(W.partitionBy("_part").orderBy(*order))
-    return held.withColumn("_inside", inside).join(F.broadcast(starts), "_part").withColumn("rank", F.col("_inside") + F.col("_start")).drop("_part", "_inside", "_start")
+    """`df` with rank: its place, from 1, in a total order."""
+    return Ranking(df, *order).rows()
 
 
 def page(df: DataFrame, number: int, size: int, *order: Column) -> DataFrame:
-    """Page `number` from 1; a number past the end is the last page."""
-    total = df.count()
-    last = max(1, -(-total // size))
-    return df.orderBy(*order).offset((min(max(1, number), last) - 1) * size).limit(size)
+    """Page `number` from 1; a number past the end is the last page. For more pages of one order keep a Ranking."""
+    return Ranking(df, *order).page(number, size)
 
 
 def template_order(c: Column) -> Column:
@@ -45,7 +35,7 @@ def hashed_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 
 def systematic(df: DataFrame, points: int, value: str, clip: float, *order: Column) -> DataFrame:
     """Every ceil(rows / points)-th row in order, with `value` held to its `clip` quantile over all rows."""
-    row = df.agg(F.count("*").alias("n"), F.percentile(value, clip).alias("q")).first()
+    row = summarise(df, [], F.count("*").alias("n"), quantile(value, clip, 9).alias("q")).first()
     step = max(1, -(-row.n // points))
     return ranked(df, *order).filter((F.col("rank") - 1) % step == 0).withColumn("clipped", F.round(F.least(F.col(value), F.lit(row.q)), 4)).drop("rank")
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.stats import null0, percent, quantile, r6
+from quillspark.functions.stats import null0, percent, r6
+from quillspark.operators.ranks import quantile, summarise
 from quillspark.schema import NOTE_TYPES
 
 
@@ -18,7 +19,8 @@ def composition(records: DataFrame, *keys: str) -> DataFrame:
 
 def process_months(records: DataFrame) -> DataFrame:
     p = null0(F.col("pages"))
-    return records.filter("month is not null and process is not null and template = 'AFS'").groupBy("process", "month").agg(F.count("*").alias("documents"), r6(F.avg(p)).alias("pages_mean"), quantile(p, 0.5).alias("pages_median"))
+    afs = records.filter("month is not null and process is not null and template = 'AFS'")
+    return summarise(afs, ["process", "month"], F.count("*").alias("documents"), r6(F.avg(p)).alias("pages_mean"), quantile(p, 0.5).alias("pages_median"))
 
 
 def note_type_pivot(records: DataFrame, period: str = "month", types: list[str] | None = None) -> DataFrame:

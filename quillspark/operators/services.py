@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.functions.stats import mean, null0, percent, quantile, r6
+from quillspark.functions.stats import mean, null0, percent, r6
+from quillspark.operators.ranks import quantile, summarise
 from quillspark.operators.summaries import unpivot_services
 
 
@@ -16,7 +17,8 @@ def opinions(records: DataFrame, services: list[str], floor: float = 0.0) -> Dat
 
 
 def opinion_summary(records: DataFrame, services: list[str], floor: float = 0.0) -> DataFrame:
-    return opinions(records, services, floor).groupBy("template", "service").agg(
+    return summarise(
+        opinions(records, services, floor), ["template", "service"],
         F.count("*").alias("opinions"), F.round(F.sum("words"), 2).alias("words"), F.countDistinct("note_id").alias("documents"), mean("words").alias("words_mean"), quantile("words", 0.5).alias("words_median"),
     )
 
@@ -30,7 +32,7 @@ def service_mix(records: DataFrame, services: list[str], top: int) -> DataFrame:
 
 
 def service_volume(records: DataFrame, services: list[str], top: int = 12) -> DataFrame:
-    grouped = opinions(records, services).groupBy("service").agg(F.count("*").alias("opinions"), F.round(F.sum("words"), 2).alias("words"), mean("words").alias("words_mean"), quantile("words", 0.5).alias("words_median"))
+    grouped = summarise(opinions(records, services), ["service"], F.count("*").alias("opinions"), F.round(F.sum("words"), 2).alias("words"), mean("words").alias("words_mean"), quantile("words", 0.5).alias("words_median"))
     return grouped.orderBy(F.desc("opinions"), "service").limit(top)
 
 
@@ -54,7 +56,8 @@ def service_pulse(records: DataFrame, services: list[str]) -> DataFrame:
 
 
 def product_stats(records: DataFrame, services: list[str]) -> DataFrame:
-    docs = records.groupBy("product").agg(
+    docs = summarise(
+        records, ["product"],
         F.count("*").alias("documents"), F.countDistinct("template").alias("templates"), quantile(null0(F.col("words")), 0.5).alias("words_median"),
         percent(F.count("bo_date"), F.count("*")).alias("bo_coverage"),
     )

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.functions.stats import mean, null0, percent, quantile, r6, rate
+from quillspark.functions.stats import mean, null0, percent, r6, rate
+from quillspark.operators.ranks import Quantile, quantile, summarise
 
 
-
-def compact_stats() -> list[Column]:
+def compact_stats() -> list[Column | Quantile]:
     """22 measures of a group. Nulls are skipped; standard deviation has n - 1 below and is null for one value."""
     manual, auto = F.count_if(F.col("extraction") == "Manual"), F.count_if(F.col("extraction") == "Automated")
     return [
@@ -26,7 +26,7 @@ def compact_stats() -> list[Column]:
 
 
 def overview(records: DataFrame, *keys: str) -> DataFrame:
-    return records.groupBy(*keys).agg(*compact_stats())
+    return summarise(records, list(keys), *compact_stats())
 
 
 def time_series(records: DataFrame, period: str) -> DataFrame:
@@ -41,7 +41,8 @@ def unpivot_services(records: DataFrame, services: list[str], *ids: str) -> Data
 
 def department_totals(records: DataFrame, services: list[str]) -> DataFrame:
     long = unpivot_services(records, services, "template")
-    grouped = long.groupBy("template", "service").agg(
+    grouped = summarise(
+        long, ["template", "service"],
         F.count("words").alias("filled"), F.count_if(F.col("words") > 0).alias("positive"), F.round(F.sum(null0(F.col("words"))), 2).alias("words_sum"),
         mean("words").alias("words_mean"), quantile("words", 0.5).alias("words_median"), quantile("words", 0.9).alias("words_p90"),
     )
@@ -49,14 +50,16 @@ def department_totals(records: DataFrame, services: list[str]) -> DataFrame:
 
 
 def extraction_effect(records: DataFrame) -> DataFrame:
-    return records.groupBy("template", "extraction").agg(
+    return summarise(
+        records, ["template", "extraction"],
         F.count("*").alias("documents"), mean("words").alias("words_mean"), quantile("words", 0.5).alias("words_median"),
         r6(F.avg("pages")).alias("pages_mean"), quantile("service_words", 0.5).alias("service_words_median"),
     )
 
 
 def product_overview(records: DataFrame) -> DataFrame:
-    return records.groupBy("product").agg(
+    return summarise(
+        records, ["product"],
         F.count("*").alias("documents"), F.array_join(F.array_sort(F.collect_set("template")), ", ").alias("templates"), F.count("bo_date").alias("with_bo_date"),
         mean("words").alias("words_mean"), quantile("words", 0.5).alias("words_median"), F.min("validation_date").alias("first_date"), F.max("validation_date").alias("last_date"),
     )
@@ -77,7 +80,8 @@ def team_rows(records: DataFrame, pairs: dict[str, str]) -> DataFrame:
 
 def team_opinions(records: DataFrame, pairs: dict[str, str]) -> DataFrame:
     rows = team_rows(records, pairs)
-    stats = rows.groupBy("service", "team").agg(
+    stats = summarise(
+        rows, ["service", "team"],
         F.count("*").alias("opinions"), F.countDistinct("note_id").alias("documents"), F.round(F.sum("words"), 2).alias("words_sum"), mean("words").alias("words_mean"),
         quantile("words", 0.5).alias("words_median"), F.min("words").alias("words_min"), F.max("words").alias("words_max"),
     )
@@ -86,7 +90,7 @@ def team_opinions(records: DataFrame, pairs: dict[str, str]) -> DataFrame:
 
 def team_extremes(records: DataFrame, pairs: dict[str, str], least: int = 3) -> DataFrame:
     """The teams of each service with the highest and the lowest median, among those with `least` opinions."""
-    stats = team_rows(records, pairs).groupBy("service", "team").agg(F.count("*").alias("opinions"), quantile("words", 0.5).alias("words_median")).filter(F.col("opinions") >= least)
+    stats = summarise(team_rows(records, pairs), ["service", "team"], F.count("*").alias("opinions"), quantile("words", 0.5).alias("words_median")).filter(F.col("opinions") >= least)
     high = F.row_number().over(W.partitionBy("service").orderBy(F.desc("words_median"), F.desc("opinions"), "team"))
     low = F.row_number().over(W.partitionBy("service").orderBy("words_median", F.desc("opinions"), "team"))
     ranked = stats.withColumns({"high": high, "low": low})
@@ -96,7 +100,8 @@ def team_extremes(records: DataFrame, pairs: dict[str, str], least: int = 3) ->
 
 def bo_delta_summary(records: DataFrame) -> DataFrame:
     d = F.col("delta_days")
-    row = records.agg(
+    row = summarise(
+        records, [],
         F.count("*").cast("double").alias("rows"), F.count("bo_date").cast("double").alias("with_date"), F.count_if(F.col("bo_date").isNull()).cast("double").alias("without_date"),
         F.count_if(d == 0).cast("double").alias("same_day"), F.count_if(d < 0).cast("double").alias("before"), F.count_if(d > 0).cast("double").alias("after"),
         quantile("delta_days", 0.5).alias("median_days"), r6(F.avg("delta_days")).alias("mean_days"),
@@ -154,7 +159,8 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def kpis(records: DataFrame, services: list[str]) -> DataFrame:
     """The dashboard's measures, which take null for 0."""
     w, p = null0(F.col("words")), null0(F.col("pages"))
-    return records.agg(
+    return summarise(
+        records, [],
         F.count("*").alias("documents"), F.countDistinct("template").alias("templates"), F.countDistinct("batch").alias("batches"), F.countDistinct("author").alias("authors"),
         F.round(F.sum(w), 2).alias("words_sum"), r6(F.avg(w)).alias("words_mean"), quantile(w, 0.5).alias("words_median"),
         r6(F.avg(p)).alias("pages_mean"), quantile(p, 0.5).alias("pages_median"), r6(F.avg(null0(F.col("annex_pages")))).alias("annex_mean"),
@@ -165,7 +171,8 @@ def kpis(records: DataFrame, services: list[str]) -> DataFrame:
 
 def authors(records: DataFrame, least: int, *keys: str) -> DataFrame:
     """By author (and `keys`), authors that are not null and have `least` documents."""
-    return records.filter("author is not null").groupBy("author", *keys).agg(
+    return summarise(
+        records.filter("author is not null"), ["author", *keys],
         F.count("*").alias("documents"), mean("words").alias("words_mean"), quantile("words", 0.5).alias("words_median"),
         rate(F.col("extraction") == "Manual").alias("manual_rate"), r6(F.avg("pages")).alias("pages_mean"), F.max("validation_date").alias("last_date"),
     ).filter(F.col("documents") >= least)
@@ -174,8 +181,8 @@ def authors(records: DataFrame, least: int, *keys: str) -> DataFrame:
 def author_effect(records: DataFrame, least: int) -> DataFrame:
     """Median words of an author in a template against the template's median over records with an author."""
     known = records.filter("author is not null")
-    base = known.groupBy("template").agg(quantile("words", 0.5).alias("template_median"))
-    own = known.groupBy("template", "author").agg(F.count("*").alias("documents"), quantile("words", 0.5).alias("author_median")).filter(F.col("documents") >= least)
+    base = summarise(known, ["template"], quantile("words", 0.5).alias("template_median"))
+    own = summarise(known, ["template", "author"], F.count("*").alias("documents"), quantile("words", 0.5).alias("author_median")).filter(F.col("documents") >= least)
     return own.join(base, "template").withColumn("effect", r6(F.col("author_median") - F.col("template_median")))
 
 
@@ -190,7 +197,7 @@ def author_coverage(records: DataFrame) -> DataFrame:
 
 def box_percentiles(records: DataFrame) -> DataFrame:
     w = null0(F.col("words"))
-    return records.groupBy("template").agg(*[quantile(w, q / 100).alias(f"p{q}") for q in (5, 25, 50, 75, 95)])
+    return summarise(records, ["template"], *[quantile(w, q / 100).alias(f"p{q}") for q in (5, 25, 50, 75, 95)])
 
 
 def calendar(records: DataFrame) -> DataFrame:
@@ -208,7 +215,8 @@ def department_matrix(records: DataFrame, services: list[str], top: int = 10) ->
 
 
 def batches(records: DataFrame) -> DataFrame:
-    return records.groupBy("batch").agg(
+    return summarise(
+        records, ["batch"],
         F.count("*").alias("documents"), F.array_join(F.array_sort(F.collect_set("template")), ", ").alias("templates"),
         rate(F.col("extraction") == "Manual").alias("manual_rate"), quantile(null0(F.col("words")), 0.5).alias("words_median"), F.min("validation_date").alias("first_date"), F.max("validation_date").alias("last_date"),
     )

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.functions.stats import mean, null0, quantile, r6, rate
+from quillspark.functions.stats import mean, null0, r6, rate
+from quillspark.operators.ranks import quantile, summarise
 from quillspark.operators.summaries import unpivot_services
 
 #: Periods by (after, until, name); the left end is open.
@@ -17,13 +18,14 @@ def period_bins(records: DataFrame, periods: list[tuple[str, str, str]]) -> Data
     """By period and template; a day on a period's left end belongs to the one before."""
     label = F.coalesce(*[F.when((F.col("validation_date") > F.lit(a).cast("date")) & (F.col("validation_date") <= F.lit(b).cast("date")), F.lit(name)) for a, b, name in periods])
     binned = records.withColumn("period", label).filter("period is not null")
-    return binned.groupBy("period", "template").agg(
+    return summarise(
+        binned, ["period", "template"],
         F.count("*").alias("documents"), mean("words").alias("words_mean"), quantile("words", 0.5).alias("words_median"), quantile("pages", 0.5).alias("pages_median"), quantile("service_words", 0.5).alias("service_median"),
     )
 
 
 def monthly(records: DataFrame) -> DataFrame:
-    return records.filter("month is not null").groupBy("template", "month").agg(F.count("*").alias("documents"), quantile("words", 0.5).alias("words_median"), quantile("pages", 0.5).alias("pages_median"))
+    return summarise(records.filter("month is not null"), ["template", "month"], F.count("*").alias("documents"), quantile("words", 0.5).alias("words_median"), quantile("pages", 0.5).alias("pages_median"))
 
 
 def rolling(series: DataFrame, value: str, out: str, key: str = "template", order: str = "month", size: int = 3, least: int = 2) -> DataFrame:
@@ -46,7 +48,7 @@ def shortening_points(records: DataFrame, top: int = 6, least: int = 5) -> DataF
 
 def change_points(records: DataFrame, metrics: list[str], top: int = 3) -> DataFrame:
     """The `top` largest month-to-month falls of the median of each metric in each template."""
-    medians = records.filter("month is not null").groupBy("template", "month").agg(*[quantile(m, 0.5).alias(m) for m in metrics])
+    medians = summarise(records.filter("month is not null"), ["template", "month"], *[quantile(m, 0.5).alias(m) for m in metrics])
     long = medians.unpivot(["template", "month"], metrics, "metric", "median")
     delta = r6(F.col("median") - F.lag("median").over(W.partitionBy("template", "metric").orderBy("month")))
     ranked = long.withColumn("delta", delta).filter("delta is not null")
@@ -67,7 +69,7 @@ def two_bases(records: DataFrame, period: str = "year") -> DataFrame:
     basis = F.explode(F.array(F.struct(F.lit("database").alias("basis"), F.col("validation_date").alias("day")), F.struct(F.lit("corrected").alias("basis"), F.coalesce("bo_date", "validation_date").alias("day"))))
     rows = records.select("template", "words", "pages", basis.alias("b")).select("template", "words", "pages", "b.*").filter("day is not null")
     key = F.year("day").cast("long") if period == "year" else F.trunc("day", "month")
-    return rows.groupBy("basis", key.alias(period), "template").agg(F.count("*").alias("documents"), mean("words").alias("words_mean"), quantile("words", 0.5).alias("words_median"), quantile("pages", 0.5).alias("pages_median"))
+    return summarise(rows.withColumn(period, key), ["basis", period, "template"], F.count("*").alias("documents"), mean("words").alias("words_mean"), quantile("words", 0.5).alias("words_median"), quantile("pages", 0.5).alias("pages_median"))
 
 
 def momentum(records: DataFrame, services: list[str], recent: int = 6) -> DataFrame:
@@ -83,12 +85,13 @@ def momentum(records: DataFrame, services: list[str], recent: int = 6) -> DataFr
     # 2 * `recent` rows.
     placed = long.join(F.broadcast(calendar), "month").withColumn("now", F.col("back") <= recent)
     w = F.col("words")
-    out = placed.groupBy("template", "service").agg(
+    out = summarise(
+        placed, ["template", "service"],
         F.count_if(F.col("now")).alias("recent_count"), F.count_if(~F.col("now")).alias("previous_count"),
         F.round(F.coalesce(F.sum(F.when(F.col("now"), w)), F.lit(0.0)), 2).alias("recent_words"), F.round(F.coalesce(F.sum(F.when(~F.col("now"), w)), F.lit(0.0)), 2).alias("previous_words"),
         F.coalesce(r6(F.avg(F.when(F.col("now"), w))), F.lit(0.0)).alias("recent_mean"), F.coalesce(r6(F.avg(F.when(~F.col("now"), w))), F.lit(0.0)).alias("previous_mean"),
-        F.coalesce(quantile(F.when(F.col("now"), w), 0.5), F.lit(0.0)).alias("recent_median"), F.coalesce(quantile(F.when(~F.col("now"), w), 0.5), F.lit(0.0)).alias("previous_median"),
-    )
+        quantile(F.when(F.col("now"), w), 0.5).alias("recent_median"), quantile(F.when(~F.col("now"), w), 0.5).alias("previous_median"),
+    ).fillna(0.0, ["recent_median", "previous_median"])
     return out.withColumns({"count_delta": F.col("recent_count") - F.col("previous_count"), "mean_delta": r6(F.col("recent_mean") - F.col("previous_mean")), "median_delta": r6(F.col("recent_median") - F.col("previous_median"))})
 
 
