@@ -21,15 +21,30 @@ def typography(c: Column) -> Column:
     return F.regexp_replace(plain, "[\u00ad\u200b-\u200d\ufeff]", "")
 
 
-def flatten(c: Column) -> Column:
-    """One line: words cut by a hyphen at a line end joined, bullets and lone joiners out."""
-    joined = F.regexp_replace(typography(c), r"(?U)([\p{L}\p{N}])-\s*\n\s*([\p{L}\p{N}])", "$1$2")
-    bullets = F.regexp_replace(joined, r"(?mU)^\s*[o•▪]\s+", " ")
-    return squeeze(F.regexp_replace(bullets, r"(?U)\s[&/-]\s", " "))
+#: Fixed value: what counts as white space around a text.
+SPACES = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2008\u2009\u200a\u2028\u2029\u205f\u3000"
 
 
-def word_count(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(UNICODE_WORD)).cast("long")
+def plain(c: Column) -> Column:
+    """Straight single quotes, plain dashes, no fixed spaces; soft hyphens, zero-width marks and outer spaces go."""
+    t = F.translate(c, "\u2019\u2018\u00a0\u2010\u2011\u2012\u2013\u2014\u2212", "'' ------")
+    return F.btrim(F.regexp_replace(t, "[\u00ad\u200b-\u200d\ufeff]", ""), F.lit(SPACES))
+
+
+#: The marks of a list, by template, and the bytes of a bullet that were read in another encoding.
+BULLETS = {"GNG": "[oO]", "AFS": "[oO•]"}
+BROKEN_BULLET = "ï‚·"
+
+
+def flatten(c: Column, template: str = "GNG") -> Column:
+    """A text as its words are counted: on one line, words cut at a line end put together, without bullets, &, - and /."""
+    joined = F.regexp_replace(plain(c), r"(?U)(\w)-\s*\n\s*(\w)", "$1$2")
+    unmarked = F.regexp_replace(joined, rf"(?mdU)^\s*{BULLETS[template]}\s+", "")
+    return squeeze(F.translate(F.replace(unmarked, F.lit(BROKEN_BULLET), F.lit("")), "&-/", ""))
+
+
+def word_count(c: Column, template: str = "GNG") -> Column:
+    return F.regexp_count(flatten(c, template), F.lit(UNICODE_WORD)).cast("long")
 
 
 def ascii_word_count(c: Column) -> Column:
@@ -78,15 +93,20 @@ def noise_reason(c: Column, template: str) -> Column:
     return F.coalesce(F.when(t == "", "blank line"), *[F.when(t.rlike(p), F.lit(reason)) for p, reason in rules])
 
 
+#: Fixed value: how a line that announces a table of contents reads.
+CONTENTS_LINE = r"(?i)^contents|table of contents"
+
+
 def is_contents(lines: Column) -> Column:
-    """Whether one of the first ten lines announces a table of contents."""
-    return F.exists(F.slice(lines, 1, 10), lambda x: F.trim(x).rlike(r"(?i)^(table of )?contents\s*$"))
+    """Whether one of the first ten lines that aren't blank announces a table of contents."""
+    filled = F.filter(F.transform(lines, plain), lambda x: x != "")
+    return F.exists(F.slice(filled, 1, 10), lambda x: x.rlike(CONTENTS_LINE))
 
 
 def canonical_prefix(c: Column) -> Column:
     """Upper case, no spaces, runs of - and / one hyphen, and two spellings of one group brought together."""
     t = F.regexp_replace(F.regexp_replace(F.upper(c), r"\s+", ""), "[-/]+", "-")
-    return F.when(t.rlike(r"^GR&C-?RM\b"), "GR&C-RM").when(t.rlike(r"^GR&C-?OCCO\b"), "GR&C-OCCO").otherwise(t)
+    return F.when(t.rlike(r"^GR&C-?RM$"), "GR&C-RM").when(t.rlike(r"^GR&C-?OCCO$"), "GR&C-OCCO").otherwise(t)
 
 
 def export_prefix(c: Column) -> Column:
@@ -126,9 +146,13 @@ def thousands(c: Column, digits: int = 0) -> Column:
 
 
 def value_label(c: Column, suffix: str = "") -> Column:
-    """A number as charts show it: whole, or with one decimal where a small number would lose it; percentages are whole."""
+    """A number as charts show it: whole, or with one decimal where a small number would lose it; percentages are whole.
+
+    Halves go away from zero.
+    """
     small = (F.abs(c) < 10) & (F.abs(c % 1) > 0.01) & F.lit(suffix != "%")
-    return F.concat(F.when(small, F.regexp_replace(F.format_number(c, 1), r"\.0$", "")).otherwise(F.format_number(c, 0)), F.lit(suffix))
+    shown = lambda digits: F.format_number(F.round(c, digits), digits)
+    return F.concat(F.when(small, F.regexp_replace(shown(1), r"\.0$", "")).otherwise(shown(0)), F.lit(suffix))
 
 
 def short_label(c: Column, most: int = 28) -> Column:

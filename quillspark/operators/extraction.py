@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import UNICODE_WORD, canonical_prefix, division_author, export_prefix, is_table_line, noise_reason, service_author, squeeze
+from quillspark.functions.text import CONTENTS_LINE, canonical_prefix, division_author, export_prefix, is_table_line, noise_reason, plain, service_author, word_count
 from quillspark.schema import SERVICES
 
 #: Patterns of the GNG template. A line is compared after its dashes, quotes and spaces are made plain.
@@ -45,30 +45,17 @@ OTHER_GROUPS = {
 }
 
 
-def plain_line(c: Column) -> Column:
-    """Straight quotes, plain dashes and spaces, no soft hyphens or zero-width marks."""
-    t = F.translate(c, "’‘ ‐‑‒–—−", "'' ------")
-    return F.trim(F.regexp_replace(t, "[­​-‍﻿\r]", ""))
-
-
-def counted(text: Column) -> Column:
-    """Words of a text of several lines: hyphens at line ends join, bullets and joiners don't count."""
-    t = F.regexp_replace(text, r"(?U)(\w)-\s*\n\s*(\w)", "$1$2")
-    t = F.regexp_replace(F.regexp_replace(t, r"(?m)^\s*[oO]\s+", ""), "[&/-]", "")
-    return F.regexp_count(squeeze(t), F.lit(UNICODE_WORD)).cast("long")
-
-
 def page_lines(pages: DataFrame) -> DataFrame:
     """doc_id, page_no, ord, line, t: lines of (doc_id, page_no, page_text) in one order over the document."""
     lines = pages.select("doc_id", "page_no", F.posexplode(F.split(F.coalesce("page_text", F.lit("")), "\n")).alias("at", "line"))
     order = W.partitionBy("doc_id").orderBy("page_no", "at")
-    return lines.withColumn("t", plain_line(F.col("line"))).withColumn("ord", F.row_number().over(order)).drop("at")
+    return lines.withColumn("t", plain(F.col("line"))).withColumn("ord", F.row_number().over(order)).drop("at")
 
 
-def joined(lines: DataFrame, *keys: str) -> DataFrame:
+def joined(lines: DataFrame, template: str, *keys: str) -> DataFrame:
     """By key the lines in order as one text, and its words."""
     parts = F.array_sort(F.collect_list(F.struct("ord", "t")))
-    return lines.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda x: x["t"]), "\n").alias("text")).withColumn("words", counted(F.col("text")))
+    return lines.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda x: x["t"]), "\n").alias("text")).withColumn("words", word_count(F.col("text"), template))
 
 
 def _noise(template: str) -> Column:
@@ -102,7 +89,7 @@ def gng_segments(lines: DataFrame) -> DataFrame:
     marked = kept.withColumn("prefix", prefix).withColumn("new", F.col("prefix").isNotNull() & ~F.col("prefix").eqNullSafe(before))
     cut = marked.withColumn("segment", F.sum(F.col("new").cast("long")).over(ordered)).filter("segment > 0")
     named = cut.withColumn("head", F.first(F.when(F.col("new"), F.col("prefix")), ignorenulls=True).over(W.partitionBy("doc_id", "segment")))
-    words = joined(named.filter(~((F.col("segment") == 1) & is_table_line(t))), "doc_id", "segment", "head")
+    words = joined(named.filter(~((F.col("segment") == 1) & is_table_line(t))), "GNG", "doc_id", "segment", "head")
     return words.select("doc_id", "segment", F.col("head").alias("prefix"), export_prefix(F.col("head")).alias("service"), "words")
 
 
@@ -116,7 +103,7 @@ def extract_gng(pages: DataFrame) -> DataFrame:
     after = (F.col("ord") > F.col("timetable")) | ((F.col("ord") == F.col("timetable")) & t.rlike("(?i)" + GNG_STOP_WORDS + ".*" + GNG_ANNEX_WORDS))
     annex = lines.join(facts.select("doc_id", "timetable"), "doc_id").filter(after & t.rlike(GNG_ANNEX)).groupBy("doc_id").agg(F.min("page_no").alias("annex_from"))
     noise = _noise("GNG")
-    before = joined(lines.join(facts.select("doc_id", "start"), "doc_id").filter((F.col("ord") < F.col("start")) & ~noise), "doc_id").select("doc_id", F.col("words").alias("before"))
+    before = joined(lines.join(facts.select("doc_id", "start"), "doc_id").filter((F.col("ord") < F.col("start")) & ~noise), "GNG", "doc_id").select("doc_id", F.col("words").alias("before"))
     out = facts.join(annex, "doc_id", "left").join(before, "doc_id", "left").join(_wide(gng_segments(lines)), "doc_id", "left")
     words = F.when(F.col("start").isNotNull(), F.coalesce("before", F.lit(0)))
     return out.select("doc_id", F.lit("GNG").alias("template"), "pages", "pages_before", (F.col("pages") - F.col("annex_from")).alias("annex_pages"), words.alias("words"), *SERVICES)
@@ -162,7 +149,7 @@ def afs_lines(pages: DataFrame) -> DataFrame:
     filled = F.when(t != "", F.lit(1))
     nth = F.sum(filled).over(W.partitionBy("doc_id", "page_no").orderBy("ord"))
     lines = lines.withColumn("nth", nth)
-    contents = F.max((t != "") & (F.col("nth") <= 10) & t.rlike(r"(?i)^contents|table of contents")).over(W.partitionBy("doc_id", "page_no"))
+    contents = F.max((t != "") & (F.col("nth") <= 10) & t.rlike(CONTENTS_LINE)).over(W.partitionBy("doc_id", "page_no"))
     names = _afs_prefixes()
     block, alone = rf"(?i)^\s*(?:[A-Z]\.\s+|\d+\.\s+)?({names})\s+(Opinion|position|input)\b", rf"(?i)^({names})$"
     prefix = F.when(t.rlike(block), F.regexp_extract("t", block, 1)).when(t.rlike(AFS_OUTCOME), "OCCO").when(t.rlike(alone), t)
@@ -213,7 +200,7 @@ def afs_segments(lines: DataFrame, starts: DataFrame) -> DataFrame:
     own = own.filter(~_noise("AFS"))
     cut = own.withColumn("segment", F.sum(F.col("prefix").isNotNull().cast("long")).over(doc.orderBy("ord"))).filter("segment > 0")
     named = cut.withColumn("head", F.first("prefix", ignorenulls=True).over(W.partitionBy("doc_id", "segment")))
-    words = joined(named.filter("prefix is null"), "doc_id", "segment", "head")
+    words = joined(named.filter("prefix is null"), "AFS", "doc_id", "segment", "head")
     pairs = [F.lit(x) for kv in AFS_GROUPS.items() for x in kv]
     return words.select("doc_id", "segment", F.col("head").alias("prefix"), F.element_at(F.create_map(*pairs), F.col("head")).alias("service"), "words")
 
@@ -226,7 +213,7 @@ def extract_afs(pages: DataFrame) -> DataFrame:
     annex = lines.join(facts.select("doc_id", "timetable"), "doc_id").filter(t.rlike(AFS_ANNEX) & (F.col("ord") >= F.coalesce("timetable", F.lit(0)))).groupBy("doc_id").agg(F.min("page_no").alias("annex_from"))
     noise = _noise("AFS")
     early = lines.join(starts, "doc_id", "left").filter(~F.col("on_contents") & ~noise & (F.col("start").isNull() | (F.col("ord") < F.col("start"))))
-    before = joined(early, "doc_id").select("doc_id", F.col("words").alias("before"))
+    before = joined(early, "AFS", "doc_id").select("doc_id", F.col("words").alias("before"))
     out = facts.join(starts, "doc_id", "left").join(annex, "doc_id", "left").join(before, "doc_id", "left").join(_wide(afs_segments(lines, starts)), "doc_id", "left")
     return out.select("doc_id", F.lit("AFS").alias("template"), "pages", F.col("start_page").alias("pages_before"), (F.col("pages") - F.col("annex_from")).alias("annex_pages"), F.coalesce("before", F.lit(0)).alias("words"), "mode", *SERVICES)
 
@@ -358,7 +345,7 @@ def header_dates(blocks: DataFrame, pages: list[int] | None = None, left: float
     letter date there; then the first one anywhere on the page. Pages are tried in order, the first page before others.
     """
     rows = blocks.filter(F.col("page_no").isin(pages)) if pages else blocks
-    lines = rows.select("*", F.posexplode(F.split("text", "\n")).alias("at", "line")).withColumn("line", plain_line(F.col("line"))).filter("line <> ''")
+    lines = rows.select("*", F.posexplode(F.split("text", "\n")).alias("at", "line")).withColumn("line", plain(F.col("line"))).filter("line <> ''")
     inside = (F.col("x0") >= left * F.col("page_w")) & (F.col("y0") <= top * F.col("page_h"))
     date = F.nullif(F.regexp_extract("line", LETTER_DATE, 1), F.lit(""))
     marked = lines.withColumns({"inside": inside, "date": date, "marker": F.upper("line").contains("CORPORATE USE")})

@@ -17,9 +17,29 @@ def docs(spark, d):
     return table(spark, d, "documents").select("doc_id", "text", "lang", "source")
 
 
-@query(r"SELECT doc_id, CAST(len(regexp_extract_all(text, '[\p{L}\p{N}]+(?:''[\p{L}\p{N}]+)?')) AS BIGINT) AS words FROM documents")
+def flat_sql(text: str) -> str:
+    """A text as its words are counted, in SQL."""
+    plain = f"regexp_replace(translate({text}, '\u2019\u2018\u00a0\u2010\u2011\u2012\u2013\u2014\u2212', chr(39) || chr(39) || ' ------'), '[\u00ad\u200b-\u200d\ufeff]', '', 'g')"
+    joined = rf"regexp_replace({plain}, '([\p{{L}}\p{{N}}_])-\s*\n\s*([\p{{L}}\p{{N}}_])', '\1\2', 'g')"
+    unmarked = rf"replace(regexp_replace({joined}, '(?m)^\s*[oO]\s+', '', 'g'), 'ï‚·', '')"
+    return rf"trim(regexp_replace(translate({unmarked}, '&-/', ''), '\s+', ' ', 'g'))"
+
+
+WORD_SQL = r"[\p{L}\p{N}]+(?:''[\p{L}\p{N}]+)?"
+#: Texts as notes write them: words cut at line ends, joined by slashes and hyphens, bullets at the starts of lines.
+NOTED_SQL = "replace(replace(replace(replace(text, 'en ', 'en-' || chr(10) || ' '), 'a ', 'a/'), 's ', 's' || chr(10) || ' o '), 'o ', 'o\u2013')"
+
+
+def noted(c):
+    for what, by in (("en ", "en-\n "), ("a ", "a/"), ("s ", "s\n o "), ("o ", "o\u2013")):
+        c = F.replace(c, F.lit(what), F.lit(by))
+    return c
+
+
+@query(f"SELECT doc_id, CAST(len(regexp_extract_all({flat_sql('text')}, '{WORD_SQL}')) AS BIGINT) AS words, CAST(len(regexp_extract_all({flat_sql(NOTED_SQL)}, '{WORD_SQL}')) AS BIGINT) AS noted_words FROM documents")
 def word_count_unicode(spark, d):
-    return docs(spark, d).select("doc_id", X.word_count(F.col("text")).alias("words"))
+    """Words of each text, and of the text with the marks that notes have."""
+    return docs(spark, d).select("doc_id", X.word_count(F.col("text")).alias("words"), X.word_count(noted(F.col("text"))).alias("noted_words"))
 
 
 @query()
@@ -27,7 +47,7 @@ def word_count_ascii(spark, d):
     return docs(spark, d).select("doc_id", X.ascii_word_count(F.col("text")).alias("words"))
 
 
-@query(r"SELECT lang, count(*) AS documents, CAST(sum(len(regexp_extract_all(text, '[\p{L}\p{N}]+(?:''[\p{L}\p{N}]+)?'))) AS BIGINT) AS words, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY lang")
+@query(f"SELECT lang, count(*) AS documents, CAST(sum(len(regexp_extract_all({flat_sql('text')}, '{WORD_SQL}'))) AS BIGINT) AS words, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY lang")
 def corpus_volume(spark, d):
     return docs(spark, d).groupBy("lang").agg(F.count("*").alias("documents"), F.sum(X.word_count(F.col("text"))).alias("words"), F.sum(F.length("text").cast("long")).alias("chars"))
 
@@ -159,10 +179,11 @@ def prefix_merge_totals(spark, d):
     return table(spark, d, "lineitem").select(X.export_prefix(X.canonical_prefix(raw)).alias("service"), "l_quantity").groupBy("service").agg(F.count("*").alias("segments"), F.round(F.sum("l_quantity"), 2).alias("words"))
 
 
-@query("SELECT doc_id, 'onetwo three ' || '''' || ' four ' || source AS flat FROM documents")
+@query(f"SELECT doc_id, md5({flat_sql(NOTED_SQL)}) AS flat_md5, length({flat_sql(NOTED_SQL)}) AS flat_chars FROM documents")
 def flattened_text(spark, d):
-    """A word cut at a line end, a lone joiner, a bullet, typographic marks."""
-    return docs(spark, d).select("doc_id", X.flatten(F.concat(F.lit("one-\ntwo & three ’  –\nfour\n• "), "source")).alias("flat"))
+    """Whole texts with words cut at line ends, slashes, dashes and bullets, on one line."""
+    flat = docs(spark, d).select("doc_id", X.flatten(noted(F.col("text"))).alias("flat"))
+    return flat.select("doc_id", F.md5("flat").alias("flat_md5"), F.length("flat").cast("long").alias("flat_chars"))
 
 
 @query("""
@@ -188,13 +209,18 @@ def dates_of_a_note(spark, d):
     return o.select("o_orderkey", visible_date(F.col("text")).alias("visible"), meta_date(F.col("meta")).alias("created"), path_year(F.col("path")).alias("path_year"))
 
 
-@query("SELECT conv_id, min(turn) = 0 AND conv_id % 2 = 0 AS contents FROM conversations GROUP BY conv_id")
+@query("""
+WITH p AS (
+  SELECT conv_id, turn, CASE conv_id % 4 WHEN 0 THEN chr(10) || ' Contents ..... ' || turn || chr(10) || text WHEN 1 THEN text || chr(10) || '1. Table of contents' WHEN 2 THEN repeat(chr(10), 12) || 'CONTENTS' || chr(10) || text ELSE text END AS page
+  FROM conversations
+), l AS (SELECT conv_id, turn, list_filter(list_transform(string_split(page, chr(10)), lambda x: lower(trim(x))), lambda x: x <> '')[1:10] AS lines FROM p)
+SELECT conv_id, turn, len(list_filter(lines, lambda x: starts_with(x, 'contents') OR contains(x, 'table of contents'))) > 0 AS contents FROM l""")
 def contents_pages(spark, d):
-    """The turns of a conversation are the lines of a page; every other one announces its contents."""
-    c = table(spark, d, "conversations")
-    line = F.when((F.col("turn") == 0) & (F.col("conv_id") % 2 == 0), "Table of Contents").otherwise(F.concat(F.lit("turn "), F.col("turn").cast("string")))
-    lines = c.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("line")))), lambda x: x["line"]).alias("lines"))
-    return lines.select("conv_id", X.is_contents(F.col("lines")).alias("contents"))
+    """Every turn is a page, before or after whose text another line may announce its contents."""
+    k, text = F.col("conv_id") % 4, F.col("text")
+    dotted = F.concat(F.lit("\n Contents ..... "), F.col("turn").cast("string"), F.lit("\n"), text)
+    page = F.when(k == 0, dotted).when(k == 1, F.concat(text, F.lit("\n1. Table of contents"))).when(k == 2, F.concat(F.lit("\n" * 12 + "CONTENTS\n"), text)).otherwise(text)
+    return table(spark, d, "conversations").select("conv_id", "turn", X.is_contents(F.split(page, "\n")).alias("contents"))
 
 
 @query("SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'Buildings' WHEN 'MACHINERY' THEN 'Machines' ELSE c_mktsegment END AS segment, CASE WHEN length(c_name) > 12 THEN substr(c_name, 1, 11) || '...' ELSE c_name END AS short, '&lt;' || c_mktsegment || '&amp;&quot;' AS marked FROM customer")
@@ -203,6 +229,11 @@ def display_labels(spark, d):
     return table(spark, d, "customer").select("c_custkey", X.label(F.col("c_mktsegment"), {"BUILDING": "Buildings", "MACHINERY": "Machines"}).alias("segment"), X.short_label(F.col("c_name"), 12).alias("short"), marked.alias("marked"))
 
 
-@query("SELECT o_orderkey, format('{:,.2f}', o_totalprice) AS price, CAST(o_orderkey % 100 AS VARCHAR) || '%' AS share FROM orders")
+@query("""
+WITH v AS (SELECT o_orderkey, o_totalprice, (o_orderkey % 100) / 4.0 AS x FROM orders)
+SELECT o_orderkey, format('{:,.2f}', o_totalprice) AS price, CAST(CAST(floor(x + 0.5) AS BIGINT) AS VARCHAR) || '%' AS share,
+  CASE WHEN x < 10 AND x % 1 > 0.01 THEN regexp_replace(format('{:.1f}', floor(x * 10 + 0.5) / 10), '\\.0$', '') ELSE CAST(CAST(floor(x + 0.5) AS BIGINT) AS VARCHAR) END || ' d' AS days FROM v""")
 def display_numbers(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", X.thousands(F.col("o_totalprice"), 2).alias("price"), X.value_label((F.col("o_orderkey") % 100).cast("double"), "%").alias("share"))
+    """Quarters, so that every other number is a half at the digit where it is cut."""
+    x = (F.col("o_orderkey") % 100) / 4.0
+    return table(spark, d, "orders").select("o_orderkey", X.thousands(F.col("o_totalprice"), 2).alias("price"), X.value_label(x, "%").alias("share"), X.value_label(x, " d").alias("days"))
