@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from quillspark.operators.joins import promote_header
 from quillspark.schema import coerce, drop_empty_rows, with_missing_columns
+from quillspark.sources.workbook import read_sheet
 
 PageDecoder = Callable[[bytes], list[str]]
 
@@ -79,13 +80,13 @@ def payload(spark: SparkSession, path: str, rows: str = "records") -> DataFrame:
     return spark.read.json(path, multiLine=True).select(F.explode(rows).alias("r")).select("r.*")
 
 
-def excel_sheet(spark: SparkSession, path: str, sheet: str, header: int = 1) -> DataFrame:
-    """A sheet of a workbook, read on the driver, where a reader library is installed; workbooks are small by nature."""
-    try:
-        frame = pd.read_excel(path, sheet_name=sheet, header=header)
-    except ImportError as e:
-        raise RuntimeError("no workbook reader is installed; save the sheet as CSV") from e
-    return drop_empty_rows(spark.createDataFrame(frame.astype(object).where(frame.notna(), None)))
+def excel_sheet(spark: SparkSession, path: str, sheet: str, header: int = 1, schema: T.StructType | None = None) -> DataFrame:
+    """A sheet of a workbook whose header is the row of index `header`, rows without a value left out.
+
+    Cells are strings unless `schema` says more: then values that don't fit are null, as are columns that are missing.
+    """
+    raw = read_sheet(spark, path, sheet, header)
+    return coerce(with_missing_columns(raw, schema), schema) if schema else raw
 
 
 #: A mapping that is read to the driver has so many rows at most; a longer one is an error, never cut.
