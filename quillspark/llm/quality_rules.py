@@ -28,12 +28,13 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 FENCE = 3
 #: A group with fewer documents takes the thresholds of its language, or of all documents.
 LEAST_DOCS = 100
-#: (measure, value, least interquartile range, whether low values fail too)
+#: (measure, value, least interquartile range, whether low values fail too). The least ranges leave room for what chance
+#: makes of the shortest texts that are judged, where one line that stands twice is a quarter of the words.
 MEASURES = [
-    ("chars_per_100_words", lambda: F.expr("100 * word_chars div n_words"), 25, True),
+    ("chars_per_100_words", lambda: F.expr("100 * word_chars div n_words"), 40, True),
     ("symbols_per_1000_words", lambda: F.expr("1000 * n_symbols div n_words"), 30, False),
     ("dup_lines_per_1000", lambda: F.expr("1000 * n_dup_lines div n_lines"), 150, False),
-    ("repeats_per_1000_words", lambda: F.expr("1000 * n_repeat_words div n_words"), 50, False),
+    ("repeats_per_1000_words", lambda: F.expr("1000 * n_repeat_words div n_words"), 100, False),
 ]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 
