@@ -167,7 +167,7 @@ WHERE NOT EXISTS (
 """
 
 
-WORD = "[^\\x20\\x09-\\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def with_periods(docs: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def with_periods(docs: DataFrame) -> DataFrame:
     a = g % n on becomes the word (i - a) % p after a, p = 1 + (n - a) div (3 + g % 8).
     """
     checked = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
-    words = F.expr(f"if(h % 10 = 0, regexp_extract_all(text, '{WORD}', 0), null)")
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
     placed = checked.withColumn("words", words).withColumn("n", F.size("words").cast("long")).withColumn("g", F.expr("h div 10"))
     placed = placed.withColumn("a", F.expr("if(n > 0, g % n, null)")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
     periodic = F.expr("array_join(transform(sequence(0L, n - 1), i -> words[cast(if(i < a, i, a + (i - a) % p) as int)]), ' ')")
@@ -226,7 +226,7 @@ w AS (
     quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.75) AS q3
   FROM c GROUP BY GROUPING SETS ((lang, source, k), (lang, k), (k))
 ), h AS (
-  SELECT level, lang, source, k, docs, q1 - 3 * greatest(q3 - q1, [25, 30, 150, 50][k + 1]) AS low, q3 + 3 * greatest(q3 - q1, [25, 30, 150, 50][k + 1]) AS high FROM f
+  SELECT level, lang, source, k, docs, q1 - 3 * greatest(q3 - q1, [40, 30, 150, 100][k + 1]) AS low, q3 + 3 * greatest(q3 - q1, [40, 30, 150, 100][k + 1]) AS high FROM f
 ), t AS (
   SELECT b.*, coalesce(o.low, l.low, a.low) AS low, coalesce(o.high, l.high, a.high) AS high,
     CASE b.k WHEN 0 THEN 100 * word_chars // n_words WHEN 1 THEN 1000 * n_symbols // n_words WHEN 2 THEN 1000 * n_dup_lines // n_lines ELSE 1000 * n_repeat_words // n_words END AS v

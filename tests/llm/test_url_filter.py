@@ -72,3 +72,12 @@ def test_columns_of_any_name_pass_through(spark, mapped):
     df = spark.createDataFrame([("http://com/", *names)], ["url", *names])
     row = filter_urls(df, URL_RULES, mapped=mapped).first()
     assert {n: row[n] for n in names} == {n: n for n in names} and (row.rule, row.verdict) == ("com/", "allow")
+
+
+def test_a_host_with_a_control_character(spark):
+    """No character of a host passes for its end, in either form of the index."""
+    rows = [("http://a\x01.example.com/en/x", "example.com/en/"), ("http://a\n.example.com/en/", "example.com/en/"), ("http://example.com\x01/en/", None), ("http://x.net\n/es/", None)]
+    df = spark.createDataFrame([(u,) for u, _ in rows], "url string")
+    for mapped in (512, 0):
+        got = {r.url: r.rule for r in filter_urls(df, [("block", "example.com", "/en/"), ("block", "net", "/es/")], mapped=mapped).collect()}
+        assert got == dict(rows)
