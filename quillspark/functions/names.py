@@ -3,19 +3,35 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _ascii(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode())
+@lru_cache
+def _foldings() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters whose compatibility decomposition has one ASCII character, and those where it has several."""
+    found = {}
+    for k in range(128, 0x30000):
+        if not 0xD800 <= k < 0xE000 and (t := unicodedata.normalize("NFKD", chr(k)).encode("ascii", "ignore").decode()):
+            found[chr(k)] = t
+    return {c: t for c, t in found.items() if len(t) == 1}, {c: t for c, t in found.items() if len(t) > 1}
 
 
 def to_ascii(c: Column) -> Column:
-    """Compatibility decomposition without what isn't ASCII; Spark has no built-in for it."""
-    return F.pandas_udf(_ascii, "string")(c)
+    """Compatibility decomposition without what isn't ASCII.
+
+    Nearly every letter has one ASCII letter and is translated; the few characters that have several, as ligatures do, are
+    looked up one by one, and only in texts that still hold some character beyond ASCII. The rest goes.
+    """
+    single, several = _foldings()
+    folded = F.translate(c, "".join(single), "".join(single.values()))
+    pairs = F.map_from_arrays(F.split(F.lit("\n".join(several)), "\n"), F.split(F.lit("\n".join(several.values())), "\n"))
+    one = lambda x: F.when(x.rlike(r"^[\x00-\x7f]$"), x).otherwise(F.coalesce(F.try_element_at(pairs, x), F.lit("")))
+    parts = F.transform(F.regexp_extract_all(folded, F.lit("(?s)."), F.lit(0)), one)
+    return F.when(folded.rlike(r"^[\x00-\x7f]*\z"), folded).otherwise(F.array_join(parts, ""))
 
 
 def clean_key(c: Column, ascii_only: bool = False) -> Column:

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import bisect
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
 
 from quillspark.functions.text import CONTENTS_LINE, canonical_prefix, division_author, export_prefix, is_table_line, noise_reason, plain, service_author, word_count
 from quillspark.schema import SERVICES
@@ -334,6 +336,27 @@ def extract_other(pages: DataFrame, groups: dict[str, str] | None = None) -> Dat
     return whole.mapInPandas(run, schema)
 
 
+@udtf(returnType="doc_id long, pages long, pages_before long, annex_pages long, words long, has_section boolean, services map<string, long>")
+class OtherNote:
+    """The measures of OTHER notes as a table function: `TABLE(pages) PARTITION BY doc_id ORDER BY page_no`.
+
+    Spark deals and sorts the pages of (doc_id, page_no, page_text); they come one after another, and no row or group holds
+    the pages of a note but this one, which the note's scan looks over as a whole.
+    """
+
+    def __init__(self) -> None:
+        self.doc, self.pages = None, []
+
+    def eval(self, page: Row) -> None:
+        self.doc = page["doc_id"]
+        self.pages.append(page["page_text"] or "")
+
+    def terminate(self) -> Iterator[tuple]:
+        if self.pages:
+            r = read_other(self.pages, OTHER_GROUPS)
+            yield self.doc, r["pages"], r["pages_before"], r["annex_pages"], r["words"], r["section"], r["services"]
+
+
 #: Fixed value: the date of a letterhead.
 LETTER_DATE = r"(?i)Luxembourg\b\s*,?\s*(\d{2}[/.]\d{2}[/.]\d{4})"
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillspark.functions.sql import register_tables
 from quillspark.operators import extraction as X
 from quillspark.plans.catalog import query
 from quillspark.plans.records import table
@@ -34,6 +35,14 @@ def other_opinion_scan(spark, d):
     return X.extract_other(_pages(spark, d, "6 OPINIONS FROM THE SERVICES", ["6.1 PJ Opinion", "Validated by SMITH John\n6.2 GR&C-RM Opinion", "Validated by DOE Jane\n6.3 JU Opinion", "Validated by ROE Ann\n"], "Validated by LAST Person"))
 
 
+@query()
+def other_notes_in_sql(spark, d):
+    """The OTHER notes by the table function: pages are dealt by note and come in order."""
+    register_tables(spark)
+    pages = _pages(spark, d, "6 OPINIONS FROM THE SERVICES", ["6.1 PJ Opinion", "Validated by SMITH John\n6.2 GR&C-RM Opinion", "Validated by DOE Jane\n6.3 JU Opinion", "Validated by ROE Ann\n"], "Validated by LAST Person")
+    return spark.sql("SELECT * FROM other_note(TABLE({pages}) PARTITION BY doc_id ORDER BY page_no)", pages=pages)
+
+
 @query("SELECT page_id AS doc_id, '0' || substr(CAST(page_id AS VARCHAR), 1, 1) || '/05/2024' AS date, CASE WHEN page_id < 100 THEN 1 ELSE 3 END AS stage FROM pages")
 def header_date_stages(spark, d):
     """Each page of the driver's web pages is a block at the right top of a letter."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import text as X
 from quillspark.functions.dates import filename_date, meta_date, parse_date, path_year, visible_date
 from quillspark.functions.names import clean_key, fold_key, repair_mojibake
+from quillspark.functions.sql import register
 from quillspark.operators import lines as L
 from quillspark.plans.catalog import query
 from quillspark.plans.records import table
@@ -237,3 +238,13 @@ def display_numbers(spark, d):
     """Quarters, so that every other number is a half at the digit where it is cut."""
     x = (F.col("o_orderkey") % 100) / 4.0
     return table(spark, d, "orders").select("o_orderkey", X.thousands(F.col("o_totalprice"), 2).alias("price"), X.value_label(x, "%").alias("share"), X.value_label(x, " d").alias("days"))
+
+
+@query(f"""
+SELECT doc_id, CAST(len(regexp_extract_all({flat_sql('text')}, '{WORD_SQL}')) AS BIGINT) AS words, md5({flat_sql('text')}) AS flat_md5,
+  regexp_replace(regexp_replace(regexp_replace(upper(strip_accents(text)), '\\.PDF$', ''), '^\\s*\\d+\\s*[.)_-]+\\s*', ''), '[^A-Z0-9]', '', 'g') AS key,
+  CASE WHEN length(source) > 28 THEN substr(source, 1, 27) || '...' ELSE source END AS short FROM documents""")
+def functions_in_sql(spark, d):
+    """Column functions by their names in SQL, over whole texts."""
+    register(spark)
+    return spark.sql("SELECT doc_id, word_count(text) AS words, md5(flatten_note(text)) AS flat_md5, clean_name(text) AS key, short_label(source) AS short FROM {docs}", docs=docs(spark, d))
