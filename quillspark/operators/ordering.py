@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,38 @@ def hashed_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)
 
 
+def drawn_positions(size: int, n: int, seed: int) -> list[int]:
+    """Places from 0, in rising order, of a sample without replacement of `n` of `size` things by the seeded generator.
+
+    What the generator draws depends on the two numbers only, so no pool has to be gathered for it.
+    """
+    if n <= 0:
+        raise ValueError("a sample has one row at least")
+    if n > size:
+        raise ValueError(f"{n} rows were asked for and {size} are there")
+    return sorted(random.Random(seed).sample(range(size), n))
+
+
+#: Places that one sample may draw: they are sent to the tasks that look for their rows.
+MOST_DRAWN = 1_000_000
+
+
+def seeded_sample(df: DataFrame, n: int, seed: int, *order: Column | str, method: str = "random") -> DataFrame:
+    """`n` rows of `df` in a total order: those that the seeded generator draws from the ordered rows, or the first ones.
+
+    Asking for none, or for more than there are, is an error.
+    """
+    held = Ranking(df, *order)
+    if method != "random":
+        drawn_positions(held.total, n, seed)
+        return held.page(1, n)
+    if n > MOST_DRAWN:
+        raise ValueError(f"a sample has {MOST_DRAWN} rows at most")
+    places = df.sparkSession.createDataFrame([(k + 1,) for k in drawn_positions(held.total, n, seed)], "_place long")
+    # MOST_DRAWN numbers at most.
+    return held.rows("_rank").join(F.broadcast(places), F.col("_rank") == F.col("_place")).orderBy("_rank").drop("_rank", "_place")
+
+
 def systematic(df: DataFrame, points: int, value: str, clip: float, *order: Column) -> DataFrame:
     """Every ceil(rows / points)-th row in order, with `value` held to its `clip` quantile over all rows."""
     row = summarise(df, [], F.count("*").alias("n"), quantile(value, clip, 9).alias("q")).first()

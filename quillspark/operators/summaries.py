@@ -29,6 +29,19 @@ def overview(records: DataFrame, *keys: str) -> DataFrame:
     return summarise(records, list(keys), *compact_stats())
 
 
+def overview_sets(records: DataFrame, sets: dict[str, list[str]]) -> DataFrame:
+    """The measures of several groupings in one pass: grouping, the union of their keys, measures.
+
+    A row of records stands once for each grouping, with null in the keys that it doesn't group by, before one partial
+    aggregation and one shuffle; `grouping` tells a key that is null from one that isn't grouped by.
+    """
+    keys = list(dict.fromkeys(k for own in sets.values() for k in own))
+    kinds = dict(records.dtypes)
+    rows = [F.struct(F.lit(name).alias("grouping"), *[(F.col(k) if k in own else F.lit(None).cast(kinds[k])).alias(f"_{k}") for k in keys]) for name, own in sets.items()]
+    spread = records.withColumn("_g", F.explode(F.array(*rows))).select("*", "_g.*").drop("_g")
+    return summarise(spread, ["grouping", *[f"_{k}" for k in keys]], *compact_stats()).withColumnsRenamed({f"_{k}": k for k in keys})
+
+
 def time_series(records: DataFrame, period: str) -> DataFrame:
     """By period and template; undated records are left out."""
     return overview(records.filter(F.col(period).isNotNull()), period, "template")

@@ -74,6 +74,12 @@ def hashed_sample_3000(spark, d):
     return O.hashed_sample(records(spark, d).select(*SHOWN), "note_id", 3000, 20260529)
 
 
+@query()
+def seeded_sample_150(spark, d):
+    """150 records as the seeded generator draws them from the file names in order."""
+    return O.seeded_sample(records(spark, d).select("file_name", *SHOWN), 150, 20260529, "file_name", "note_id")
+
+
 @query(with_records("""
 , g AS (SELECT template, max(words) AS top FROM records GROUP BY template), p AS (SELECT *, pow(10, floor(log10(top))) AS power FROM g)
 SELECT template, top, CASE WHEN top / power <= 1 THEN 1.0 WHEN top / power <= 2 THEN 2.0 WHEN top / power <= 2.5 THEN 2.5 WHEN top / power <= 5 THEN 5.0 ELSE 10.0 END::DOUBLE * power AS axis FROM p"""))

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.operators import summaries as S
+from quillspark.operators.trends import monthly
 from quillspark.plans.catalog import query
 from quillspark.plans.records import SERVICES, records, with_records
+from quillspark.sources.readers import excel_sheet
+from quillspark.sources.workbook import sheet_names, write_workbook
+from quillspark.stages import shared_dir
 
 TEAMS = {"PJ": "team_pj", "RM": "team_rm", "JU": "team_ju", "ECON": "team_econ"}
 
@@ -30,6 +37,23 @@ _overview("template_extraction_overview", "template", "extraction")
 _overview("batch_overview", "batch", "template")
 
 
+SETS = {"template": ["template"], "extraction": ["template", "extraction"], "batch": ["batch", "template"], "month": ["month", "template"], "year": ["year", "template"]}
+SET_KEYS = ["template", "extraction", "batch", "month", "year"]
+#: By which of SET_KEYS each grouping goes, as the bits that GROUPING tells.
+SET_BITS = {name: sum((k not in own) << (len(SET_KEYS) - 1 - n) for n, k in enumerate(SET_KEYS)) for name, own in SETS.items()}
+SETS_SQL = f"""
+, keyed AS (SELECT *, extraction AS by_extraction FROM records)
+SELECT CASE grouping(template, by_extraction, batch, month, year) {' '.join(f"WHEN {bits} THEN '{name}'" for name, bits in SET_BITS.items())} END AS grouping,
+  template, by_extraction AS extraction, batch, month, year, {STATS_SQL.replace("extraction = ", "keyed.extraction = ")}
+FROM keyed GROUP BY GROUPING SETS ({', '.join('(' + ', '.join('by_extraction' if k == 'extraction' else k for k in own) + ')' for own in SETS.values())})"""
+
+
+@query(with_records(SETS_SQL))
+def overview_grouping_sets(spark, d):
+    """The five overviews in one pass over the records; records without a month or year are a group of their own."""
+    return S.overview_sets(records(spark, d), SETS)
+
+
 @query(with_records(f"SELECT month, template, {STATS_SQL} FROM records WHERE month IS NOT NULL GROUP BY month, template"))
 def monthly_time_series(spark, d):
     return S.time_series(records(spark, d), "month")
@@ -224,3 +248,13 @@ SELECT batch, count(*) AS documents, string_agg(DISTINCT template, ', ' ORDER BY
   round(quantile_cont(coalesce(words, 0), 0.5), 4) AS words_median, min(validation_date) AS first_date, max(validation_date) AS last_date FROM records GROUP BY batch"""))
 def batch_summary(spark, d):
     return S.batches(records(spark, d))
+
+
+@query(with_records("SELECT month, template, count(*) AS documents, round(quantile_cont(words, 0.5), 4) AS words_median, round(quantile_cont(pages, 0.5), 4) AS pages_median FROM records WHERE month IS NOT NULL GROUP BY month, template"))
+def workbook_round_trip(spark, d):
+    """The months of all templates, written as a sheet of a workbook beside other tables, and read from it with types."""
+    months = monthly(records(spark, d)).orderBy("month", "template")
+    kept = T.StructType([T.StructField("month", T.DateType()), T.StructField("template", T.StringType()), T.StructField("documents", T.LongType()), T.StructField("words_median", T.DoubleType()), T.StructField("pages_median", T.DoubleType())])
+    path = f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}.xlsx"
+    write_workbook({"templates": S.value_counts(records(spark, d), "template"), "months of every template, in the order of time": months}, path)
+    return excel_sheet(spark, path, sheet_names(["months of every template, in the order of time"])[0], 0, kept)
