@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from quillspark.sources.files import created, opened
+
 #: Fixed values of the format: rows of a sheet and characters of its name at most, and characters that no name has.
 MOST_ROWS, NAME_CHARS, NOT_IN_NAMES = 1_048_576, 31, r"[\[\]:*?/\\]"
 #: The built-in number formats that show dates.
@@ -40,16 +42,6 @@ _ESCAPED = re.compile(r"_x([0-9A-Fa-f]{4})_")
 _NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
 
 
-def opened(path: str) -> IO[bytes]:
-    """A file by its path or URI, from the file system that it names."""
-    if "://" not in path and not path.startswith("file:"):
-        return open(path, "rb")
-    from pyarrow import fs
-
-    system, inner = fs.FileSystem.from_uri(path)
-    return system.open_input_file(inner)
-
-
 def _plain(s: str) -> str:
     """Text of the XML with its references and the format's own escapes resolved."""
     def entity(m: re.Match) -> str:
@@ -315,7 +307,7 @@ def write_workbook(tables: Mapping[str, DataFrame], path: str) -> None:
             raise ValueError(f"sheet {name} has {sizes[-1]} rows; a sheet holds {MOST_ROWS}")
     attribute = lambda s: s.replace("&", "&amp;").replace("<", "&lt;").replace('"', "&quot;")
     main, office, package = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships", "http://schemas.openxmlformats.org/package/2006"
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+    with created(path) as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as out:
         kinds = "".join(f'<Override PartName="/xl/worksheets/sheet{k}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for k in range(1, len(names) + 1))
         out.writestr("[Content_Types].xml", f'<?xml version="1.0" encoding="UTF-8"?><Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>{kinds}</Types>')
         out.writestr("_rels/.rels", f'<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="{package}/relationships"><Relationship Id="rId1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
