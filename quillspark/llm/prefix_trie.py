@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import lookup, release, settle
+from quillspark.llm.common import lookup, release
+from quillspark.llm.common import settle as written
 from quillspark.llm.turn_order import LANES, positions, running_sums, turn_lanes
 
 #: Identifiers that stand in one row of a node's list at most.
@@ -27,6 +28,15 @@ LISTED = 4096
 MOST_ROUNDS = 64
 
 
+#: A table of one row for each conversation is written in files of about so many rows, and in LEAST_FILES of them at least.
+FILE_ROWS, LEAST_FILES = 500_000, 16
+
+
+def settle(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Written to the shared folder; a table of about `rows` rows not in more files than it needs."""
+    return written(df if rows is None else df.coalesce(max(LEAST_FILES, rows // FILE_ROWS)), name)
+
+
 def numbered(turns: DataFrame) -> DataFrame:
     """conv_id, pos, role, text of the rows with a conv_id: by turn (null first), then role and text; nulls become empty."""
     clean = turns.filter("conv_id is not null").select(F.col("conv_id").cast("long").alias("conv_id"), "turn", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")])
@@ -44,7 +54,7 @@ def _digests(turns: DataFrame, convs: DataFrame) -> DataFrame:
 def _first_owned(convs: DataFrame, digests: DataFrame, nodes: DataFrame) -> DataFrame:
     """conv_id, turns, first: the least depth whose prefix the conversation owns; turns + 1 where it owns none."""
     total = max(1, convs.count())
-    state = settle(convs.select("conv_id", "turns", F.lit(0).cast("long").alias("low"), (F.col("turns") + 1).alias("high")), "search")
+    state = settle(convs.select("conv_id", "turns", F.lit(0).cast("long").alias("low"), (F.col("turns") + 1).alias("high")), "search", total)
     probed = nodes.select(F.struct("depth", *LANES).alias("prefix"), "owner", "n_convs")
     for _ in range(MOST_ROUNDS):
         if not state.filter("low < high").limit(1).count():
@@ -54,18 +64,18 @@ def _first_owned(convs: DataFrame, digests: DataFrame, nodes: DataFrame) -> Data
         told = lookup(keyed, probed, "prefix", "n_convs", total, F.col("conv_id"))
         owns = F.col("owner") == F.col("conv_id")
         moved = told.select("conv_id", "turns", F.when(owns, F.col("low")).otherwise(F.col("depth") + 1).alias("low"), F.when(owns, F.col("depth")).otherwise(F.col("high")).alias("high"))
-        after = settle(moved.unionByName(state.filter("low >= high")), "search")
+        after = settle(moved.unionByName(state.filter("low >= high")), "search", total)
         release(state)
         state = after
     raise RuntimeError(f"the search did not end in {MOST_ROUNDS} rounds")
 
 
-def _whole_subtrees(chains: DataFrame, sums: list[str]) -> DataFrame:
-    """conv_id and `sums` of `chains` (conv_id, parent or null, sums), each with those of all chains below added.
+def _whole_subtrees(chains: DataFrame, sums: list[str], rows: int) -> DataFrame:
+    """conv_id and `sums` of `chains` (conv_id, parent or null, sums; `rows` at most), each with those of all chains below added.
 
     Before round k a chain's sums cover the chains fewer than 2**k steps below it, and `parent` is 2**k steps above it.
     """
-    state = settle(chains.select("conv_id", "parent", *sums), "subtrees")
+    state = settle(chains.select("conv_id", "parent", *sums), "subtrees", rows)
     total = max(1, state.count())
     for _ in range(MOST_ROUNDS):
         below = state.filter("parent is not null").groupBy("parent").agg(F.count("*").alias("hung"), *[F.sum(c).alias(f"_{c}") for c in sums])
@@ -73,9 +83,9 @@ def _whole_subtrees(chains: DataFrame, sums: list[str]) -> DataFrame:
             return state.select("conv_id", *sums)
         added = state.join(below.withColumnRenamed("parent", "conv_id"), "conv_id", "left")
         added = added.select("conv_id", "parent", "hung", *[(F.col(c) + F.coalesce(F.col(f"_{c}"), F.lit(0))).alias(c) for c in sums])
-        added = settle(added, "added")
+        added = settle(added, "added", rows)
         above = added.filter("hung is not null").select(F.col("conv_id").alias("parent"), F.col("parent").alias("next"), "hung")
-        after = settle(lookup(added.drop("hung"), above, "parent", "hung", total, F.col("conv_id")).select("conv_id", F.col("next").alias("parent"), *sums), "subtrees")
+        after = settle(lookup(added.drop("hung"), above, "parent", "hung", total, F.col("conv_id")).select("conv_id", F.col("next").alias("parent"), *sums), "subtrees", rows)
         release(state, added)
         state = after
     raise RuntimeError(f"the sums did not end in {MOST_ROUNDS} rounds")
@@ -153,7 +163,7 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     digests = settle(_digests(turns, convs), "digests")
     minima = digests.groupBy("depth", *LANES).agg(F.min("conv_id").alias("owner"), F.count("*").alias("n_convs"), F.max("bytes").alias("bytes"))
     nodes = settle(minima, "minima")
-    found = settle(_first_owned(convs, digests, nodes), "first")
+    found = settle(_first_owned(convs, digests, nodes), "first", total)
     named = nodes.select(F.struct("depth", *LANES).alias("prefix"), F.col("owner").alias("at"), "n_convs")
 
     def holders(asked: DataFrame) -> DataFrame:
@@ -162,7 +172,7 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
         return lookup(keyed, named, "prefix", "n_convs", total, F.col("conv_id")).drop("prefix", "n_convs")
 
     chains = found.filter("first <= turns")
-    hung = settle(holders(chains.filter("first > 0").select("conv_id", (F.col("first") - 1).alias("depth"))).select("conv_id", "depth", F.col("at").alias("parent")), "hung")
+    hung = settle(holders(chains.filter("first > 0").select("conv_id", (F.col("first") - 1).alias("depth"))).select("conv_id", "depth", F.col("at").alias("parent")), "hung", total)
     copies = holders(found.filter("first > turns").select("conv_id", F.col("turns").alias("depth"))).select("conv_id", "depth", F.col("at").alias("owner"))
     ended = chains.select("conv_id", F.col("turns").alias("depth"), F.col("conv_id").alias("owner")).unionByName(copies)
     branches = hung.groupBy(F.col("parent").alias("owner"), "depth").agg(F.count("*").alias("branches"))
@@ -174,7 +184,7 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     own = settle(own.withColumn("leaves", (F.col("n_children") == 0).cast("long")), "own")
     # Bottom up: what a chain holds with all chains below it, added where it hangs, and then summed along each chain.
     alone = own.groupBy(F.col("owner").alias("conv_id")).agg(F.sum("saved").alias("saved"), F.sum("leaves").alias("leaves"))
-    subtrees = _whole_subtrees(alone.join(hung.select("conv_id", "parent"), "conv_id", "left"), ["saved", "leaves"])
+    subtrees = _whole_subtrees(alone.join(hung.select("conv_id", "parent"), "conv_id", "left"), ["saved", "leaves"], total)
     brought = hung.join(subtrees, "conv_id").groupBy(F.col("parent").alias("owner"), "depth").agg(F.sum("saved").alias("more_saved"), F.sum("leaves").alias("more_leaves"))
     here = own.join(brought, ["owner", "depth"], "left").select(
         "owner", (F.col("depth") + 1).alias("pos"), "n_convs", "n_children",
