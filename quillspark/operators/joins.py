@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillspark.operators.containment import held_and_holding
+
 
 def first_rows(df: DataFrame, key: str, order: str) -> DataFrame:
     """One row for each key, the first in the source's order; a null key is a key."""
@@ -31,19 +33,14 @@ def master_columns(df: DataFrame) -> DataFrame:
     return out.drop("bo_afs_date", "bo_pin_gng_date", "bo_author", "bo_product", "bo_flag", "bo_pj", "bo_rm", "bo_ju", "bo_sg", "bo_process")
 
 
-#: Characters of the piece by which a shorter name is looked up inside longer ones; names with fewer are looked up whole.
-GRAM = 6
-
-
 def match_cascade(notes: DataFrame, files: DataFrame) -> DataFrame:
     """Each note's file by the first of four tiers that finds one.
 
     notes: id, template, name, clean; files: file, template, name, clean, ordinal. The tiers: the same name (the last
     such file), the only file of the template with the clean name, the only file at all with it, the only file of the
     template whose clean name contains the note's or lies in it. Whether a candidate is the only one is decided over all
-    files, before earlier tiers take any. The last tier meets by template and one piece of GRAM characters of the shorter
-    name, wherever it stands in the longer: the piece that the fewest names of the template have, so that a start or an
-    end that all names share brings no two together. A clean name shorter than that meets the pieces of its length.
+    files, before earlier tiers take any. The last tier looks for all names of a template at once in each of its names, by
+    an automaton, and keeps the least and greatest file that fits: the two are the same where it is the only one.
     """
     exact = files.groupBy("name").agg(F.max_by("file", "ordinal").alias("file1"))
     in_template = files.groupBy("template", "clean").agg(F.max("file").alias("file2"), F.count("*").alias("n2"))
@@ -53,29 +50,10 @@ def match_cascade(notes: DataFrame, files: DataFrame) -> DataFrame:
     method = F.when(F.col("file1").isNotNull(), "exact_file_name").when(F.col("n2") == 1, "template_clean_name").when(F.col("n3") == 1, "global_clean_name")
     first = found.select("id", "template", "clean", early.alias("early"), method.alias("method"))
     left = first.filter("early is null and clean <> ''").select("id", "template", "clean")
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - GRAM + 1)), lambda i: F.substring(c, i, GRAM)))
-    cut = lambda c, n: F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.substring(c, i, n))
-    pieces = lambda c: F.array_distinct(F.flatten(F.array(*[cut(c, n) for n in range(1, GRAM)])))
-    a = left.select("id", "template", F.col("clean").alias("mine"))
-    # A note's file is the only one if the least and the largest of those that fit are the same, however often one is met.
-    b = files.filter("clean <> ''").groupBy("template", F.col("clean").alias("theirs")).agg(F.min("file").alias("low"), F.max("file").alias("high"))
-    long_a, long_b = a.filter(F.length("mine") >= GRAM), b.filter(F.length("theirs") >= GRAM)
-    names = long_a.select("template", F.col("mine").alias("name")).union(long_b.select("template", F.col("theirs").alias("name"))).distinct()
-    pieced = names.select("template", "name", F.explode(grams(F.col("name"))).alias("g"))
-    common = pieced.groupBy("template", "g").agg(F.count("*").alias("n"))
-    rarest = pieced.join(common, ["template", "g"]).groupBy("template", "name").agg(F.min(F.struct("n", "g")).alias("best")).select("template", "name", F.col("best.g").alias("g"))
-    filed_a = long_a.join(rarest.withColumnRenamed("name", "mine"), ["template", "mine"])
-    filed_b = long_b.join(rarest.withColumnRenamed("name", "theirs"), ["template", "theirs"])
-    inside = long_a.select("*", F.explode(grams(F.col("mine"))).alias("g")).join(filed_b, ["template", "g"]).filter(F.contains("mine", "theirs"))
-    around = long_b.select("*", F.explode(grams(F.col("theirs"))).alias("g")).join(filed_a, ["template", "g"]).filter(F.contains("theirs", "mine"))
-    short_b = b.filter(F.length("theirs") < GRAM).withColumnRenamed("theirs", "g")
-    short_inside = a.select("id", "template", F.explode(pieces(F.col("mine"))).alias("g")).join(short_b, ["template", "g"])
-    # The files around a short name are counted once for the name, not for each note that has it.
-    short_a = a.filter(F.length("mine") < GRAM).withColumnRenamed("mine", "g")
-    met = b.select("template", F.explode(pieces(F.col("theirs"))).alias("g"), "low", "high").join(short_a.select("template", "g").distinct(), ["template", "g"])
-    short_around = short_a.join(met.groupBy("template", "g").agg(F.min("low").alias("low"), F.max("high").alias("high")), ["template", "g"])
-    hits = reduce(DataFrame.union, [x.select("id", "low", "high") for x in (inside, around, short_inside, short_around)])
-    only = hits.groupBy("id").agg(F.min("low").alias("low"), F.max("high").alias("late")).filter("low = late")
+    names = left.select(F.col("template").alias("grp"), F.col("clean").alias("text")).filter("grp is not null").distinct()
+    held = files.filter("clean <> '' and template is not null").groupBy(F.col("template").alias("grp"), F.col("clean").alias("text")).agg(F.min("file").alias("low"), F.max("file").alias("high"))
+    met = held_and_holding(names, held).filter("low = high").select(F.col("grp").alias("template"), F.col("text").alias("clean"), F.col("low").alias("late"))
+    only = left.join(met, ["template", "clean"]).select("id", "late")
     out = first.join(only, "id", "left")
     return out.select("id", F.coalesce("early", "late").alias("file"), F.coalesce("method", F.when(F.col("late").isNotNull(), "template_clean_contains"), F.lit("unmatched")).alias("match_method"))
 
