@@ -220,6 +220,41 @@ def extract_afs(pages: DataFrame) -> DataFrame:
     return out.select("doc_id", F.lit("AFS").alias("template"), "pages", F.col("start_page").alias("pages_before"), (F.col("pages") - F.col("annex_from")).alias("annex_pages"), F.coalesce("before", F.lit(0)).alias("words"), "mode", *SERVICES)
 
 
+def afs_provenance(pages: DataFrame) -> DataFrame:
+    """By document how its rows came about: how its opinions were found and where, what closed them, which lines of theirs
+    were left out and why, and which lines open an opinion and whether they count.
+
+    An opening line counts if it stands among the opinions; those before them, behind their end and on contents pages don't.
+    """
+    lines = afs_lines(pages)
+    starts = afs_start(lines)
+    t, doc = F.col("t"), W.partitionBy("doc_id")
+    own = lines.join(starts, "doc_id", "left").withColumn("live", (F.col("ord") >= F.col("opens")) & (~F.col("on_contents") | (F.col("page_no") == F.col("start_page"))))
+    opened = F.min(F.when(F.col("live") & F.col("prefix").isNotNull(), F.col("ord"))).over(doc)
+    own = own.withColumn("opened", opened)
+    closing = F.col("live") & (F.col("is_timetable") | (F.col("is_committee") & (F.col("ord") >= F.col("opened"))))
+    own = own.withColumn("stop", F.min(F.when(closing, F.col("ord"))).over(doc))
+    inside = F.coalesce(F.col("live") & (F.col("stop").isNull() | (F.col("ord") < F.col("stop"))), F.lit(False))
+    own = own.withColumns({"inside": inside, "reason": F.when(inside, noise_reason(t, "AFS"))})
+    listed = lambda flag, *columns: F.array_sort(F.collect_list(F.when(flag, F.struct("ord", *columns))))
+    return own.groupBy("doc_id").agg(
+        F.max("mode").alias("mode"), F.max(F.when(F.col("ord") == F.col("start"), F.col("line"))).alias("start_text"), F.max("start_page").alias("start_page"), F.max("start").alias("start_line"),
+        F.max(F.when(F.col("ord") == F.col("stop"), F.col("line"))).alias("stop_text"), F.max("stop").alias("stop_line"), listed(F.col("reason").isNotNull(), "line", "reason").alias("removed"),
+        listed(F.col("prefix").isNotNull(), "line", "prefix", F.col("inside").alias("accepted")).alias("headings"),
+    )
+
+
+def annex_provenance(pages: DataFrame, template: str) -> DataFrame:
+    """By document the line at which its annexes begin: doc_id, annex_text, annex_page, annex_line, after (the timetable's line)."""
+    lines = page_lines(pages)
+    t = F.col("t")
+    timetable, annex = (AFS_TIMETABLE, AFS_ANNEX) if template == "AFS" else (GNG_STOP, GNG_ANNEX)
+    marked = lines.withColumn("after", F.min(F.when(t.rlike(timetable), F.col("ord"))).over(W.partitionBy("doc_id")))
+    behind = F.col("ord") >= (F.coalesce("after", F.lit(0)) if template == "AFS" else F.col("after"))
+    hit = marked.filter(t.rlike(annex) & behind).groupBy("doc_id").agg(F.min_by(F.struct("line", "page_no", "ord"), "ord").alias("at"), F.max("after").alias("after"))
+    return hit.select("doc_id", F.col("at.line").alias("annex_text"), F.col("at.page_no").alias("annex_page"), F.col("at.ord").alias("annex_line"), "after")
+
+
 #: Patterns of the OTHER template.
 _SECTION = re.compile(r"6\s+OPINIONS\s+FROM\s+THE\s+SERVICES|OPINIONS\s+FROM\s+THE\s+SERVICES", re.IGNORECASE)
 _HEADER = re.compile(r"\b\d+\.\d+\b.{0,80}\bOpinion\b", re.IGNORECASE)
@@ -245,6 +280,9 @@ class Opinions:
     section: bool = False
     words: dict[str, int] = field(default_factory=dict)
     last_end: int | None = None
+    #: (start, header, service, what closes it, words, whether it counts) of every header that is looked at.
+    seen: list[tuple[int, str, str | None, str | None, int | None, bool]] = field(default_factory=list)
+    title: str | None = None
 
 
 def _owner(header: str, keyed: list[tuple[str, str]], near: int) -> str | None:
@@ -265,18 +303,21 @@ def opinions_of(text: str, groups: dict[str, str], near: int = 18) -> Opinions:
         return Opinions()
     keyed = sorted(((_key(p), service) for p, service in groups.items() if _key(p)), key=lambda x: -len(x[0]))
     closings = _spans(_END, text, title.end())
-    out, free = Opinions(section=True), title.end()
+    out, free = Opinions(section=True, title=title[0]), title.end()
     for start, end in _spans(_HEADER, text, title.end()):
         if start < free:
             continue
         service, free = _owner(text[start:end], keyed, near), end
         if service is None:
+            out.seen.append((start, text[start:end], None, None, None, False))
             continue
         after = bisect.bisect_left(closings, (end, end))
         if after == len(closings):
+            out.seen.append((start, text[start:end], service, None, None, False))
             break
         close, free = closings[after]
         words = _ascii_words(text[end:close])
+        out.seen.append((start, text[start:end], service, text[close:free], words, words > 1))
         if words > 1:
             out.words[service] = out.words.get(service, 0) + words
             out.last_end = free
@@ -336,6 +377,24 @@ def extract_other(pages: DataFrame, groups: dict[str, str] | None = None) -> Dat
     return whole.mapInPandas(run, schema)
 
 
+def other_provenance(pages: DataFrame, groups: dict[str, str] | None = None) -> DataFrame:
+    """By document what its scan for opinions looked at: doc_id, title (null without the section), headers in order, each
+    with its service, the validation that closes it, its words, and whether it counts."""
+    groups = groups or OTHER_GROUPS
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", F.coalesce("page_text", F.lit("")).alias("p")))), lambda x: x["p"]), "\n")
+    whole = pages.groupBy("doc_id").agg(body.alias("text"))
+
+    def run(frames):
+        for pdf in frames:
+            rows = []
+            for doc, text in zip(pdf.doc_id, pdf["text"], strict=True):
+                found = opinions_of(re.sub(r"\s+", " ", text.replace("\u200b", "")).strip(), groups)
+                rows.append([doc, found.title, [dict(zip(("start", "header", "service", "closing", "words", "accepted"), x, strict=True)) for x in found.seen]])
+            yield pd.DataFrame(rows, columns=["doc_id", "title", "headers"])
+
+    return whole.mapInPandas(run, "doc_id long, title string, headers array<struct<start:long,header:string,service:string,closing:string,words:long,accepted:boolean>>")
+
+
 @udtf(returnType="doc_id long, pages long, pages_before long, annex_pages long, words long, has_section boolean, services map<string, long>")
 class OtherNote:
     """The measures of OTHER notes as a table function: `TABLE(pages) PARTITION BY doc_id ORDER BY page_no`.
@@ -362,7 +421,13 @@ LETTER_DATE = r"(?i)Luxembourg\b\s*,?\s*(\d{2}[/.]\d{2}[/.]\d{4})"
 
 
 def header_dates(blocks: DataFrame, pages: list[int] | None = None, left: float = 0.40, top: float = 0.55) -> DataFrame:
-    """doc_id, date (DD/MM/YYYY), stage: a note's date from its blocks (doc_id, page_no, page_w, page_h, x0, y0, x1, y1, text, ord).
+    """doc_id, date (DD/MM/YYYY), stage; see header_date_provenance."""
+    return header_date_provenance(blocks, pages, left, top).select("doc_id", "date", "stage")
+
+
+def header_date_provenance(blocks: DataFrame, pages: list[int] | None = None, left: float = 0.40, top: float = 0.55) -> DataFrame:
+    """doc_id, date (DD/MM/YYYY), stage, trigger (the date's line), page_no, x0, y0, candidates (lines with a date): a note's
+    date from its blocks (doc_id, page_no, page_w, page_h, x0, y0, x1, y1, text, ord).
 
     First the letter date in a marker's line or the four after it, in the right upper area; then the topmost, rightmost
     letter date there; then the first one anywhere on the page. Pages are tried in order, the first page before others.
@@ -376,8 +441,8 @@ def header_dates(blocks: DataFrame, pages: list[int] | None = None, left: float
     stage = F.when(F.col("inside") & (near == 1), 1).when(F.col("inside"), 2).otherwise(3)
     ranked = marked.withColumn("stage", stage).filter("date is not null")
     place = F.struct("stage", "page_no", F.when(F.col("stage") == 2, F.col("y0")).alias("y"), F.when(F.col("stage") == 2, -F.col("x1")).alias("x"), "ord", "at")
-    best = ranked.groupBy("doc_id").agg(F.min_by(F.struct("date", "stage"), place).alias("b"))
-    return best.select("doc_id", F.regexp_replace("b.date", r"\.", "/").alias("date"), F.col("b.stage").alias("stage"))
+    best = ranked.groupBy("doc_id").agg(F.min_by(F.struct("date", "stage", F.col("line").alias("trigger"), "page_no", "x0", "y0"), place).alias("b"), F.count("*").alias("candidates"))
+    return best.select("doc_id", F.regexp_replace("b.date", r"\.", "/").alias("date"), F.col("b.stage").alias("stage"), "b.trigger", "b.page_no", "b.x0", "b.y0", "candidates")
 
 
 def author_after_date(lines: DataFrame, within: int = 10) -> DataFrame:

@@ -66,14 +66,63 @@ def corner_dates_and_authors(spark, d):
     return X.corner_date_author(c.select("doc_id", F.posexplode(lines).alias("ord", "text")))
 
 
-@query("""
-SELECT conv_id AS doc_id, true AS section_found, '6. Services'' acknowledgement' AS section_text, CAST(2 AS INTEGER) AS section_page, 'Expected timetable' AS stop_text, 1::BIGINT AS removed, 1::BIGINT AS headings
-FROM conversations GROUP BY conv_id HAVING max(turn) >= 2""")
+#: Pages made of the turns of conversations of three turns or more, with what opens and closes the sections of a note.
+NOTE_SQL = """
+WITH c AS (SELECT conv_id, turn, text, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations),
+p AS (SELECT conv_id, turn, CASE WHEN turn = 1 THEN text || chr(10) || {opening} || chr(10) || text WHEN turn = last THEN text || chr(10) || {closing} ELSE text END AS page FROM c WHERE last >= 2),
+l AS (SELECT conv_id, turn, i, trim(string_split(page, chr(10))[i]) AS line FROM (SELECT conv_id, turn, page, unnest(range(1, len(string_split(page, chr(10))) + 1)) AS i FROM p)),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, i) AS ord FROM l)
+"""
+
+
+def _marked_pages(spark, d, opening: str, closing: str):
+    c = table(spark, d, "conversations").withColumn("last", F.max("turn").over(W.partitionBy("conv_id"))).filter("last >= 2")
+    page = F.when(F.col("turn") == 1, F.concat("text", F.lit(f"\n{opening}\n"), "text")).when(F.col("turn") == F.col("last"), F.concat("text", F.lit(f"\n{closing}"))).otherwise(F.col("text"))
+    return c.select(F.col("conv_id").alias("doc_id"), (F.col("turn") + 1).cast("int").alias("page_no"), page.alias("page_text"))
+
+
+def _removed_and_headings(found):
+    reasons = F.array_join(F.transform("removed", lambda r: F.concat_ws(":", r["ord"], r["reason"])), ";")
+    return found.withColumns({"removed": F.md5(reasons), "n_removed": F.size("removed").cast("long"), "headings": F.array_join(F.transform(F.filter("headings", lambda h: h["accepted"]), lambda h: h["prefix"]), ";")})
+
+
+GNG_OPENING, GNG_CLOSING = "6. Services\u2019 acknowledgement\nPJ contribution\nPJ\nGR&C - RM", "- 3 -\n\nMC_GNG 7\nExpected timetable"
+AFS_OPENING, AFS_CLOSING = "4. Services Opinions\nPJ Opinion\nA. SG ECON input", "- 3 -\nMC AFS 2\nfor Corporate use\n5. Timetable"
+_lines_sql = lambda text: " || chr(10) || ".join("'" + x.replace("'", "''") + "'" for x in text.split("\n"))
+
+
+@query(NOTE_SQL.format(opening=_lines_sql(GNG_OPENING), closing=_lines_sql(GNG_CLOSING)) + r"""
+, s AS (SELECT conv_id, min(ord) FILTER (starts_with(line, '6. Services')) AS a, min(ord) FILTER (line = 'Expected timetable') AS b, min(turn) FILTER (starts_with(line, '6. Services')) AS page FROM n GROUP BY conv_id),
+r AS (
+  SELECT n.conv_id, ord, line, CASE WHEN line = '' THEN 'blank line' WHEN regexp_matches(line, '^\s*-\s*\d+\s*-\s*$') THEN 'page number' WHEN regexp_matches(line, '(?i)\b\d+\s+of\s+\d+\b') THEN 'x of y page marker'
+    WHEN regexp_matches(line, '(?i)\bMC[_\s-]?GNG\b') THEN 'MC_GNG footer' WHEN lower(line) = 'corporate use' THEN 'Corporate Use footer' END AS reason
+  FROM n JOIN s ON s.conv_id = n.conv_id AND ord BETWEEN a AND b)
+SELECT s.conv_id AS doc_id, true AS section_found, '6. Services'' acknowledgement' AS section_text, CAST(s.page + 1 AS INTEGER) AS section_page, 'Expected timetable' AS stop_text, CAST(s.b AS INTEGER) AS stop_line,
+  md5(coalesce(string_agg(ord || ':' || reason, ';' ORDER BY ord) FILTER (reason IS NOT NULL), '')) AS removed, count(reason) AS n_removed, 'PJ;GR&C-RM' AS headings
+FROM s JOIN r ON r.conv_id = s.conv_id GROUP BY s.conv_id, s.page, s.b""")
 def gng_note_provenance(spark, d):
-    """What opened and closed the section of each note of three pages or more, and what was left out."""
-    c = table(spark, d, "conversations").select("conv_id", "turn").distinct()
-    last = F.max("turn").over(W.partitionBy("conv_id"))
-    text = F.when(F.col("turn") == 1, "first\n6. Services’ acknowledgement\nPJ contribution\nfine").when(F.col("turn") == F.col("last"), "- 3 -\nExpected timetable").otherwise("plain words")
-    pages = c.withColumn("last", last).filter("last >= 2").select(F.col("conv_id").alias("doc_id"), (F.col("turn") + 1).cast("int").alias("page_no"), text.alias("page_text"))
-    found = X.gng_provenance(pages)
-    return found.select("doc_id", "section_found", "section_text", "section_page", "stop_text", F.size("removed").cast("long").alias("removed"), F.size(F.filter("headings", lambda h: h["accepted"])).cast("long").alias("headings"))
+    """What opened and closed the section of each note, which lines of its whole text were left out, and its headings."""
+    found = X.gng_provenance(_marked_pages(spark, d, GNG_OPENING, GNG_CLOSING))
+    return _removed_and_headings(found).select("doc_id", "section_found", "section_text", "section_page", "stop_text", "stop_line", "removed", "n_removed", "headings")
+
+
+@query(NOTE_SQL.format(opening=_lines_sql(AFS_OPENING), closing=_lines_sql(AFS_CLOSING)) + r"""
+, s AS (SELECT conv_id, min(ord) FILTER (line = 'PJ Opinion') AS a, min(ord) FILTER (line = '5. Timetable') AS b, min(turn) FILTER (line = 'PJ Opinion') AS page FROM n GROUP BY conv_id),
+r AS (
+  SELECT n.conv_id, ord, line, CASE WHEN line = '' THEN 'blank line' WHEN regexp_matches(line, '^\s*-\s*\d+\s*-\s*$') THEN 'page number' WHEN regexp_matches(line, '(?i)\b\d+\s+of\s+\d+\b') THEN 'x of y page marker'
+    WHEN regexp_matches(line, '(?i)\bMC\s+AFS\b') THEN 'MC AFS footer' WHEN regexp_matches(line, '(?i)\bConfidential\b') THEN 'Confidential footer/header' WHEN regexp_matches(line, '(?i)corporate use') THEN 'Corporate Use footer' END AS reason
+  FROM n JOIN s ON s.conv_id = n.conv_id AND ord >= a AND ord < b)
+SELECT s.conv_id AS doc_id, 'primary_to_first_counted' AS mode, 'PJ Opinion' AS start_text, CAST(s.page + 1 AS INTEGER) AS start_page, CAST(s.a AS INTEGER) AS start_line, '5. Timetable' AS stop_text, CAST(s.b AS INTEGER) AS stop_line,
+  md5(coalesce(string_agg(ord || ':' || reason, ';' ORDER BY ord) FILTER (reason IS NOT NULL), '')) AS removed, count(reason) AS n_removed, 'PJ;SG ECON' AS headings
+FROM s JOIN r ON r.conv_id = s.conv_id GROUP BY s.conv_id, s.page, s.a, s.b""")
+def afs_note_provenance(spark, d):
+    """How the opinions of each note were found and closed, which lines of them were left out, and what opens them."""
+    found = X.afs_provenance(_marked_pages(spark, d, AFS_OPENING, AFS_CLOSING))
+    return _removed_and_headings(found).select("doc_id", "mode", "start_text", "start_page", "start_line", "stop_text", "stop_line", "removed", "n_removed", "headings")
+
+
+@query()
+def other_note_provenance(spark, d):
+    """Every header that the scan of an OTHER note looks at, and what became of it."""
+    found = X.other_provenance(_marked_pages(spark, d, "6 OPINIONS FROM THE SERVICES\n6.1 PJ Opinion", "Validated by SMITH John\n6.2 QQ Opinion\n6.3 JU Opinion\nValidated by DOE Jane\n6.4 ECON Opinion"))
+    return found.select("doc_id", "title", F.explode("headers").alias("h")).select("doc_id", "title", "h.*")
