@@ -147,3 +147,36 @@ def test_dispatch(spark):
         dispatch("PIN", p)
     with pytest.raises(ValueError, match="not enabled: later"):
         dispatch("PIN", p, {"PIN": NoteType(X.extract_gng, "pin", enabled=False, notes="later")})
+
+
+def test_provenance_of_afs_notes(spark):
+    got = rows(X.afs_provenance(pages(spark, AFS, ["plain text only"], ["text\nJU\njust ju words\n\n- 2 -\nConfidential\nTimetable\nJU\nno"])))
+    r = got[1]
+    assert (r["mode"], r["start_text"], r["start_page"], r["stop_text"]) == ("primary_to_first_counted", "A. PJ Opinion", 3, "Project Committee")
+    # The contents page names an opinion that doesn't count; the footer is left out.
+    assert [(h["prefix"], h["accepted"]) for h in r["headings"]] == [("PJ", False), ("PJ", True), ("OPS", True), ("OCCO", True)]
+    assert [(x["line"], x["reason"]) for x in r["removed"]] == [("MC AFS 12", "MC AFS footer")]
+    assert (got[2]["mode"], got[2]["removed"], got[2]["headings"], got[2]["stop_text"]) == (None, [], [], None)
+    assert [x["reason"] for x in got[3]["removed"]] == ["blank line", "page number", "Confidential footer/header"]
+    assert [(h["prefix"], h["accepted"]) for h in got[3]["headings"]] == [("JU", True), ("JU", False)]
+
+
+def test_provenance_of_other_notes(spark):
+    note = ["6 OPINIONS FROM THE SERVICES 6.1 Unknown Opinion", FILL * 5, "6.2 PJ Opinion one Validated by SMITH John", FILL * 5, "6.3 JU Opinion two words Validated by ROE Ann", FILL * 5, "6.4 ECON Opinion no end"]
+    got = rows(X.other_provenance(pages(spark, note, ["nothing"])))
+    seen = [(h["service"], h["closing"], h["words"], h["accepted"]) for h in got[1]["headers"]]
+    assert seen == [(None, None, None, False), ("PJ", "Validated by SMITH John", 1, False), ("JU", "Validated by ROE Ann", 2, True), ("ECON", None, None, False)]
+    assert got[1]["title"] == "6 OPINIONS FROM THE SERVICES" and (got[2]["title"], got[2]["headers"]) == (None, [])
+
+
+def test_where_annexes_begin(spark):
+    got = rows(X.annex_provenance(pages(spark, AFS, ["Fact Sheet validation\n5. Timetable"], ["fact sheet validation"]), "AFS"))
+    assert [(d, r["annex_text"], r["annex_page"], r["after"] is not None) for d, r in sorted(got.items())] == [(1, "Fact Sheet validation", 4, True), (3, "fact sheet validation", 1, False)]
+    gng = rows(X.annex_provenance(pages(spark, ["Expected timetable", "GNG validation"], ["GNG validation"]), "GNG"))
+    assert {d: (r["annex_text"], r["annex_page"]) for d, r in gng.items()} == {1: ("GNG validation", 2)}
+
+
+def test_provenance_of_header_dates(spark):
+    blocks = [(1, 1, 600.0, 800.0, 300.0, 20.0, 500.0, 60.0, "x\nLuxembourg, 01.02.2024 ref", 1), (1, 1, 600.0, 800.0, 10.0, 700.0, 90.0, 720.0, "Luxembourg 03/04/2020", 2)]
+    r = X.header_date_provenance(spark.createDataFrame(blocks, "doc_id int, page_no int, page_w double, page_h double, x0 double, y0 double, x1 double, y1 double, text string, ord int")).first()
+    assert (r.date, r.stage, r.trigger, r.page_no, r.x0, r.y0, r.candidates) == ("01/02/2024", 2, "Luxembourg, 01.02.2024 ref", 1, 300.0, 20.0, 2)
