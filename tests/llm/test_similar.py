@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark.llm.embedding_dedup import bucket_keys, embedding_links, hadamard
-from quillspark.llm.jaccard_join import Order, Tuning, _cells, jaccard_components
+from quillspark.llm.jaccard_join import ENTRY, Order, Tuning, _cells, _crowded, _enter, jaccard_components
 from quillspark.llm.wordhash import Words
 
 
@@ -242,6 +242,39 @@ def test_window_meets_every_partner():
         assert set(chosen[owner == 0].tolist()) & set(chosen[owner == 1].tolist())
 
 
+def crowded(sets, most, crowd=(2, 4)):
+    """The filters of one bucket that holds all shingles of the sets."""
+    packed = [(np.concatenate(sets) >> np.uint64(32)).astype("<u4").tobytes()]
+    batches = [pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array(packed, pa.binary())], ["bucket", "marks"])]
+    return [tuple(r.values()) for b in _crowded(crowd, most)(iter(batches)) for r in b.to_pylist()]
+
+
+def test_filter_of_many_shingles_has_fewer_bits():
+    """A level of more shingles than fit at full width keeps a filter, which rules some shingles out and never one of its own."""
+    rng = np.random.default_rng(2)
+    both, one = rng.integers(0, 2**63, 3000, dtype="u8"), rng.integers(0, 2**63, 3000, dtype="u8")
+    filters = crowded([both, both, one], 12_000)
+    assert [level for _, level, _ in filters] == [1] and 8 * len(filters[0][2]) == 12_000
+    order = Order(1, iter(filters))
+    assert (order.levels(both) == 1).all() and not order.alone(both, order.levels(both)).any()
+    assert order.alone(one, order.levels(one)).mean() > 0.5
+
+
+def test_shingles_of_one_set_are_not_entered():
+    """They open no region, so nothing of them is shuffled; those of two sets are all there."""
+    texts = [" ".join(f"{name}{k}" for k in range(40)) + " " + " ".join(f"both{k}" for k in range(20)) for name in "ab"]
+    sets = Words([t.encode() for t in texts]).shingles(5)
+    order = type("Sent", (), {"value": Order(1, crowded(sets, 1 << 20))})
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array(texts)], ["doc_id", "text"])
+    def entered(single):
+        out = _enter(5, 10, 0, order, (1, 1, 1), 1, single)(iter([batch]))
+        return [s for b in out for raw in b.column(1).to_pylist() for s in np.frombuffer(raw, ENTRY)["s"].tolist()]
+
+    common = set(np.intersect1d(*sets).tolist())
+    some, every = entered(True), entered(False)
+    assert len(some) < len(every) / 3 and sorted(s for s in some if s in common) == sorted(s for s in every if s in common)
+
+
 def test_words_match_the_definition():
     texts = [b"", b" a\x0bB\x0c\r\nc ", "é\u00a0x Y".encode(), b"one two three four five six", b"ONE two three four five"]
     w = Words(texts)
