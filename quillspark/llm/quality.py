@@ -1,6 +1,6 @@
 """Quality scores by Bradley-Terry ranking.
 
-Preference pairs of labelled documents, a good one over a bad one, train weights by logistic loss on the difference of
+All pairs of labelled documents, a good one over a bad one, train weights by logistic loss on the difference of
 their features; a document's worth is the weighted sum of its own. The cut between bad and good is the quantile of
 training worths at the share of bad documents, and the score is the logistic of the distance to it.
 
@@ -20,8 +20,12 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import release, settle
 from quillspark.llm.wordhash import Words, together
 
-#: The bound of the training sample, in labelled documents, and the preference pairs drawn from it.
-SAMPLE, PAIRS = 20_000, 100_000
+#: The preference pairs that train draws from a matrix; fit takes all pairs.
+PAIRS = 100_000
+#: Worths are counted in bins of one FINENESS-th, by their means, and in so many at most; curvature rests on COARSE bins.
+FINENESS, BINS, COARSE = 64, 4096, 64
+#: Newton steps of fit at most, and the step at which it ends; sums are merged in so many slices.
+STEPS, LEAST_STEP, SLICES = 30, 1e-5, 16
 
 NAMES = ("log_words", "word_bytes", "upper", "digit", "bang", "pipe", "symbol", "stop", "comma", "bracket", "slash", "quote", "distinct", "repeat_next", "top_word", "again5", "lines", "long_word", "short_text", "other")
 #: Classes that the words, and the runs of three characters, of a text are hashed to: two to the power of 7.
@@ -156,25 +160,156 @@ def _by_document(fn, schema: str):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
-    """A model from documents that `labels` (doc_id, quality 0 or 1) marks; labels of other values count for nothing.
+def _standard(column: pa.Array, model: dict) -> np.ndarray:
+    """Packed features, scaled as worths scales them."""
+    x = np.frombuffer(b"".join(column.to_pylist()), "<f4").astype("f8").reshape(-1, WIDTH)
+    return ((x - model["mean"]) / model["spread"]).clip(-8, 8)
 
-    At most `sample` labelled documents are read for training, the first in order of a hash of their ids. A document
-    with labels that disagree is left out; of several texts under one id the one with the smallest features counts, so
-    that every run takes the same. Null ids, null or other labels and labels of no document count for nothing; a null
-    text is the empty one. Without documents or labels of both kinds all worths are 0.
+
+def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(x, q) to the documents of each label and the sums of features and of their squares, a row for each task."""
+    counts, sums = np.zeros(2), np.zeros((2, WIDTH))
+    for batch in batches:
+        x = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<f4").astype("f8").reshape(-1, WIDTH)
+        counts += np.bincount(batch.column(1).to_numpy(), minlength=2)
+        sums += [x.sum(axis=0), (x * x).sum(axis=0)]
+    yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([counts, sums.ravel()]).tobytes()], pa.binary())], ["sums"])
+
+
+def _counted(model: dict, fineness: int):
+    """(x, q) to (q, bin, n, total) of the worths of each label in a bin."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            worth = _standard(batch.column(0), model) @ model["w"]
+            keys, owner = np.unique(np.floor(worth * fineness).astype("i8") * 2 + batch.column(1).to_numpy(), return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys & 1), pa.array(keys >> 1), pa.array(np.bincount(owner)), pa.array(np.bincount(owner, worth))], ["q", "bin", "n", "total"])
+
+    return run
+
+
+def _worth(model: dict):
+    """(x, q) to worths."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_standard(batch.column(0), model) @ model["w"])], ["worth"])
+
+    return run
+
+
+def _sloped(model: dict, grid: np.ndarray, slopes: np.ndarray, edges: np.ndarray, bends: np.ndarray):
+    """(x, q) to slices of what a task's documents add to the gradient, to the curvature, and to the sums of features by coarse bin.
+
+    `slopes` are for each label what a worth of `grid` meets in all documents of the other, `bends` likewise for coarse bins.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slope, bend, sums = np.zeros(WIDTH), np.zeros((WIDTH, WIDTH)), np.zeros((2 * COARSE, WIDTH))
+        for batch in batches:
+            if not len(batch):
+                continue
+            z, q = _standard(batch.column(0), model), batch.column(1).to_numpy()
+            worth = z @ model["w"]
+            slope += z.T @ np.where(q == 1, -np.interp(worth, grid, slopes[1]), np.interp(worth, grid, slopes[0]))
+            at = q * COARSE + np.searchsorted(edges, worth, "right")
+            bend += z.T @ (z * bends.ravel()[at][:, None])
+            order = np.argsort(at, kind="stable")
+            first = np.flatnonzero(np.diff(at[order], prepend=-1))
+            sums[at[order][first]] += np.add.reduceat(z[order], first)
+        parts = np.array_split(np.concatenate([slope, bend.ravel(), sums.ravel()]), SLICES)
+        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["slice", "sums"])
+
+    return run
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (slice, sums) to one row for each slice."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            total[k] = total.get(k, 0) + np.frombuffer(raw, "f8")
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], ["slice", "sums"])
+
+
+def _bins(taken: DataFrame, model: dict, fineness: int) -> np.ndarray:
+    """(q, bin, n, total) in order of bin."""
+    found = taken.mapInArrow(_counted(model, fineness), "q long, bin long, n long, total double").groupBy("q", "bin").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    return np.array(sorted((r.bin, r.q, r.n, r.total) for r in found.collect()))[:, [1, 0, 2, 3]]
+
+
+def _newton(taken: DataFrame, model: dict, good: int, bad: int, fineness: int) -> np.ndarray:
+    """The next weights: a Newton step of the mean loss of all good * bad pairs, with ridge.
+
+    What a document meets in all of the other label is a smooth function of its worth, so it is summed over bins of their
+    worths and interpolated. Curvature is that of coarse bins, which decides on the number of steps and not on where they end.
     """
-    marked = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("r")).filter("q = r")
-    # Labels of no document don't use the sample up.
-    known = marked.join(docs.select(F.col("doc_id").cast("long")).distinct(), "doc_id", "left_semi")
-    taken = settle(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "q"), "taken")
-    # At most `sample` rows, so the small side is bounded whatever the input.
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(taken.select("doc_id")), "doc_id")
+    q, place, n, total = _bins(taken, model, fineness).T
+    while np.ptp(place) > BINS:
+        place, fineness = place // 2, fineness / 2
+    sides = [(total[q == k] / n[q == k], n[q == k]) for k in (0, 1)]
+    grid = np.arange(place.min(), place.max() + 2) / fineness
+    lose = lambda t: 1 / (1 + np.exp(np.clip(t, -500, 500)))
+    # A good worth loses against the bad ones above it, a bad one makes the good ones below it lose.
+    slopes = np.array([lose(sides[1][0] - grid[:, None]) @ sides[1][1], lose(grid[:, None] - sides[0][0]) @ sides[0][1]])
+    edges = np.linspace(grid[0], grid[-1], COARSE + 1)
+    middle, edges = (edges[1:] + edges[:-1]) / 2, edges[1:-1]
+    p = lose(middle[:, None] - middle)
+    curve = p * (1 - p)
+    held = [np.bincount(np.searchsorted(edges, c, "right"), m, COARSE) for c, m in sides]
+    run = _sloped(model, grid, slopes, edges, np.array([curve @ held[1], curve @ held[0]]))
+    rows = taken.mapInArrow(run, "slice int, sums binary").repartition("slice").mapInArrow(_added, "slice int, sums binary").collect()
+    flat = np.concatenate([np.frombuffer(r.sums, "f8") for r in sorted(rows, key=lambda r: r.slice)])
+    slope, bend, sums = np.split(flat, [WIDTH, WIDTH + WIDTH * WIDTH])
+    lower, upper = sums.reshape(2, COARSE, WIDTH)
+    cross = upper.T @ curve @ lower
+    pairs = good * bad
+    bend = (bend.reshape(WIDTH, WIDTH) - cross - cross.T) / pairs + RIDGE * np.eye(WIDTH)
+    value, vector = np.linalg.eigh((bend + bend.T) / 2)
+    return model["w"] - vector @ ((vector.T @ (slope / pairs + RIDGE * model["w"])) / np.maximum(value, RIDGE))
+
+
+def fit(docs: DataFrame, labels: DataFrame, fineness: int = FINENESS) -> dict:
+    """A model from all documents that `labels` (doc_id, quality 0 or 1) marks; labels of other values count for nothing.
+
+    The weights minimise the loss of all pairs of a good and a bad document, and the cut is the exact quantile of all
+    their worths. A document with labels that disagree is left out; of several texts under one id the one with the smallest
+    features counts, so that every run takes the same. Null ids, null or other labels and labels of no document count for
+    nothing; a null text is the empty one. Without documents or labels of both kinds all worths are 0.
+    """
+    marked = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("r")).filter("q = r").select("doc_id", F.col("q").cast("long"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id is not null")
     listed = rows.mapInArrow(_by_document(lambda x: pa.array([r.tobytes() for r in x.astype("<f4")], pa.binary()), "x"), "doc_id long, x binary")
-    listed = listed.groupBy("doc_id").agg(F.min("x").alias("x")).join(F.broadcast(taken), "doc_id").orderBy("doc_id").toPandas()
+    taken = settle(listed.join(marked, "doc_id").groupBy("doc_id").agg(F.min("x").alias("x"), F.first("q").alias("q")).select("x", "q"), "taken")
+    sums = sum((np.frombuffer(r.sums, "f8") for r in taken.mapInArrow(_moments, "sums binary").collect()), np.zeros(2 + 2 * WIDTH))
+    bad, good = int(sums[0]), int(sums[1])
+    count = max(1, good + bad)
+    mean, square = sums[2:].reshape(2, WIDTH) / count
+    spread = np.sqrt(np.maximum(0, square - mean * mean)) if good + bad else np.ones(WIDTH)
+    spread = np.where(spread > 1e-6, spread, 1.0) / np.where(np.arange(WIDTH) < len(NAMES), 1.0, SHRUNK)
+    model = {"w": np.zeros(WIDTH), "mean": mean, "spread": spread, "cut": 0.0 if good >= bad else 1.0}
+    if not good or not bad:
+        release(taken)
+        return model
+    for _ in range(STEPS):
+        old, model["w"] = model["w"], _newton(taken, model, good, bad, fineness)
+        if np.abs(model["w"] - old).max() < LEAST_STEP:
+            break
+    written = settle(taken.mapInArrow(_worth(model), "worth double"), "worths")
+    # The worths on both sides of the quantile are in one bin, or in two with none between them.
+    place = F.floor(F.col("worth") * fineness)
+    bins, n = np.array(sorted((r.bin, r["count"]) for r in written.groupBy(place.alias("bin")).count().collect())).T
+    ranks = [int(f(bad / count * (count - 1))) for f in (np.floor, np.ceil)]
+    low, high = (int(bins[np.searchsorted(np.cumsum(n), k, "right")]) for k in ranks)
+    near = written.filter(place.between(low, high)).groupBy("worth").count().collect()
+    values, times = np.array(sorted((r.worth, r["count"]) for r in near)).T
+    before = n[bins < low].sum()
+    model["cut"] = float(np.mean([values[np.searchsorted(np.cumsum(times), k - before, "right")] for k in ranks]))
+    release(written)
     release(taken)
-    x = np.frombuffer(b"".join(map(bytes, listed.x)), "<f4").astype("f8").reshape(-1, WIDTH)
-    return train(x, listed.q.to_numpy())
+    return model
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:

@@ -72,6 +72,22 @@ def test_fit_takes_the_same_text_of_a_repeated_id(spark):
     assert np.allclose(one["w"], two["w"]) and one["w"].any()
 
 
+def test_fit_takes_all_labelled_documents_and_all_pairs(spark):
+    """Against every pair laid out; 64 of the 90 documents were taken when the third argument was a bound."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(["good", "words", "here", "!!!", "###", "x1", "The", "of"], 30)) + (" ### !!!" if i % 3 == 0 and i % 2 else "")) for i in range(90)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(90)], "doc_id long, quality int")
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), labels, 64)
+    x = features([t.encode() for _, t in rows])
+    assert np.allclose(model["mean"], x.mean(axis=0))
+    z = ((x - model["mean"]) / model["spread"]).clip(-8, 8)
+    good = np.arange(90) % 3 > 0
+    up, down = np.flatnonzero(good), np.flatnonzero(~good)
+    want = bradley_terry(z, np.repeat(up, len(down)), np.tile(down, len(up)))
+    assert np.abs(want).max() > 0.05 and np.abs(model["w"] - want).max() < 2e-3
+    assert np.isclose(model["cut"], np.quantile(z @ model["w"], len(down) / 90, method="midpoint"))
+
+
 def test_score_odd_rows(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     model = fit(docs, labels)
