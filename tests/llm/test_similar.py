@@ -1,4 +1,5 @@
 import collections
+import pathlib
 import random
 import zlib
 from dataclasses import replace
@@ -8,8 +9,10 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quillspark import stages
+from quillspark.llm import jaccard_join
 from quillspark.llm.embedding_dedup import bucket_keys, embedding_links, hadamard
-from quillspark.llm.jaccard_join import ENTRY, Order, Tuning, _cells, _crowded, _enter, jaccard_components
+from quillspark.llm.jaccard_join import ENTRY, PERCENT, SHINGLE, JaccardJoin, Order, Tuning, _cells, _crowded, _enter, _packed, _regions, jaccard_components
 from quillspark.llm.wordhash import Words
 
 
@@ -224,6 +227,49 @@ def test_jaccard_odd_tables(spark):
     assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == [(3, 3), (3, 3), (5, 3), (None, None)]
 
 
+def test_jaccard_writes_no_table_of_all_shingles(spark, monkeypatch):
+    """Shingles that are counted are on disk once, in the shuffle; what is written is far less than the texts."""
+    rng, written = random.Random(5), {}
+
+    def settle(df, name, by=()):
+        out = stages.settle(df, name, by)
+        place = pathlib.Path(stages._PLACES[id(out)][1].removeprefix("file://"))
+        written[name] = max(written.get(name, 0), sum(f.stat().st_size for f in place.rglob("*.parquet")))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "settle", settle)
+    rows = [(k, " ".join(f"w{rng.randrange(10_000)}" for _ in range(1000))) for k in range(400)]
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(k, k) for k in range(400)]
+    assert max(written.values()) < 0.2 * sum(len(t) for _, t in rows), written
+
+
+def test_jaccard_shuffles_the_sets_of_its_pairs_only(spark, monkeypatch):
+    given, beside = [], JaccardJoin.beside
+    monkeypatch.setattr(JaccardJoin, "beside", lambda self, pairs, values, *rest: (given.append({r.a for r in values.select("a").collect()}), beside(self, pairs, values, *rest))[1])
+    shingles = {a: np.arange(a // 2 * 10, a // 2 * 10 + 9 + a % 2, dtype="u8") for a in range(600)}
+    sets = spark.createDataFrame([(a, len(v), bytearray(v.tobytes())) for a, v in shingles.items()], "a long, n long, value binary")
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    join = JaccardJoin(docs, SHINGLE, PERCENT, "doc_id", "text", 0, Tuning())
+    links = join.linked(spark.createDataFrame([(0, 1), (0, 2), (40, 41)], "p long, x long"), sets).collect()
+    assert sorted((r.a, r.b) for r in links) == [(0, 1), (40, 41)]
+    assert given[0] >= {0, 1, 2, 40, 41} and len(given[0]) < 30
+    join.close()
+
+
+def test_regions_leave_out_sets_of_far_sizes():
+    """A set whose size is far from all others of a shingle's is in no region of it, unless the shingle is dealt."""
+    rows = [(1, 10, 3), (1, 11, 4), (1, 12, 9), (2, 13, 1), (2, 14, 3), (3, 15, ~1), (3, 16, ~5), (4, 17, 2), (4, 18, 2), (4, 19, 4), (4, 20, 5)]
+    entries = np.array(rows, ENTRY)
+    batch = _packed(np.zeros(len(rows), "i8"), entries, ["bucket", "entries"])
+    found = collections.defaultdict(set)
+    for b in _regions(iter([batch])):
+        for r in b.to_pylist():
+            found[r["region"]].add((r["a"], r["band"]))
+    assert sorted(sorted(v) for v in found.values()) == [[(10, 3), (11, 4)], [(15, 1), (16, 5)], [(17, 2), (18, 2), (19, 4), (20, 5)]]
+    assert not list(_regions(iter([_packed(np.zeros(1, "i8"), entries[:1], ["bucket", "entries"])])))
+
+
 def test_window_meets_every_partner():
     rng = random.Random(0)
     order = Order(7, [(b, k, np.random.default_rng(k + 7 * b).integers(0, 256, 512, dtype="u1").tobytes()) for b in range(6) for k in (1, 2)])
